@@ -21,14 +21,11 @@ PRICE_NAMES = ("UnitPrice", "unitprice")
 TRACK_NAMES = ("TrackId", "trackid")
 
 
-def track_artists(track: DataFrame, album: DataFrame, artist: DataFrame) -> DataFrame:
-    """(TrackId, AlbumId, ArtistId, Name) for every track; misses are NULL."""
-    with_album = lookup_join(
+def track_albums(track: DataFrame, album: DataFrame) -> DataFrame:
+    """(TrackId, AlbumId, ArtistId) for every track; misses are NULL."""
+    return lookup_join(
         track.select("TrackId", "AlbumId"), album.select("AlbumId", "ArtistId"), "AlbumId"
-    )
-    return lookup_join(with_album, artist.select("ArtistId", "Name"), "ArtistId").select(
-        "TrackId", "AlbumId", "ArtistId", "Name"
-    )
+    ).select("TrackId", "AlbumId", "ArtistId")
 
 
 def attribute_sales(
@@ -40,7 +37,10 @@ def attribute_sales(
     or artist stay, with NULL there.
     """
     sold = line.select("InvoiceId", "TrackId", "UnitPrice", "Quantity")
-    return lookup_join(sold, track_artists(track, album, artist), "TrackId")
+    known = lookup_join(
+        track_albums(track, album), artist.select("ArtistId", "Name"), "ArtistId"
+    )
+    return lookup_join(sold, known, "TrackId", size_of=track)
 
 
 def _with_month_parts(metrics: DataFrame) -> DataFrame:
@@ -65,25 +65,25 @@ def artist_month_metrics(
     """Sales per month and artist; sales without an artist form a NULL group.
 
     Lines are summed per invoice and album before they meet the invoices, so
-    an invoice with very many lines brings at most one row per album.
+    an invoice with very many lines brings at most one row per album. Names
+    are added to the finished groups only.
     """
+    sold = line.select("InvoiceId", "TrackId", "UnitPrice", "Quantity")
     per_album = (
-        attribute_sales(line, track, album, artist)
-        .groupBy("InvoiceId", "AlbumId", "ArtistId", "Name")
+        lookup_join(sold, track_albums(track, album), "TrackId", size_of=track)
+        .groupBy("InvoiceId", "AlbumId", "ArtistId")
         .agg(
             F.count("TrackId").alias("canciones"),
             F.sum("Quantity").alias("cantidad"),
             F.sum(F.col("UnitPrice") * F.col("Quantity")).alias("monto"),
         )
     )
-    if drop_unattributed:
-        per_album = per_album.dropna(subset=["ArtistId", "Name"])
     months = valid_dates(invoice).select(
         "InvoiceId", "CustomerId", month_start(F.col("fecha")).alias("mes")
     )
-    metrics = (
+    grouped = (
         per_album.join(months, "InvoiceId")
-        .groupBy("mes", "ArtistId", "Name")
+        .groupBy("mes", "ArtistId")
         .agg(
             F.sum("canciones").alias("total_canciones_vendidas"),
             F.sum("cantidad").alias("cantidad_total"),
@@ -92,7 +92,16 @@ def artist_month_metrics(
             F.count_distinct("CustomerId").alias("clientes_unicos"),
             F.count_distinct("AlbumId").alias("albums_vendidos"),
         )
-        .withColumn("nombre_artista", F.col("Name"))
+    )
+    named = lookup_join(grouped, artist.select("ArtistId", "Name"), "ArtistId")
+    if drop_unattributed:
+        named = named.dropna(subset=["ArtistId", "Name"])
+    metrics = named.select(
+        "mes",
+        "ArtistId",
+        "Name",
+        *[c for c in grouped.columns if c not in ("mes", "ArtistId")],
+        F.col("Name").alias("nombre_artista"),
     )
     return _with_month_parts(metrics)
 

@@ -109,7 +109,8 @@ def price_checkouts(
         F.sum(F.col("_catalog_price") * F.col("Quantity")).alias("Total"),
     )
     known = customer.select("CustomerId", F.lit(True).alias("_customer_known"))
-    judged = lookup_join(_failed_rules(carts, per_cart), known, "CustomerId").withColumn(
+    checked = _failed_rules(carts, per_cart)
+    judged = lookup_join(checked, known, "CustomerId", count_in=carts).withColumn(
         "reason",
         F.when(F.size("failed_rules") > 0, F.lit(INVALID_REQUEST))
         .when(F.col("_customer_known").isNull(), F.lit(CUSTOMER_NOT_FOUND))
@@ -129,6 +130,7 @@ def price_checkouts(
         accepted.select("CheckoutId"),
         "CheckoutId",
         "left_semi",
+        count_in=items,
     ).select(
         F.col("CheckoutId").alias("InvoiceId"),
         "Seq",

@@ -48,7 +48,11 @@ def genre_purchases(
         track.select("TrackId", "GenreId", "Milliseconds"), genres, "GenreId", "inner"
     ).drop("GenreId")
     bought = lookup_join(
-        line.select("InvoiceId", "TrackId", "UnitPrice"), tracks, "TrackId", "inner"
+        line.select("InvoiceId", "TrackId", "UnitPrice"),
+        tracks,
+        "TrackId",
+        "inner",
+        size_of=track,
     )
     per_invoice = bought.groupBy("InvoiceId", "genre_name").agg(
         F.count(F.lit(1)).alias("purchases"),

@@ -33,7 +33,8 @@ def customer_employee_history(customer: DataFrame, employee: DataFrame) -> DataF
         "SupportRepId",
     )
     representatives = lookup_join(employees, managers, "ReportsTo")
-    return lookup_join(customers, representatives, "SupportRepId").select(
+    joined = lookup_join(customers, representatives, "SupportRepId", size_of=employee)
+    return joined.select(
         "CustomerId",
         "CustomerFirstName",
         "CustomerLastName",

@@ -52,16 +52,21 @@ def skew_join(
     how: str = "inner",
     rows_per_split: int = ROWS_PER_SPLIT,
     max_hot_keys: int = MAX_HOT_KEYS,
+    count_in: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join on ``key`` with the hot keys of ``facts`` split.
 
+    Keys are counted in ``count_in`` where that is given: a frame with the same
+    keys as ``facts`` that is cheaper to read.
+
     The split of a row is taken from the number of the map task that reads it.
     That number stays the same when a lost task is run again, and it spreads
     copies of one row, which a hash of the row would not.
     """
     if how not in LEFT_KEEPING:
         raise ValueError(f"how must be one of {LEFT_KEEPING}, not {how!r}")
-    hot = F.broadcast(hot_keys(facts, key, rows_per_split, max_hot_keys))
+    counted = facts if count_in is None else count_in
+    hot = F.broadcast(hot_keys(counted, key, rows_per_split, max_hot_keys))
     task = F.spark_partition_id()
     salted = (
         facts.join(hot, key, "left")
@@ -90,12 +95,15 @@ def lookup_join(
     key: str,
     how: str = "left",
     max_rows: int = BROADCAST_ROWS,
+    size_of: DataFrame | None = None,
+    count_in: DataFrame | None = None,
 ) -> DataFrame:
     """Join to a table with one row per ``key``.
 
     Small tables are broadcast after their row count is checked; larger ones
-    go through ``skew_join``.
+    go through ``skew_join``. The check is made on ``size_of`` where that is
+    given: a frame with no fewer rows that is cheaper to count.
     """
-    if fits_broadcast(dimension, max_rows):
+    if fits_broadcast(dimension if size_of is None else size_of, max_rows):
         return facts.join(F.broadcast(dimension), key, how)
-    return skew_join(facts, dimension, key, how)
+    return skew_join(facts, dimension, key, how, count_in=count_in)

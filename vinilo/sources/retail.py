@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vinilo.operators.joins import lookup_join
+
 GENRES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 MAIN_GENRES = ("PROMO", "ECONOMY", "LARGE", "MEDIUM", "ABSENT")
 
@@ -93,8 +95,7 @@ class Retail:
             F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("Country")
         )
         return (
-            self.table("customer")
-            .join(countries, "c_nationkey")
+            lookup_join(self.table("customer"), countries, "c_nationkey", "inner")
             .select(
                 key.alias("CustomerId"),
                 F.col("c_mktsegment").alias("FirstName"),
@@ -141,8 +142,7 @@ class Retail:
         unknown = F.when(cart % 97 == 0, NOBODY).otherwise(0)
         surcharge = F.when(cart % 7 == 0, 1).otherwise(0)
         return (
-            self.table("lineitem")
-            .join(prices, "l_partkey")
+            lookup_join(self.table("lineitem"), prices, "l_partkey", "inner")
             .select(
                 cart.alias("CheckoutId"),
                 (F.col("l_linenumber") * 1_000_000_000_000 + F.col("l_partkey")).alias("Seq"),
