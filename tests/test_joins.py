@@ -1,0 +1,100 @@
+import pytest
+from pyspark.sql import functions as F
+
+from vinilo.operators.joins import fits_broadcast, hot_keys, lookup_join, skew_join
+
+
+@pytest.fixture
+def skewed(spark):
+    """A third of the rows under key 0, some without a key, in 16 partitions."""
+    key = F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 50 == 1, None).otherwise(F.col("id") % 40)
+    return spark.range(0, 6000, 1, 16).select("id", key.alias("k"))
+
+
+@pytest.fixture
+def partners(spark):
+    return spark.range(0, 30).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+
+
+def test_fits_broadcast(partners):
+    assert fits_broadcast(partners, 30)
+    assert not fits_broadcast(partners, 29)
+
+
+def test_hot_keys(skewed):
+    hot = {r["k"]: r["_splits"] for r in hot_keys(skewed, "k", rows_per_split=500).collect()}
+    biggest = skewed.filter("k = 0").count()
+    assert hot == {0: -(-biggest // 500)}
+
+
+def test_hot_keys_are_bounded(skewed):
+    assert hot_keys(skewed, "k", rows_per_split=1, max_hot_keys=3).count() <= 3
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_skew_join_equals_join(skewed, partners, how):
+    ours = skew_join(skewed, partners, "k", how, rows_per_split=100)
+    plain = skewed.join(partners, "k", how)
+    assert ours.columns == plain.columns
+    assert sorted(map(str, ours.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_skew_join_keeps_repeated_partners(spark, skewed, partners):
+    twice = partners.union(partners)
+    assert (
+        skew_join(skewed, twice, "k", rows_per_split=100).count()
+        == skewed.join(twice, "k").count()
+    )
+
+
+def test_skew_join_spreads_copies_of_one_row(spark, partners):
+    """A hash of the row would send all of these to one task."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        copies = spark.range(0, 4000, 1, 16).select(F.lit(7).cast("long").alias("k"))
+        joined = skew_join(copies, partners, "k", rows_per_split=200)
+        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in sizes) == 4000
+        assert max(r["count"] for r in sizes) <= 2000
+        assert len(sizes) == 4
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_rows_without_key_are_spread_too(spark, partners):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        nulls = spark.range(0, 4000, 1, 16).select(F.lit(None).cast("long").alias("k"))
+        joined = skew_join(nulls, partners, "k", "left")
+        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in sizes) == 4000
+        assert len(sizes) > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_right_side_joins_are_refused(skewed, partners):
+    with pytest.raises(ValueError):
+        skew_join(skewed, partners, "k", "right")
+
+
+@pytest.mark.parametrize("max_rows", [10, 100])
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_lookup_join(skewed, partners, max_rows, how):
+    ours = lookup_join(skewed, partners, "k", how, max_rows=max_rows, rows_per_split=100)
+    plain = skewed.join(partners, "k", how)
+    assert sorted(map(str, ours.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_large_tables_are_not_broadcast(spark, skewed, partners):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = lookup_join(skewed, partners, "k", max_rows=10)
+        text = plan._jdf.queryExecution().toString()
+        assert "SortMergeJoin" in text
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

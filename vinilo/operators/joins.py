@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
-ROWS_PER_SPLIT = 5_000_000
+ROWS_PER_SPLIT = 1_000_000
 MAX_HOT_KEYS = 100_000
 
 LEFT_KEEPING = ("inner", "left", "left_semi", "left_anti")
@@ -97,6 +97,7 @@ def lookup_join(
     max_rows: int = BROADCAST_ROWS,
     size_of: DataFrame | None = None,
     count_in: DataFrame | None = None,
+    rows_per_split: int = ROWS_PER_SPLIT,
 ) -> DataFrame:
     """Join to a table with one row per ``key``.
 
@@ -106,4 +107,4 @@ def lookup_join(
     """
     if fits_broadcast(dimension if size_of is None else size_of, max_rows):
         return facts.join(F.broadcast(dimension), key, how)
-    return skew_join(facts, dimension, key, how, count_in=count_in)
+    return skew_join(facts, dimension, key, how, rows_per_split, count_in=count_in)
