@@ -1,0 +1,86 @@
+"""Every query against its SQL on the generated tables."""
+
+import datetime
+import math
+from decimal import Decimal
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry_module
+
+DATA = Path("/root/testdata/sf0.001")
+TABLES = "region nation customer supplier part orders lineitem".split()
+QUERIES, SQL = entry_module.queries(), entry_module.oracle_sql()
+KMEANS_QUERIES = {
+    "silhouette_sweep",
+    "customer_clusters",
+    "cluster_profile",
+    "cluster_examples",
+    "segmentation_run",
+}
+
+pytestmark = pytest.mark.skipif(not DATA.exists(), reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def tables():
+    connection = duckdb.connect()
+    for table in TABLES:
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{DATA}/{table}.parquet'")
+    return connection
+
+
+def plain(value):
+    if isinstance(value, Decimal):
+        return float(value)
+    if isinstance(value, float):
+        return None if math.isnan(value) else value
+    assert not isinstance(value, datetime.date)
+    return value
+
+
+def sorted_rows(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(tuple(repr(plain(row[i])) for i in order) for row in rows)
+
+
+def test_only_kmeans_has_no_sql():
+    assert QUERIES.keys() - SQL.keys() == KMEANS_QUERIES
+    assert SQL.keys() <= QUERIES.keys()
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query_equals_sql(spark, tables, name):
+    result = QUERIES[name](spark, str(DATA))
+    rows = result.collect()
+    cursor = tables.execute(SQL[name])
+    columns = [c[0] for c in cursor.description]
+    expected = cursor.fetchall()
+    assert sorted(result.columns) == sorted(columns)
+    assert rows
+    assert sorted_rows(result.columns, rows) == sorted_rows(columns, expected)
+
+
+def test_clusters_cover_all_customers(spark, tables):
+    clusters = QUERIES["customer_clusters"](spark, str(DATA)).collect()
+    buyers = tables.execute(
+        "SELECT DISTINCT o_custkey FROM orders JOIN lineitem ON o_orderkey = l_orderkey"
+    ).fetchall()
+    assert {r["CustomerId"] for r in clusters} == {b for (b,) in buyers}
+    assert {r["cluster"] for r in clusters} <= {0, 1, 2}
+    profile = QUERIES["cluster_profile"](spark, str(DATA)).collect()
+    assert sum(r["customer_count"] for r in profile) == len(clusters)
+
+
+def test_sweep_and_saved_run(spark):
+    sweep = QUERIES["silhouette_sweep"](spark, str(DATA)).collect()
+    assert [r["k"] for r in sweep] == [2, 3, 4]
+    best = max(sweep, key=lambda r: (r["silhouette"], -r["k"]))["k"]
+    saved = QUERIES["segmentation_run"](spark, str(DATA)).collect()
+    assert len(saved) == best
+
+
+def test_entry(spark):
+    assert entry_module.entry(spark).count() > 0
