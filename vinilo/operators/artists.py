@@ -21,13 +21,6 @@ PRICE_NAMES = ("UnitPrice", "unitprice")
 TRACK_NAMES = ("TrackId", "trackid")
 
 
-def track_albums(track: DataFrame, album: DataFrame) -> DataFrame:
-    """(TrackId, AlbumId, ArtistId) for every track; misses are NULL."""
-    return lookup_join(
-        track.select("TrackId", "AlbumId"), album.select("AlbumId", "ArtistId"), "AlbumId"
-    ).select("TrackId", "AlbumId", "ArtistId")
-
-
 def attribute_sales(
     line: DataFrame, track: DataFrame, album: DataFrame, artist: DataFrame
 ) -> DataFrame:
@@ -36,11 +29,25 @@ def attribute_sales(
     The price is the one paid on the line. Lines without a known track, album
     or artist stay, with NULL there.
     """
+    albums = lookup_join(
+        album.select("AlbumId", "ArtistId"), artist.select("ArtistId", "Name"), "ArtistId"
+    )
+    return _with_albums(line, track, albums, album)
+
+
+def _with_albums(
+    line: DataFrame, track: DataFrame, albums: DataFrame, album: DataFrame
+) -> DataFrame:
+    """Lines with the columns that ``albums``, an extended ``album``, has for them.
+
+    The tables are joined from the small end, so that each key is counted in a
+    table as it was given and never in the result of another join.
+    """
     sold = line.select("InvoiceId", "TrackId", "UnitPrice", "Quantity")
-    known = lookup_join(
-        track_albums(track, album), artist.select("ArtistId", "Name"), "ArtistId"
+    tracks = lookup_join(
+        track.select("TrackId", "AlbumId"), albums, "AlbumId", size_of=album
     )
-    return lookup_join(sold, known, "TrackId", size_of=track)
+    return lookup_join(sold, tracks, "TrackId", size_of=track)
 
 
 def _with_month_parts(metrics: DataFrame) -> DataFrame:
@@ -68,9 +75,8 @@ def artist_month_metrics(
     an invoice with very many lines brings at most one row per album. Names
     are added to the finished groups only.
     """
-    sold = line.select("InvoiceId", "TrackId", "UnitPrice", "Quantity")
     per_album = (
-        lookup_join(sold, track_albums(track, album), "TrackId", size_of=track)
+        _with_albums(line, track, album.select("AlbumId", "ArtistId"), album)
         .groupBy("InvoiceId", "AlbumId", "ArtistId")
         .agg(
             F.count("TrackId").alias("canciones"),
@@ -93,7 +99,8 @@ def artist_month_metrics(
             F.count_distinct("AlbumId").alias("albums_vendidos"),
         )
     )
-    named = lookup_join(grouped, artist.select("ArtistId", "Name"), "ArtistId")
+    # No artist has more rows here than there are months.
+    named = grouped.join(artist.select("ArtistId", "Name"), "ArtistId", "left")
     if drop_unattributed:
         named = named.dropna(subset=["ArtistId", "Name"])
     metrics = named.select(

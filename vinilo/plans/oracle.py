@@ -512,13 +512,19 @@ ORACLE: dict[str, str] = {
         FROM screened s""",
     "constraint_audit": _audit(),
     "invoice_documents": VIEWS + """
+        , parts AS (
+          SELECT InvoiceId, CAST(ceil(count(*) / 10000) AS BIGINT) AS n
+          FROM v_line GROUP BY InvoiceId),
+        dealt AS (
+          SELECT l.*, CAST((InvoiceLineId + TrackId) % n AS INTEGER) AS part
+          FROM v_line l JOIN parts p ON l.InvoiceId = p.InvoiceId)
         SELECT i.InvoiceId, i.CustomerId,
           strftime(i.fecha, '%Y-%m-%d %H:%M:%S') AS InvoiceDate, i.BillingCity,
-          CAST(i.Total AS DOUBLE) AS Total, 0 AS Part,
+          CAST(i.Total AS DOUBLE) AS Total, coalesce(part, 0) AS Part,
           CAST(count(InvoiceLineId) AS INTEGER) AS line_count,
           coalesce(string_agg(InvoiceLineId || ':' || TrackId || ':' || UnitPrice || ':'
             || Quantity, '|' ORDER BY InvoiceLineId, TrackId, UnitPrice, Quantity), '') AS Lines
-        FROM v_invoice i LEFT JOIN v_line l ON i.InvoiceId = l.InvoiceId GROUP BY ALL""",
+        FROM v_invoice i LEFT JOIN dealt l ON i.InvoiceId = l.InvoiceId GROUP BY ALL""",
     "cart_merge": VIEWS + """
         SELECT CheckoutId, TrackId, min(Seq) AS Seq, CAST(sum(Quantity) AS BIGINT) AS Quantity,
                CAST(arg_min(UnitPrice, Seq) AS DOUBLE) AS UnitPrice
