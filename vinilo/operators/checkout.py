@@ -186,7 +186,7 @@ def invoice_documents(
         .filter(F.col("_lines") > lines_per_document)
         .select("InvoiceId", parts.alias("_parts"))
     )
-    part = F.pmod(F.col("InvoiceLineId") + F.col("TrackId"), F.coalesce("_parts", F.lit(1)))
+    part = F.pmod("InvoiceLineId", F.coalesce("_parts", F.lit(1)))
     documents = (
         lookup_join(line, long_invoices, "InvoiceId")
         .groupBy("InvoiceId", part.cast("int").alias("Part"))

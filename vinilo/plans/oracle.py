@@ -15,7 +15,8 @@ WITH v_invoice AS (
          o_orderstatus AS BillingState, CAST(o_totalprice AS DECIMAL(12,2)) AS Total
   FROM orders),
 v_line AS (
-  SELECT l_orderkey * 10 + l_linenumber AS InvoiceLineId, l_orderkey AS InvoiceId,
+  SELECT (l_orderkey * 10 + l_linenumber) * 1000 + l_partkey % 1000 AS InvoiceLineId,
+         l_orderkey AS InvoiceId,
          l_partkey AS TrackId, CAST(l_extendedprice AS DECIMAL(12,2)) AS UnitPrice,
          CAST(l_quantity AS INTEGER) AS Quantity
   FROM lineitem),
@@ -516,7 +517,7 @@ ORACLE: dict[str, str] = {
           SELECT InvoiceId, CAST(ceil(count(*) / 10000) AS BIGINT) AS n
           FROM v_line GROUP BY InvoiceId),
         dealt AS (
-          SELECT l.*, CAST((InvoiceLineId + TrackId) % n AS INTEGER) AS part
+          SELECT l.*, CAST(InvoiceLineId % n AS INTEGER) AS part
           FROM v_line l JOIN parts p ON l.InvoiceId = p.InvoiceId)
         SELECT i.InvoiceId, i.CustomerId,
           strftime(i.fecha, '%Y-%m-%d %H:%M:%S') AS InvoiceDate, i.BillingCity,

@@ -44,8 +44,10 @@ class Retail:
         )
 
     def line(self) -> DataFrame:
+        """Order lines. Line numbers repeat within an order, so the part helps to tell them."""
+        numbered = (F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 1000
         return self.table("lineitem").select(
-            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("InvoiceLineId"),
+            (numbered + F.col("l_partkey") % 1000).alias("InvoiceLineId"),
             F.col("l_orderkey").alias("InvoiceId"),
             F.col("l_partkey").alias("TrackId"),
             money("l_extendedprice").alias("UnitPrice"),
