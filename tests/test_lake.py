@@ -7,7 +7,13 @@ import pytest
 from vinilo.operators.history import customer_employee_history
 from vinilo.operators.sales import sales_per_day
 from vinilo.plans import rollup_job
-from vinilo.plans.session import checkpoint, scratch_folder, shared_folder
+from vinilo.plans.session import (
+    INITIAL_PARTITIONS,
+    checkpoint,
+    scratch_folder,
+    shared_folder,
+    size_shuffles,
+)
 from vinilo.sources import jdbc, lake
 from vinilo.sources.catalog import register_lake
 from vinilo.sources.layout import COPIED_TABLES, HISTORY, LakeLayout, new_snapshot
@@ -240,3 +246,18 @@ def test_cluster_needs_a_shared_folder():
     session.sparkContext.master = "yarn"
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(session)
+
+
+def test_shuffles_grow_with_the_input(spark, layout, sales):
+    path = lake.write_snapshot(sales["Invoice"], layout.raw("Invoice"), OLD)
+    size = sum(
+        os.path.getsize(os.path.join(path, f)) for f in os.listdir(path) if f.endswith(".parquet")
+    )
+    assert size <= lake.raw_bytes(spark, layout, ["Invoice"]) < 2 * size + 10_000
+    try:
+        assert size_shuffles(spark, 1) == spark.sparkContext.defaultParallelism
+        assert size_shuffles(spark, 10 * 2**40) == 81920
+        assert spark.conf.get(INITIAL_PARTITIONS) == "81920"
+        assert size_shuffles(spark, 100 * 2**40) == 200_000
+    finally:
+        spark.conf.unset(INITIAL_PARTITIONS)

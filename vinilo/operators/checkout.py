@@ -160,8 +160,9 @@ def merge_cart(items: DataFrame) -> DataFrame:
 
 def cart_totals(items: DataFrame) -> DataFrame:
     """Amount and number of units per cart; unreadable prices count as 0."""
-    typed = dict(items.dtypes)["UnitPrice"] != "string"
-    price = F.col("UnitPrice") if typed else parse_price(F.col("UnitPrice"))
+    kind = dict(items.dtypes)["UnitPrice"]
+    exact = kind.startswith("decimal") or kind.endswith("int")
+    price = F.col("UnitPrice") if exact else parse_price(F.col("UnitPrice"))
     return items.groupBy("CheckoutId").agg(
         F.coalesce(F.sum(price * F.col("Quantity")), F.lit(0)).alias("total"),
         F.sum("Quantity").alias("total_items"),

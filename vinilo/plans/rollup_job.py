@@ -13,9 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from vinilo.operators.artists import artist_month_metrics, top_artist_per_month
 from vinilo.operators.history import customer_employee_history
 from vinilo.operators.sales import sales_by_month, sales_by_weekday, sales_per_day
-from vinilo.plans.session import job_session
+from vinilo.plans.session import job_session, size_shuffles
 from vinilo.sources.jdbc import JdbcSource, read_table
-from vinilo.sources.lake import full_copy, read_raw_tables, write_snapshot
+from vinilo.sources.lake import (
+    full_copy,
+    latest_common_snapshot,
+    raw_bytes,
+    read_raw_tables,
+    write_snapshot,
+)
 from vinilo.sources.layout import COPIED_TABLES, HISTORY, LakeLayout, new_snapshot
 from vinilo.sources.schema import PRIMARY_KEYS
 
@@ -43,7 +49,9 @@ def run_rollup(
 ) -> str:
     """Compute one dataset from a snapshot of the raw tables; returns its folder."""
     names, compute = ROLLUPS[dataset]
-    tables = read_raw_tables(spark, layout, names, input_snapshot)
+    snapshot = input_snapshot or latest_common_snapshot(spark, [layout.raw(n) for n in names])
+    size_shuffles(spark, raw_bytes(spark, layout, names, snapshot))
+    tables = read_raw_tables(spark, layout, names, snapshot)
     result = compute(*[tables[name] for name in names])
     return write_snapshot(result, layout.processed(dataset), output_snapshot)
 
@@ -67,6 +75,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--jdbc-url")
     parser.add_argument("--db-user")
     parser.add_argument("--db-password")
+    parser.add_argument("--jdbc-partitions", type=int, default=64, help="key ranges per table")
     args = parser.parse_args(argv)
     if args.job == COPY and not (args.jdbc_url and args.db_user and args.db_password):
         parser.error(f"{COPY} needs --jdbc-url, --db-user and --db-password")
@@ -82,7 +91,9 @@ def main(argv: list[str] | None = None) -> None:
             source = JdbcSource(args.jdbc_url, args.db_user, args.db_password)
             run_full_copy(
                 spark,
-                lambda table: read_table(spark, source, table, PRIMARY_KEYS[table]),
+                lambda table: read_table(
+                    spark, source, table, PRIMARY_KEYS[table], args.jdbc_partitions
+                ),
                 layout,
                 snapshot,
             )

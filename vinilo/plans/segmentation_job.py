@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vinilo.operators import segments
 from vinilo.operators.features import MAIN_GENRES, customer_features, feature_columns
-from vinilo.plans.session import checkpoint, job_session
+from vinilo.plans.session import checkpoint, job_session, size_shuffles
 from vinilo.sources.jdbc import JdbcSource, read_table
-from vinilo.sources.lake import read_raw_tables
+from vinilo.sources.lake import latest_common_snapshot, raw_bytes, read_raw_tables
 from vinilo.sources.layout import LakeLayout
 from vinilo.sources.schema import PRIMARY_KEYS
 
@@ -40,6 +40,8 @@ def load_tables(
 ) -> dict[str, DataFrame]:
     """The five tables from the lake (``s3``) or the database (``mysql``)."""
     if source == "s3":
+        snapshot = snapshot or latest_common_snapshot(spark, [layout.raw(t) for t in TABLES])
+        size_shuffles(spark, raw_bytes(spark, layout, TABLES, snapshot))
         return read_raw_tables(spark, layout, TABLES, snapshot)
     if source == "mysql":
         return {t: read_table(spark, database, t, PRIMARY_KEYS[t]) for t in TABLES}

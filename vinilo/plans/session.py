@@ -8,15 +8,15 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Adaptive execution merges small shuffle partitions and splits skewed ones.
-# The shuffle starts with many partitions because AQE can only merge them.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
     "spark.sql.session.timeZone": "UTC",
 }
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 200_000
 
 
 def job_session(app_name: str) -> SparkSession:
@@ -27,6 +27,19 @@ def job_session(app_name: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Start shuffles with a partition per 128 MB of input, and at least one per core.
+
+    Adaptive execution merges partitions that turn out small but does not
+    divide large ones, so the number has to be high enough from the start.
+    """
+    wanted = -(-input_bytes // SHUFFLE_PARTITION_BYTES)
+    cores = spark.sparkContext.defaultParallelism
+    partitions = min(max(wanted, cores), MAX_SHUFFLE_PARTITIONS)
+    spark.conf.set(INITIAL_PARTITIONS, str(partitions))
+    return partitions
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder that all executors can reach, for checkpoints and scratch tables.
 

@@ -79,6 +79,21 @@ def read_raw_tables(
     return {t: read_snapshot(spark, layout.raw(t), snapshot) for t in tables}
 
 
+def raw_bytes(
+    spark: SparkSession, layout: LakeLayout, tables: Iterable[str], snapshot: str | None = None
+) -> int:
+    """Size of the files that ``read_raw_tables`` would read."""
+    tables = list(tables)
+    snapshot = snapshot or latest_common_snapshot(spark, [layout.raw(t) for t in tables])
+    return sum(folder_bytes(spark, f"{layout.raw(t)}/snapshot={snapshot}") for t in tables)
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Size of all files below a folder, from the file system's own count."""
+    fs, hadoop_path = _hadoop(spark, path)
+    return fs.getContentSummary(hadoop_path).getLength()
+
+
 def write_snapshot(
     df: DataFrame, dataset_path: str, snapshot: str, mode: str = "overwrite"
 ) -> str:

@@ -8,7 +8,7 @@ nations, so that some albums have no artist.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,9 +29,13 @@ def money(column: str) -> Column:
 class Retail:
     spark: SparkSession
     folder: str
+    _opened: dict[str, DataFrame] = field(default_factory=dict, repr=False, compare=False)
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A source table; its files are listed once, however often it is used."""
+        if name not in self._opened:
+            self._opened[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._opened[name]
 
     def invoice(self) -> DataFrame:
         return self.table("orders").select(
