@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from vinilo.operators import joins
 
 DATA = Path("/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem".split()
@@ -63,6 +64,34 @@ def test_query_equals_sql(spark, tables, name):
     assert sorted_rows(result.columns, rows) == sorted_rows(columns, expected)
 
 
+@pytest.mark.parametrize(
+    "name",
+    [
+        "artist_sales_attribution",
+        "artist_month_metrics",
+        "artist_month_metrics_flat",
+        "top5_artists_per_month",
+        "customer_employee_history",
+        "customer_features",
+        "point_lookup",
+        "price_checkouts",
+        "checkout_lines",
+        "checkout_rejects",
+        "invoice_documents",
+    ],
+)
+def test_query_equals_sql_when_nothing_is_small(spark, tables, name, monkeypatch):
+    """No table is broadcast for its size, and every key with 20 rows counts as hot."""
+    hot_keys = joins.hot_keys
+    monkeypatch.setattr(joins, "fits_broadcast", lambda *_: False)
+    monkeypatch.setattr(joins, "hot_keys", lambda df, key, *_: hot_keys(df, key, 20))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        test_query_equals_sql(spark, tables, name)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_clusters_cover_all_customers(spark, tables):
     clusters = QUERIES["customer_clusters"](spark, str(DATA)).collect()
     buyers = tables.execute(

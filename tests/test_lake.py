@@ -150,6 +150,27 @@ def test_rollup_jobs(spark, layout, sales, dataset):
     assert sum(r["cantidad_total"] for r in result.collect()) == 7
 
 
+def test_artist_job(spark, layout, sales):
+    lines = sales["InvoiceLine"]
+    tables = sales | {
+        "Track": lines.selectExpr("TrackId", "'t' AS Name", "1 AS AlbumId", "9.9D AS UnitPrice"),
+        "Album": spark.createDataFrame([(1, "a", 5)], "AlbumId int, Title string, ArtistId int"),
+        "Artist": spark.createDataFrame([(5, "Band")], "ArtistId int, Name string"),
+    }
+    lake.full_copy(tables.__getitem__, layout, tables, OLD)
+    rollup_job.run_rollup(spark, layout, "artista_mes", NEW)
+    (only,) = lake.read_snapshot(spark, layout.processed("artista_mes")).collect()
+    assert (only["nombre_artista"], only["cantidad_total"]) == ("Band", 7)
+    assert only["porcentaje_canciones"] == 100.0
+
+
+def test_rollup_main(spark, layout, sales, monkeypatch):
+    monkeypatch.setattr(type(spark), "stop", lambda self: None)
+    lake.full_copy(sales.__getitem__, layout, sales, OLD)
+    rollup_job.main(["--root", layout.root, "--job", "mes_ventas"])
+    assert lake.read_snapshot(spark, layout.processed("mes_ventas")).count() == 1
+
+
 def test_rollup_command_line():
     args = rollup_job.arguments(["--root", "/lake", "--job", "artista_mes"])
     assert (args.root, args.job, args.snapshot) == ("/lake", "artista_mes", None)

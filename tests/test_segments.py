@@ -12,9 +12,11 @@ from vinilo.operators import segments
 from vinilo.plans.segmentation_job import (
     arguments,
     load_tables,
+    main,
     run_segmentation,
     segment_features,
 )
+from vinilo.sources.lake import write_snapshot
 from vinilo.sources.layout import LakeLayout
 
 COLUMNS = ["total_purchases", "total_spent", "flat"]
@@ -164,9 +166,8 @@ def test_default_k(features):
     assert segment_features(features, COLUMNS, find_optimal=False).k == segments.DEFAULT_K
 
 
-def test_whole_run_from_the_lake(spark, tmp_path):
-    from vinilo.sources.lake import write_snapshot
-
+@pytest.fixture
+def lake_layout(spark, tmp_path):
     layout = LakeLayout(str(tmp_path))
     tables = {
         "Customer": spark.range(1, 13).select(
@@ -189,11 +190,17 @@ def test_whole_run_from_the_lake(spark, tmp_path):
             (F.col("id") % 3).alias("GenreId"),
             (F.col("id") * 1000).alias("Milliseconds"),
         ),
-        "Genre": spark.createDataFrame([(0, "Rock"), (1, "Jazz"), (2, "Folk")], "GenreId long, Name string"),
+        "Genre": spark.createDataFrame(
+            [(0, "Rock"), (1, "Jazz"), (2, "Folk")], "GenreId long, Name string"
+        ),
     }
     for name, table in tables.items():
         write_snapshot(table, layout.raw(name), "20240101_000000")
-    result = run_segmentation(load_tables(spark, "s3", layout), k=3)
+    return layout
+
+
+def test_whole_run_from_the_lake(spark, lake_layout):
+    result = run_segmentation(load_tables(spark, "s3", lake_layout), k=3)
     assert result.predictions.count() == 12
     assert len(result.profile.columns) == 26
     clusters = {r["cluster"] for r in result.predictions.collect()}
@@ -201,6 +208,15 @@ def test_whole_run_from_the_lake(spark, tmp_path):
     assert not math.isnan(result.quality.silhouette)
 
 
+def test_main(spark, lake_layout, tmp_path, monkeypatch, capsys):
+    monkeypatch.setattr(type(spark), "stop", lambda self: None)
+    monkeypatch.setattr(LakeLayout, "from_bucket", lambda bucket: lake_layout)
+    output = str(tmp_path / "out")
+    main(["--s3-bucket", "any", "--k", "2", "--output-path", output])
+    assert "k=2" in capsys.readouterr().out
+    assert spark.read.parquet(f"{output}/customer_clusters").count() == 12
+
+
 def test_unknown_source(spark):
     with pytest.raises(ValueError, match="unknown data source"):
         load_tables(spark, "ftp")

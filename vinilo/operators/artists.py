@@ -149,11 +149,13 @@ def artist_month_metrics_flat(
         return F.col(column).cast("double") if text else F.col(column)
 
     amount = number(price) * number(quantity) if quantity and price else F.lit(0.0)
+    ids = {"_invoice": invoice, "_customer": customer}
+    if invoice == customer:  # one distinct count serves for both
+        del ids["_customer"]
     rows = sales.select(
         month_start(F.to_date(event_time(sales, date))).alias("mes"),
         *[column.alias(name) for name, column in artist.items()],
-        F.col(invoice).alias("_invoice"),
-        F.col(customer).alias("_customer"),
+        *[F.col(column).alias(name) for name, column in ids.items()],
         (number(quantity) if quantity else F.lit(1)).alias("_quantity"),
         amount.alias("_amount"),
     ).filter(F.col("mes").isNotNull())
@@ -161,7 +163,7 @@ def artist_month_metrics_flat(
         rows = rows.dropna(subset=list(artist))
 
     group = ["mes", *artist]
-    per_invoice = rows.groupBy(*group, "_invoice", "_customer").agg(
+    per_invoice = rows.groupBy(*group, *ids).agg(
         F.count(F.lit(1)).alias("_rows"),
         F.sum("_quantity").alias("_quantity"),
         F.sum("_amount").alias("_amount"),
@@ -171,7 +173,7 @@ def artist_month_metrics_flat(
         F.sum("_quantity").alias("cantidad_total"),
         F.sum("_amount").alias("monto_total"),
         F.count_distinct("_invoice").alias("numero_facturas"),
-        F.count_distinct("_customer").alias("clientes_unicos"),
+        F.count_distinct(list(ids)[-1]).alias("clientes_unicos"),
     )
     return _with_month_parts(metrics)
 
