@@ -12,7 +12,7 @@ from vinilo.functions.numbers import percentage, ratio
 from vinilo.operators.joins import lookup_join
 from vinilo.operators.sales import valid_dates
 
-# Columns a flat sales frame may use, in order of preference.
+# Fixed names that the columns of a flat sales frame may have, the preferred first.
 DATE_NAMES = ("InvoiceDate", "invoice_date", "Date")
 ARTIST_ID_NAMES = ("ArtistId", "artist_id")
 ARTIST_NAME_NAMES = ("ArtistName", "nombre_artista", "Name")

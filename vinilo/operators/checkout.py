@@ -198,11 +198,12 @@ def invoice_documents(
         for c in ("CustomerId", "InvoiceDate", *BILLING_LENGTHS, "Total")
         if c in invoice.columns
     ]
+    no_lines = F.array().cast(documents.schema["Lines"].dataType)
     return (
         invoice.select("InvoiceId", *header)
         .join(documents, "InvoiceId", "left")
         .withColumn("Part", F.coalesce("Part", F.lit(0)))
-        .withColumn("Lines", F.coalesce("Lines", F.array().cast(documents.schema["Lines"].dataType)))
+        .withColumn("Lines", F.coalesce("Lines", no_lines))
     )
 
 

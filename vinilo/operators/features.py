@@ -18,6 +18,7 @@ from vinilo.operators.joins import lookup_join
 # Fixed list of genres that get a share of their own.
 MAIN_GENRES = ("Rock", "Metal", "Jazz", "Latin", "Blues", "Classical")
 
+# Fixed names and order of the features.
 BASIC_FEATURES = (
     "total_purchases",
     "total_spent",

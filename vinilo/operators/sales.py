@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from vinilo.functions.dates import day, is_weekend, weekday_name, year_month
 from vinilo.functions.numbers import ratio
 
+# Fixed names of the measures.
 MEASURES = (
     "total_canciones_vendidas",
     "cantidad_total",

@@ -12,6 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# Fixed parameters of the fits.
 SEED = 42
 FINAL_ITERATIONS = 100
 DEFAULT_K = 5

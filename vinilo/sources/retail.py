@@ -97,6 +97,7 @@ class Retail:
 
     def customer(self) -> DataFrame:
         key = F.col("c_custkey")
+        mailbox = F.lower(F.replace("c_name", F.lit("#"), F.lit(".")))
         countries = self.table("nation").select(
             F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("Country")
         )
@@ -108,9 +109,7 @@ class Retail:
                 F.col("c_name").alias("LastName"),
                 F.col("c_mktsegment").alias("Company"),
                 "Country",
-                F.concat(F.lower(F.replace("c_name", F.lit("#"), F.lit("."))), F.lit("@mail.test")).alias(
-                    "Email"
-                ),
+                F.concat(mailbox, F.lit("@mail.test")).alias("Email"),
                 F.when(key % 13 != 0, key % 10).alias("SupportRepId"),
             )
         )
