@@ -8,10 +8,12 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Joins whose partitions all turn out small are hashed instead of sorted.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
 }
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"

@@ -6,37 +6,61 @@ from collections.abc import Iterable
 from typing import Any
 
 from pyspark.sql import SparkSession
+from pyspark.sql.types import StructType
 
-from vinilo.sources.lake import list_snapshots
+from vinilo.sources.lake import list_snapshots, read_snapshot
 from vinilo.sources.layout import LakeLayout
 
 TABLE_PREFIX = "dl_"
+PARTITION = "snapshot"
 
 
-def _columns(schema) -> list[tuple[str, str]]:
-    return [(f.name.lower(), f.dataType.simpleString()) for f in schema.fields]
+def _columns(schemas: Iterable[StructType]) -> dict[str, str]:
+    """Columns of all the schemas; the first one that has a column gives its type."""
+    columns: dict[str, str] = {}
+    names: dict[str, str] = {}
+    for schema in schemas:
+        for column in schema.fields:
+            if column.name.lower() not in names and column.name != PARTITION:
+                names[column.name.lower()] = column.name
+                columns[column.name] = column.dataType.simpleString()
+    return columns
+
+
+def _create(spark: SparkSession, table: str, path: str, columns: dict[str, str]) -> None:
+    listed = ", ".join(f"`{name}` {kind}" for name, kind in columns.items())
+    spark.sql(
+        f"CREATE TABLE {table} ({listed}, {PARTITION} STRING) USING parquet "
+        f"PARTITIONED BY ({PARTITION}) LOCATION '{path}'"
+    )
 
 
 def _register(spark: SparkSession, table: str, path: str) -> str:
-    """Bring one table in line with its folder; returns what was done."""
+    """Bring one table in line with its folder; returns what was done.
+
+    All files of a snapshot have one schema, so a file of each is enough to
+    know the columns, and a file of the newest is enough once a table exists.
+    """
+    newest_first = list_snapshots(spark, path)[::-1]
     exists = spark.catalog.tableExists(table)
-    if not list_snapshots(spark, path):
+    if not newest_first:
         if not exists:
             return "absent"
         spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('deprecated' = 'true')")
         return "deprecated"
-    outcome = "unchanged" if exists else "created"
+    outcome = "unchanged"
     if exists:
-        found = spark.read.option("mergeSchema", "true").parquet(path).schema
-        if _columns(found) != _columns(spark.table(table).schema):
+        known = spark.table(table).schema
+        columns = _columns([read_snapshot(spark, path, newest_first[0]).schema, known])
+        if sorted(columns.items()) != sorted(_columns([known]).items()):
             # The table is external: dropping it leaves the files alone.
             spark.sql(f"DROP TABLE {table}")
-            exists, outcome = False, "updated"
-    if not exists:
-        spark.sql(
-            f"CREATE TABLE {table} USING parquet "
-            f"OPTIONS (mergeSchema 'true') LOCATION '{path}'"
-        )
+            _create(spark, table, path, columns)
+            outcome = "updated"
+    else:
+        columns = _columns(read_snapshot(spark, path, s).schema for s in newest_first)
+        _create(spark, table, path, columns)
+        outcome = "created"
     spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
     spark.sql(f"REFRESH TABLE {table}")
     return outcome

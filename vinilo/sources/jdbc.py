@@ -24,6 +24,7 @@ class JdbcSource:
             "password": self.password,
             "driver": self.driver,
             "fetchsize": str(self.fetch_size),
+            "preferTimestampNTZ": "true",  # the database's times have no zone
         }
 
 
