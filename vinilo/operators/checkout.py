@@ -187,11 +187,13 @@ def invoice_documents(
         .filter(F.col("_lines") > lines_per_document)
         .select("InvoiceId", parts.alias("_parts"))
     )
-    part = F.pmod("InvoiceLineId", F.coalesce("_parts", F.lit(1)))
-    documents = (
-        lookup_join(line, long_invoices, "InvoiceId")
-        .groupBy("InvoiceId", part.cast("int").alias("Part"))
-        .agg(F.sort_array(F.collect_list(struct)).alias("Lines"))
+    if long_invoices.isEmpty():
+        dealt = line.withColumn("Part", F.lit(0))
+    else:
+        part = F.pmod("InvoiceLineId", F.coalesce("_parts", F.lit(1))).cast("int")
+        dealt = lookup_join(line, long_invoices, "InvoiceId").withColumn("Part", part)
+    documents = dealt.groupBy("InvoiceId", "Part").agg(
+        F.sort_array(F.collect_list(struct)).alias("Lines")
     )
     header = [
         c

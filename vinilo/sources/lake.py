@@ -80,11 +80,9 @@ def read_raw_tables(
 
 
 def raw_bytes(
-    spark: SparkSession, layout: LakeLayout, tables: Iterable[str], snapshot: str | None = None
+    spark: SparkSession, layout: LakeLayout, tables: Iterable[str], snapshot: str
 ) -> int:
     """Size of the files that ``read_raw_tables`` would read."""
-    tables = list(tables)
-    snapshot = snapshot or latest_common_snapshot(spark, [layout.raw(t) for t in tables])
     return sum(folder_bytes(spark, f"{layout.raw(t)}/snapshot={snapshot}") for t in tables)
 
 
