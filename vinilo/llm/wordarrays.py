@@ -98,14 +98,16 @@ def positions(count: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.repeat(first - ahead, count) + np.arange(count.sum())
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batches, cut so that the texts of one take about SLICE_BYTES, or are a single text."""
+def slices(
+    batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """The batches, cut so that the texts of one take about ``most`` bytes, or are a single text."""
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0)
         ends = np.cumsum(lengths.to_numpy(zero_copy_only=False).astype(np.int64))
         at = 0
         while at < batch.num_rows:
             done = ends[at - 1] if at else 0
-            to = max(at + 1, int(np.searchsorted(ends, done + SLICE_BYTES, "right")))
+            to = max(at + 1, int(np.searchsorted(ends, done + most, "right")))
             yield batch.slice(at, to - at)
             at = to
