@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vinilo.llm.common import schema
+from vinilo.llm.common import schema, unused
 from vinilo.llm.wordarrays import slices
 
 LEAF_BYTES = 24
@@ -175,11 +175,11 @@ class Encoder:
         return self.decode(ids[:half]) + self.decode(ids[half:])
 
 
-def _encode(path: str, pattern: str):
+def _encode(path: str, pattern: str, text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(load_ranks(path), pattern)
-        for batch in slices(batches, "_text"):
-            texts = batch.column("_text").to_pylist()
+        for batch in slices(batches, text):
+            texts = batch.column(text).to_pylist()
             ids = pa.array([encoder.encode(t or "") for t in texts], pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], ids], [*batch.schema.names[:-1], "ids"]
@@ -211,10 +211,11 @@ def encoded(docs: DataFrame, path: str, pattern: str, carry: list[str] | None =
     not matter, and an empty table stays empty. Columns named ids or n_tokens
     are replaced. ``path`` is the vocabulary's place on every executor.
     """
-    keep = [c for c in (carry or docs.columns) if c not in ("ids", "n_tokens")]
-    own = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("_text"))
+    keep = [c for c in (carry or docs.columns) if c.lower() not in ("ids", "n_tokens")]
+    text = unused(keep, "text")
+    own = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias(text))
     fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in own.schema.fields[:-1])
-    found = own.mapInArrow(_encode(path, pattern), schema(f"{fields}ids binary"))
+    found = own.mapInArrow(_encode(path, pattern, text), schema(f"{fields}ids binary"))
     return found.withColumn("n_tokens", F.expr("octet_length(ids) div 4").cast("long"))
 
 

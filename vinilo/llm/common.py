@@ -27,6 +27,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def unused(columns: list[str], name: str) -> str:
+    """``name``, with underscores in front until no column is called so."""
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name = "_" + name
+    return name
+
+
 def words(text) -> F.Column:
     """The words of a text, in order; none of a null."""
     blank = F.translate(F.coalesce(text, F.lit("")), SEPARATORS, " " * len(SEPARATORS))

@@ -110,29 +110,32 @@ def schedule(spark: SparkSession, sources: DataFrame, slots: int) -> DataFrame:
 
 def mix(
     docs: DataFrame,
-    sizes: DataFrame | None = None,
     weights=(5, 2, 1),
     share: float = 1.5,
     most: int = 2,
     seed: str = "mix",
     slots: int = SLOTS,
+    keys: tuple[str, ...] = (),
     bucket_rows: int = BUCKET_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
-    """The line and the mix of documents (doc_id, source, size and any more columns).
+    """The line and the mix of documents (doc_id, source, size, ...).
 
-    The line has a row per document with ``source_size``, ``target`` and
-    ``line_start``, its place in its source. The mix has a row for each piece:
+    The line has a row per document with doc_id, source, size, the columns named
+    in ``keys``, ``source_size``, ``target`` and ``line_start``, its place in its
+    source. The mix has a row for each piece:
     slot, source, doc_id, line_start, pass, from_word, to_word. A source stays
     below its target by at most a few blocks; a block has ``share`` times all
     sizes divided by ``slots`` words, and one at least. The seed fixes the
     result. A null source is a source; a null doc_id is an id; a null size
     counts as 0, and documents without words are in the line but never in the
-    mix. Repeated rows follow each other on the line. Columns of ``docs`` beside
-    the three are carried along in the line.
+    mix. Repeated rows follow each other on the line. An
+    empty table gives an empty line and mix.
     """
     spark = docs.sparkSession
-    docs = docs.withColumn("size", F.coalesce(F.col("size"), F.lit(0)).cast("long"))
-    goals = saved(targets(docs if sizes is None else sizes, weights, share, most), "targets")
+    docs = docs.select(
+        "doc_id", "source", F.coalesce(F.col("size"), F.lit(0)).cast("long").alias("size"), *keys
+    )
+    goals = saved(targets(docs, weights, share, most), "targets")
     budget = goals.agg(F.coalesce(F.sum("target"), F.lit(0.0))).first()[0]
     rows = docs.count()
     block = max(1, int(budget // slots))
@@ -145,7 +148,7 @@ def mix(
         keyed,
         ["source"],
         F.substring("_hash", 1, hex_digits(rows, bucket_rows)),
-        ["_hash", "doc_id", "size", *[c for c in own if c not in ("doc_id", "size", "source")]],
+        ["_hash", "doc_id", "size", *keys],
         F.col("size"),
         "line_start",
     )

@@ -232,8 +232,20 @@ def near_duplicates(
         .applyInArrow(_confirm(width, percent), schema("a long, b long"))
         .distinct()
     )
-    # Rows of one document with different texts tie their classes together.
-    roots = components(links, "a", "b")
+    # Rows of one document with different sets tie their classes together.
+    several = (
+        usable.groupBy("doc_id")
+        .agg(F.min("digest").alias("_low"), F.max("digest").alias("_high"))
+        .filter("_low <> _high")
+        .select("doc_id")
+    )
+    ties = (
+        usable.select("doc_id", "digest")
+        .join(several, "doc_id")
+        .join(classes, "digest")
+        .select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
+    )
+    roots = components(links.union(ties), "a", "b")
     labels = classes.join(roots, "node", "left").select(
         "digest", F.coalesce("root", "node").alias("_label")
     )

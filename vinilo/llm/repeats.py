@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vinilo.llm.common import saved, schema
+from vinilo.llm.common import saved, schema, unused
 from vinilo.llm.wordarrays import Words, mixed, positions, sequence_hashes, slices
 
 WINDOW = 20
@@ -272,12 +272,14 @@ def cut_words(text: bytes, starts: list[int], stops: list[int], layout: bool) ->
     return kept, len(words), int((~keep).sum())
 
 
-def _cut(layout: bool):
+def _cut(layout: bool, text_column: str, starts_column: str, stops_column: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_text"):
-            starts, stops = batch.column("_starts").to_pylist(), batch.column("_stops").to_pylist()
+        for batch in slices(batches, text_column):
+            starts, stops = (
+                batch.column(c).to_pylist() for c in (starts_column, stops_column)
+            )
             texts, words, removed = [], [], []
-            for text, a, b in zip(batch.column("_text"), starts, stops):
+            for text, a, b in zip(batch.column(text_column), starts, stops):
                 raw = text.as_buffer().to_pybytes() if text.is_valid else b""
                 kept, n, gone = cut_words(raw, a or [], b or [], layout)
                 texts.append(kept.decode() if text.is_valid else None)
@@ -303,19 +305,25 @@ def remove_repeats(
     the columns of ``docs`` to return, by default all but the new ones.
     """
     new = ("kept_text", "n_words", "n_removed")
-    keep = [c for c in (carry or docs.columns) if c not in new]
+    keep = [c for c in (carry or docs.columns) if c.lower() not in new]
     spans = saved(repeated_spans(docs, window), "spans").toDF("_id", "_hash", "_starts", "_stops")
+    text = unused(keep, "text")
     own = docs.select(
-        *[F.col(f"`{c}`") for c in keep],
+        F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"),
         F.col("text").alias("_text"),
         F.col("doc_id").cast("long").alias("_doc"),
         F.xxhash64("text").alias("_own"),
     )
     joined = own.join(
         spans, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_hash")), "left"
-    ).select(*keep, "_text", "_starts", "_stops")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields[:-3])
-    lead = f"{fields}, " if fields else ""
+    ).select(
+        *[F.col("_row").getField(c).alias(c) for c in keep],
+        F.col("_text").alias(text),
+        F.col("_starts").alias(unused(keep, "starts")),
+        F.col("_stops").alias(unused(keep, "stops")),
+    )
+    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in joined.schema.fields[:-3])
     return joined.mapInArrow(
-        _cut(layout), schema(f"{lead}kept_text string, n_words long, n_removed long")
+        _cut(layout, *joined.columns[-3:]),
+        schema(f"{fields}kept_text string, n_words long, n_removed long"),
     )

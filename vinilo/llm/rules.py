@@ -70,16 +70,15 @@ _COVERED = """
 
 
 def measured(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with its measures.
+    """The rows of ``docs`` as a struct ``row``, and their measures.
 
     n_words, word_chars (code points), n_symbols, n_dup_lines (lines with a
     word that equal an earlier line), n_repeat_words (words in three-word
     windows found twice or more), n_stop_words, and the ratios of the rules.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    own = docs.columns
     listed = docs.select(
-        "*",
+        F.struct("*").alias("row"),
         words(F.col(text)).alias("_w"),
         F.filter(F.split(body, "\n"), lambda x: F.length(F.translate(x, SEPARATORS, "")) > 0).alias(
             "_lines"
@@ -88,7 +87,7 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
         (F.length(body) - F.length(F.translate(body, SYMBOLS, ""))).cast("long").alias("n_symbols"),
     )
     grams = listed.select(
-        *own,
+        "row",
         "word_chars",
         "n_symbols",
         F.size("_w").cast("long").alias("n_words"),
@@ -120,41 +119,19 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
 def quality_rules(docs: DataFrame, rules=RULES, text: str = "text") -> DataFrame:
     """``docs`` with measures, ``base_failed``, the rules that failed, and ``kept``.
 
-    The base rule asks for 50 words, at most half of them repeated. Measure
-    columns of the same names in ``docs`` are replaced.
+    The base rule asks for 50 words, at most half of them repeated. Columns of
+    ``docs`` that are called as one of the new ones are replaced.
     """
-    keep = [c for c in docs.columns if c not in NEW_COLUMNS]
-    table = measured(docs.select(*[F.col(f"`{c}`") for c in keep]), text)
+    table = measured(docs, text)
     base_failed = (F.col("n_words") < 50) | (
         F.col("n_repeat_words") * 100 > F.col("n_words") * 50
     )
     failed = F.array_compact(
         F.array(*[F.when(~rule.holds(), F.lit(rule.measure)) for rule in rules])
     )
-    return table.withColumns({"base_failed": base_failed, "failed_rules": failed}).withColumn(
+    judged = table.withColumns({"base_failed": base_failed, "failed_rules": failed}).withColumn(
         "kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)
     )
-
-
-NEW_COLUMNS = {
-    "n_words",
-    "word_chars",
-    "n_symbols",
-    "n_dup_lines",
-    "n_repeat_words",
-    "n_stop_words",
-    "mean_word_chars",
-    "symbol_ratio",
-    "stop_word_ratio",
-    "repeat_ratio",
-    "dup_line_ratio",
-    "base_failed",
-    "failed_rules",
-    "kept",
-    "_w",
-    "_lines",
-    "_n_lines",
-    "_sorted",
-    "_grams",
-    "_starts",
-}
+    new = judged.columns[1:]
+    keep = [F.col("row").getField(c).alias(c) for c in docs.columns if c.lower() not in new]
+    return judged.select(*keep, *new)

@@ -30,12 +30,12 @@ def stratified_shards(
     first is open, and changes nothing if they are equal throughout. An empty
     table gives an empty result. Columns named shard or slot are replaced.
     """
-    keep = [c for c in docs.columns if c not in ("shard", "slot")]
+    keep = [c for c in docs.columns if c.lower() not in ("shard", "slot")]
     rows = docs.count()
     digits = hex_digits(rows, bucket_rows)
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in identity]
     keyed = docs.select(
-        *keep,
+        F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"),
         F.col(source).alias("_source"),
         F.md5(F.concat_ws(":", F.lit(seed), *parts)).alias("_hash"),
     )
@@ -44,7 +44,7 @@ def stratified_shards(
         keyed,
         ["_source"],
         F.substring("_hash", 1, digits),
-        ["_hash", *identity],
+        ["_hash", *[f"row.{c}" for c in identity]],
         F.lit(1),
         "_rank",
     )
@@ -61,14 +61,14 @@ def stratified_shards(
         placed,
         [],
         F.floor(F.col("_place") * cuts),
-        ["_place", "_hash", *identity],
+        ["_place", "_hash", *[f"row.{c}" for c in identity]],
         F.lit(1),
         "_position",
     )
     total = F.lit(max(rows, 1)).cast("long")
     shard = F.expr(f"_position * {shards} div {max(rows, 1)}")
     return ordered.withColumn("shard", shard.cast("int")).select(
-        *keep,
+        *[F.col("row").getField(c).alias(c) for c in keep],
         "shard",
         (F.col("_position") - F.ceil(F.col("shard").cast("long") * total / shards))
         .cast("long")

@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vinilo.llm.common import schema
+from vinilo.llm.common import schema, unused
 from vinilo.llm.wordarrays import slices
 
 SPACE = "▁"
@@ -120,11 +120,11 @@ class Counter:
         return score, tokens
 
 
-def _count(path: str):
+def _count(path: str, text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(*load_pieces(path))
-        for batch in slices(batches, "_text"):
-            found = [counter.count(t or "") for t in batch.column("_text").to_pylist()]
+        for batch in slices(batches, text):
+            found = [counter.count(t or "") for t in batch.column(text).to_pylist()]
             scores = np.array([f[0] for f in found], float)
             tokens = np.array([f[1] for f in found], np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -143,7 +143,8 @@ def token_counts(docs: DataFrame, path: str, carry: list[str] | None = None) ->
     place: ids and repeated rows do not matter, and an empty table stays empty.
     Columns named n_tokens or best_score are replaced.
     """
-    keep = [c for c in (carry or docs.columns) if c not in ("n_tokens", "best_score")]
-    own = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("_text"))
+    keep = [c for c in (carry or docs.columns) if c.lower() not in ("n_tokens", "best_score")]
+    text = unused(keep, "text")
+    own = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias(text))
     fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in own.schema.fields[:-1])
-    return own.mapInArrow(_count(path), schema(f"{fields}n_tokens long, best_score double"))
+    return own.mapInArrow(_count(path, text), schema(f"{fields}n_tokens long, best_score double"))
