@@ -52,21 +52,26 @@ RULES = (
     Rule("dup_line_ratio", None, 0.5),
 )
 
-_GRAMS = """
-    CASE WHEN size(_w) >= 3 THEN transform(sequence(0, size(_w) - 3),
-        i -> concat_ws(' ', get(_w, i), get(_w, i + 1), get(_w, i + 2)))
-    ELSE array() END"""
+# A lambda over an array of one element names a value, so that it is worked out once.
 # Texts without a repeated window are not sorted.
-_SORTED = """
-    CASE WHEN size(array_distinct(_grams)) < size(_grams)
-    THEN sort_array(transform(_grams, (x, i) -> struct(x AS g, i AS i))) ELSE array() END"""
-_REPEATED = """
-    sort_array(filter(transform(_sorted, (x, j) ->
-        CASE WHEN x.g <=> get(_sorted, j - 1).g OR x.g <=> get(_sorted, j + 1).g THEN x.i END),
-        p -> p IS NOT NULL))"""
-_COVERED = """
-    aggregate(_starts, struct(0 AS stop, 0L AS n),
-        (a, p) -> struct(p + 3 AS stop, a.n + p + 3 - greatest(a.stop, p) AS n), a -> a.n)"""
+_REPEATED_WORDS = """
+    transform(array(_w), w ->
+    transform(array(CASE WHEN size(w) >= 3 THEN transform(sequence(0, size(w) - 3),
+        i -> concat_ws(' ', get(w, i), get(w, i + 1), get(w, i + 2))) ELSE array() END), grams ->
+    CASE WHEN size(array_distinct(grams)) = size(grams) THEN 0L ELSE
+    transform(array(sort_array(transform(grams, (x, i) -> struct(x AS gram, i AS at)))), sorted ->
+    aggregate(
+        sort_array(filter(transform(sorted, (x, j) -> CASE
+            WHEN x.gram <=> get(sorted, j - 1).gram OR x.gram <=> get(sorted, j + 1).gram
+            THEN x.at END), p -> p IS NOT NULL)),
+        struct(0 AS stop, 0L AS n),
+        (a, p) -> struct(p + 3 AS stop, a.n + p + 3 - greatest(a.stop, p) AS n),
+        a -> a.n))[0] END)[0])[0]"""
+
+
+def _once(column) -> F.Column:
+    """The column, marked so that no filter on results is pushed below it and works it out again."""
+    return F.when(F.spark_partition_id() >= 0, column)
 
 
 def measured(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -79,14 +84,14 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     body = F.coalesce(F.col(text), F.lit(""))
     listed = docs.select(
         F.struct("*").alias("row"),
-        words(F.col(text)).alias("_w"),
+        _once(words(F.col(text))).alias("_w"),
         F.filter(F.split(body, "\n"), lambda x: F.length(F.translate(x, SEPARATORS, "")) > 0).alias(
             "_lines"
         ),
         F.length(F.translate(body, SEPARATORS, "")).cast("long").alias("word_chars"),
         (F.length(body) - F.length(F.translate(body, SYMBOLS, ""))).cast("long").alias("n_symbols"),
     )
-    grams = listed.select(
+    counted = listed.select(
         "row",
         "word_chars",
         "n_symbols",
@@ -94,11 +99,8 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
         F.size("_lines").alias("_n_lines"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         F.size(F.filter("_w", lambda x: x.isin(*STOP_WORDS))).cast("long").alias("n_stop_words"),
-        F.expr(_GRAMS).alias("_grams"),
+        _once(F.expr(_REPEATED_WORDS)).alias("n_repeat_words"),
     )
-    ordered = grams.withColumn("_sorted", F.expr(_SORTED)).drop("_grams")
-    starts = ordered.withColumn("_starts", F.expr(_REPEATED)).drop("_sorted")
-    counted = starts.withColumn("n_repeat_words", F.expr(_COVERED)).drop("_starts")
 
     def ratio(over: str, under: str) -> F.Column:
         return F.coalesce(
