@@ -1,0 +1,107 @@
+"""BPE against the tiktoken library, unigram counts against the tokenizers library."""
+
+import random
+
+import numpy as np
+import pytest
+
+from vinilo.llm import bpe, unigram
+
+P = pytest.importorskip("public_tokenizers")
+BITS = ["'", "l", "e", "ll", " ", "  ", "\n", "\t", "a", "1", "é", "日本", "!", "'s", "x" * 9, "the", "\r\n"]
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return bpe.Encoder(bpe.load_ranks(P.path("byte_bpe_50k.tiktoken")), P.PATTERN)
+
+
+@pytest.fixture(scope="module")
+def library(encoder):
+    import tiktoken
+
+    return tiktoken.Encoding(
+        "own", pat_str=P.PATTERN, mergeable_ranks=encoder.ranks, special_tokens={}
+    )
+
+
+def ids(encoder, text):
+    return np.frombuffer(encoder.encode(text), "<u4").tolist()
+
+
+def test_texts_cut_anywhere_encode_as_the_library_does(encoder, library, monkeypatch):
+    monkeypatch.setattr(bpe, "LEAF_CHARS", 6)
+    pick = random.Random(1)
+    for _ in range(4000):
+        text = "".join(pick.choice(BITS) for _ in range(pick.randint(0, 40)))
+        assert ids(encoder, text) == library.encode_ordinary(text), text
+
+
+def test_bytes_joined_from_halves_encode_as_whole(encoder, library, monkeypatch):
+    monkeypatch.setattr(bpe, "LEAF_BYTES", 3)
+    monkeypatch.setattr(bpe, "LONG_BYTES", 40)
+    pick = random.Random(2)
+    for n in range(2000):
+        kind = (b"abcdefgh the in", bytes(range(256)), b"ab")[n % 3]
+        data = bytes(pick.choices(kind, k=pick.randint(1, 120)))
+        assert encoder.encode_bytes(data) == library._encode_single_piece(data)
+
+
+def test_every_token_encodes_to_itself(encoder):
+    assert all(encoder.merge(t) == [r] for t, r in list(encoder.ranks.items())[::50])
+
+
+def test_long_texts_and_words_go_round(encoder, library):
+    for text in ("a" * 5000, "the of " * 20000, "é" * 3000, "", "x\u0000y"):
+        found = np.frombuffer(encoder.encode(text), "<u4")
+        assert found.tolist() == library.encode_ordinary(text)
+        assert encoder.decode(found) == text.encode()
+
+
+def test_frames(spark, documents, odd_columns, encoder):
+    path = P.path("byte_bpe_50k.tiktoken")
+    docs = odd_columns(documents((1, "the cat"), (None, "b"), (2, None), (2, ""), (2, "")))
+    rows = bpe.decoded(bpe.encoded(docs, path, P.PATTERN), path, P.PATTERN).collect()
+    assert len(rows) == 5
+    for row in rows:
+        text = row["text"] or ""
+        assert np.frombuffer(bytes(row["ids"]), "<u4").tolist() == ids(encoder, text)
+        assert row["n_tokens"] == len(ids(encoder, text))
+        assert bytes(row["decoded"]) == text.encode()
+        assert row["kept"] == "x"
+    assert bpe.encoded(documents(), path, P.PATTERN).count() == 0
+
+
+@pytest.fixture(scope="module")
+def counter():
+    return unigram.Counter(*unigram.load_pieces(P.path("piece_bpe_32k.model")))
+
+
+def test_counts_equal_the_library(counter):
+    from tokenizers import Tokenizer, models
+
+    lowest = min(counter.pieces.values())
+    vocabulary = [("<unk>", lowest), *counter.pieces.items()]
+    vocabulary += [(f"<0x{i:02X}>", lowest) for i in range(256)]
+    library = Tokenizer(models.Unigram(vocabulary, 0, True))
+    pick = random.Random(3)
+    for _ in range(1500):
+        text = "".join(pick.choice(BITS + ["of", " and"]) for _ in range(pick.randint(1, 30)))
+        marked = unigram.SPACE + text.replace(" ", unigram.SPACE)
+        assert counter.count(text)[1] == len(library.encode(marked).ids), text
+
+
+def test_ties_keep_the_longer_last_piece_and_unknown_runs_count_once():
+    small = unigram.Counter({"a": -1.0, "b": -1.0, "ab": -1.0, "bc": -2.0, "c": -2.0}, False)
+    # "a|bc" and "ab|c" tie at -3: the last piece "bc" starts earlier.
+    assert small.best("abc") == (-3.0, 2)
+    assert small.best("a??a") == (-1 + 2 * small.unknown - 1, 3)
+    assert small.best("a?a")[1] == 3
+
+
+def test_count_frames(documents, odd_columns):
+    path = P.path("piece_bpe_32k.model")
+    docs = odd_columns(documents((1, "the cat"), (None, None), (2, ""), (2, "")))
+    rows = unigram.token_counts(docs, path).collect()
+    assert [r["n_tokens"] for r in rows][1:] == [0, 0, 0] and rows[0]["n_tokens"] == 2
+    assert unigram.token_counts(documents(), path).count() == 0

@@ -23,7 +23,7 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     """The frame written to the shared folder and read back, so that nothing above runs again."""
     spark = df.sparkSession
     folder = scratch_folder(spark, name)
-    df.write.parquet(folder)
+    df.write.option("compression", "zstd").parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 
