@@ -66,6 +66,13 @@ def _runs(breaks: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     return begin, np.diff(np.append(begin, n))
 
 
+def _broken(doc: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Where a start does not follow the one before in the same document."""
+    breaks = np.ones(len(doc), bool)
+    breaks[1:] = (doc[1:] != doc[:-1]) | (start[1:] != start[:-1] + 1)
+    return breaks
+
+
 def _packed(part, words_ids, text_hashes, doc, start, length, nodes) -> dict:
     there, local = np.unique(doc, return_inverse=True)
     return {
@@ -104,9 +111,7 @@ def _deal(parts: int, window: int, seed: int):
             rows = []
             if later.any():
                 d, s = doc[later], start[later]
-                breaks = np.ones(len(d), bool)
-                breaks[1:] = (d[1:] != d[:-1]) | (s[1:] != s[:-1] + 1)
-                begin, length = _runs(breaks, len(d))
+                begin, length = _runs(_broken(d, s), len(d))
                 rows.append(
                     _packed(
                         -1 - int(nodes[0] % np.uint64(parts)),
@@ -119,10 +124,8 @@ def _deal(parts: int, window: int, seed: int):
                     )
                 )
             doc, start, key, nodes = doc[~later], start[~later], key[~later], nodes[~later]
-            breaks = np.ones(len(doc), bool)
-            breaks[1:] = (
-                (doc[1:] != doc[:-1]) | (start[1:] != start[:-1] + 1) | (key[1:] != key[:-1])
-            )
+            breaks = _broken(doc, start)
+            breaks[1:] |= key[1:] != key[:-1]
             begin, length = _runs(breaks, len(doc))
             part = (mixed(key[begin]) % np.uint64(parts)).astype(np.int64)
             order = np.argsort(part, kind="stable")
@@ -162,28 +165,46 @@ def _gather(table: pa.Table, name: str, kind) -> list[np.ndarray]:
     return [np.frombuffer(x.as_buffer(), kind) for x in table.column(name)]
 
 
-def _spans(ids, text_hashes, doc, start, stop) -> pa.Table:
-    """Spans as one row per document, neighbours joined."""
-    if not len(doc):
-        return pa.table(
-            [pa.array([], f.type) for f in _SPAN_SCHEMA], schema=_SPAN_SCHEMA
-        )
-    order = np.lexsort((start, doc))
-    doc, start, stop = doc[order], start[order], stop[order]
-    breaks = np.ones(len(doc), bool)
-    breaks[1:] = (doc[1:] != doc[:-1]) | (start[1:] > stop[:-1])
+def _packed_spans(ids, text_hashes, doc, start, stop, buckets: int) -> pa.Table:
+    """Spans in one row per bucket of documents."""
+    spans = np.stack([ids[doc], text_hashes[doc], start, stop]).astype(np.int64)
+    owner = mixed((spans[0] ^ spans[1]).view(np.uint64)) % np.uint64(buckets)
+    order = np.argsort(owner, kind="stable")
+    owner, spans = owner[order], spans[:, order]
+    first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(owner) else owner
+    blobs = [
+        spans[:, a:b].tobytes() for a, b in zip(first, np.append(first[1:], len(owner)))
+    ]
+    return pa.table(
+        {"bucket": pa.array(owner[first].astype(np.int64)), "spans": pa.array(blobs, pa.binary())}
+    )
+
+
+def _by_document(table: pa.Table) -> pa.Table:
+    """The spans of a bucket in one row per document, overlapping ones joined."""
+    ids, text_hashes, start, stop = np.concatenate(
+        [x.reshape(4, -1) for x in _gather(table, "spans", np.int64)], axis=1
+    )
+    order = np.lexsort((start, text_hashes, ids))
+    ids, text_hashes, start, stop = (x[order] for x in (ids, text_hashes, start, stop))
+    new = np.ones(len(ids), bool)
+    new[1:] = (ids[1:] != ids[:-1]) | (text_hashes[1:] != text_hashes[:-1])
+    # Ends so far within the document: stops grow past those of earlier documents.
+    document = np.cumsum(new)
+    far = np.int64(stop.max() + 1)
+    reach = np.maximum.accumulate(document * far + stop) - document * far
+    breaks = new.copy()
+    breaks[1:] |= start[1:] > reach[:-1]
     begin = np.flatnonzero(breaks)
-    stop = np.maximum.reduceat(stop, begin)
-    doc, start = doc[begin], start[begin]
-    first = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
-    offsets = pa.array(np.append(first, len(doc)).astype(np.int32))
-    owner = doc[first]
+    ends = reach[np.append(begin[1:], len(ids)) - 1]
+    owner = begin[new[begin]]
+    offsets = np.append(np.searchsorted(begin, owner), len(begin)).astype(np.int32)
     return pa.Table.from_arrays(
         [
             pa.array(ids[owner], mask=ids[owner] == _NO_ID),
             pa.array(text_hashes[owner]),
-            pa.ListArray.from_arrays(offsets, pa.array(start.astype(np.int32))),
-            pa.ListArray.from_arrays(offsets, pa.array(stop.astype(np.int32))),
+            pa.ListArray.from_arrays(pa.array(offsets), pa.array(start[begin].astype(np.int32))),
+            pa.ListArray.from_arrays(pa.array(offsets), pa.array(ends.astype(np.int32))),
         ],
         schema=_SPAN_SCHEMA,
     )
@@ -199,7 +220,7 @@ _SPAN_SCHEMA = pa.schema(
 )
 
 
-def _subtree(window: int):
+def _subtree(window: int, buckets: int):
     """Spans of a group's repeated windows, each but its first occurrence."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -213,12 +234,14 @@ def _subtree(window: int):
         start = np.concatenate(_gather(table, "run_start", np.int32)).astype(np.int64)
         length = np.concatenate(_gather(table, "run_length", np.int32)).astype(np.int64)
         if table.column("part")[0].as_py() < 0:
-            return _spans(ids, text_hashes, doc, start, start + length)
+            return _packed_spans(ids, text_hashes, doc, start, start + length, buckets)
         nodes = np.concatenate(_gather(table, "nodes", np.uint64))
         doc, start = np.repeat(doc, length), positions(length, start)
         later = later_occurrences(nodes, ids[doc], start)
         doc, start = doc[later], start[later]
-        return _spans(ids, text_hashes, doc, start, start + window)
+        begin, length = _runs(_broken(doc, start), len(doc))
+        doc, start = doc[begin], start[begin]
+        return _packed_spans(ids, text_hashes, doc, start, start + length + window - 1, buckets)
 
     return run
 
@@ -231,8 +254,7 @@ def repeated_spans(
     Earlier means a smaller doc_id, or the same doc_id and an earlier start; a
     null doc_id comes last. A document is known by doc_id and the hash of its
     text, so rows that share a doc_id are told apart unless equal, and equal
-    rows get equal ranges. Ranges of one document may overlap. Documents without
-    repeats have no row.
+    rows get equal ranges. Documents without repeats have no row.
     """
     narrow = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -240,13 +262,12 @@ def repeated_spans(
         F.col("text"),
     )
     size = narrow.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    parts = max(1, -(-size // group_bytes))
+    parts, seed = max(1, -(-size // group_bytes)), min(seed, window)
     dealt = narrow.mapInArrow(_deal(parts, window, seed), schema(_RUNS))
-    found = dealt.groupBy("part").applyInArrow(_subtree(window), schema(_SPANS))
-    return found.groupBy("doc_id", "text_hash").agg(
-        F.flatten(F.collect_list("starts")).alias("starts"),
-        F.flatten(F.collect_list("stops")).alias("stops"),
+    found = dealt.groupBy("part").applyInArrow(
+        _subtree(window, parts), schema("bucket long, spans binary")
     )
+    return found.groupBy("bucket").applyInArrow(_by_document, schema(_SPANS))
 
 
 def cut_words(text: bytes, starts: list[int], stops: list[int], layout: bool) -> tuple:
