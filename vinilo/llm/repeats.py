@@ -335,8 +335,9 @@ def remove_repeats(
         F.col("doc_id").cast("long").alias("_doc"),
         F.xxhash64("text").alias("_own"),
     )
+    # Merged at every size: spans have no bound that would let them be broadcast.
     joined = own.join(
-        spans, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_hash")), "left"
+        spans.hint("merge"), F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_hash")), "left"
     ).select(
         *[F.col("_row").getField(c).alias(c) for c in keep],
         F.col("_text").alias(text),
