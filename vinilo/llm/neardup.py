@@ -23,6 +23,7 @@ from vinilo.llm.wordarrays import Words, mixed, positions, slices
 BAND_VALUES = 5
 MISS = 1e-5
 BLOCK_DOCUMENTS = 1024
+SLICE_BYTES = 3_000_000
 _SHORT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -61,7 +62,7 @@ def _signatures(width: int, bands: int):
     factors, terms = keys[::2] | np.uint64(1), keys[1::2]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, most=SLICE_BYTES):
             words = Words(batch.column("text"), lower=True)
             found, count = shingles(words, width)
             ends = np.cumsum(count)
