@@ -98,3 +98,12 @@ def test_large_tables_are_not_broadcast(spark, skewed, partners):
         assert "SortMergeJoin" in text
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_rows_of_one_task_are_spread(spark):
+    facts = spark.range(2000).select(F.lit(1).alias("k"), "id").coalesce(1)
+    other = spark.createDataFrame([(1, "x")], "k int, name string")
+    hot = hot_keys(facts, "k", rows_per_split=100)
+    assert hot.first()["_splits"] == 20
+    joined = skew_join(facts, other, "k", rows_per_split=100)
+    assert joined.count() == 2000

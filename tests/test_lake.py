@@ -3,6 +3,7 @@ import os
 from unittest.mock import MagicMock
 
 import pytest
+from pyspark.sql import functions as F
 
 from vinilo.operators.history import customer_employee_history
 from vinilo.operators.sales import sales_per_day
@@ -99,6 +100,16 @@ def test_unfinished_snapshots_are_not_read(spark, layout, sales):
     assert lake.list_snapshots(spark, path) == [OLD]
 
 
+def test_failed_writes_are_not_read(spark, layout, sales):
+    path = layout.raw("Invoice")
+    lake.write_snapshot(sales["Invoice"], path, OLD)
+    broken = sales["Invoice"].withColumn("Total", F.raise_error(F.lit("no")).cast("double"))
+    with pytest.raises(Exception, match="no"):
+        lake.write_snapshot(broken, path, NEW)
+    assert lake.list_snapshots(spark, path) == [OLD]
+    assert lake.read_snapshot(spark, path).count() == sales["Invoice"].count()
+
+
 def test_missing_snapshots(spark, layout, sales):
     with pytest.raises(FileNotFoundError):
         lake.read_snapshot(spark, layout.raw("Invoice"))

@@ -57,6 +57,7 @@ def test_search_bounds(track, wrong):
 
 def test_page(track):
     assert [r["TrackId"] for r in page(track, "TrackId", 2, 3).collect()] == [4]
+    assert [r["TrackId"] for r in page(track, "TrackId", 2, after=1).collect()] == [2, 3]
 
 
 def test_point_lookup(spark, track, rows):
@@ -193,9 +194,30 @@ def test_invoice_documents(spark):
 
     parts = checkout.invoice_documents(invoice, line, lines_per_document=30).filter("InvoiceId = 1")
     documents = parts.collect()
-    assert sorted(r["Part"] for r in documents) == [0, 1, 2, 3]
-    assert all(0 < len(r["Lines"]) < 60 for r in documents)
-    assert sorted(x["InvoiceLineId"] for r in documents for x in r["Lines"]) == list(range(1, 101))
+    assert {r["Part"]: len(r["Lines"]) for r in documents} == {0: 30, 1: 30, 2: 30, 3: 10}
+    paged = [x["InvoiceLineId"] for r in sorted(documents, key=lambda r: r["Part"]) for x in r["Lines"]]
+    assert paged == list(range(1, 101))
+
+
+def test_pages_of_stepped_ids_in_many_spans(spark):
+    invoice = spark.createDataFrame([(1, 10, 5.0)], "InvoiceId long, CustomerId long, Total double")
+    line = spark.range(40).select(
+        (F.col("id") * 4).alias("InvoiceLineId"),
+        F.lit(1).cast("long").alias("InvoiceId"),
+        F.col("id").alias("TrackId"),
+        F.lit(1.0).alias("UnitPrice"),
+        F.lit(1).alias("Quantity"),
+    )
+    pages = checkout.invoice_documents(invoice, line, lines_per_document=10, ids_per_span=12)
+    found = {r["Part"]: [x["InvoiceLineId"] for x in r["Lines"]] for r in pages.collect()}
+    assert found == {p: [4 * i for i in range(10 * p, 10 * p + 10)] for p in range(4)}
+
+
+def test_first_price_does_not_depend_on_row_order(spark):
+    rows = [(1, 7, 0, 5.0, 1), (1, 7, 0, 4.0, 1)]
+    kinds = "CheckoutId long, TrackId long, Seq long, UnitPrice double, Quantity int"
+    for given in (rows, rows[::-1]):
+        assert checkout.merge_cart(spark.createDataFrame(given, kinds)).first()["UnitPrice"] == 4.0
 
 
 def test_new_customers(spark, rows):

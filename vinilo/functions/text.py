@@ -22,7 +22,9 @@ def format_price(price: Column) -> Column:
     digit, while prices send them away from zero. A tie is an odd number of
     eighths, so it is nudged outwards first.
     """
-    x = parse_price(price)
+    number = parse_price(price)
+    # A negative zero is shown as zero.
+    x = F.when(number == 0, F.lit(0.0)).otherwise(number)
     eighths = x * 8
     tie = (eighths == F.floor(eighths)) & (F.abs(eighths) % 2 == 1)
     shown = F.when(tie, x + F.signum(x) * F.lit(0.001)).otherwise(x)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vinilo.functions.text import parse_price
@@ -150,11 +150,14 @@ def price_checkouts(
 
 
 def merge_cart(items: DataFrame) -> DataFrame:
-    """Repeated adds of a track as one item: quantities summed, first price kept."""
+    """Repeated adds of a track as one item: quantities summed, first price kept.
+
+    Of prices added at the same place in the order, the lowest is the first.
+    """
     return items.groupBy("CheckoutId", "TrackId").agg(
         F.min("Seq").alias("Seq"),
         F.sum("Quantity").alias("Quantity"),
-        F.min_by("UnitPrice", "Seq").alias("UnitPrice"),
+        F.min_by("UnitPrice", F.struct("Seq", "UnitPrice")).alias("UnitPrice"),
     )
 
 
@@ -170,42 +173,58 @@ def cart_totals(items: DataFrame) -> DataFrame:
 
 
 def invoice_documents(
-    invoice: DataFrame, line: DataFrame, lines_per_document: int = 10_000
+    invoice: DataFrame,
+    line: DataFrame,
+    lines_per_document: int = 10_000,
+    ids_per_span: int = 100_000,
 ) -> DataFrame:
     """Each invoice with its lines nested in order of line id.
 
-    An array must fit in memory, so an invoice with more lines than
-    ``lines_per_document`` comes as several documents of about that size,
-    numbered in ``Part``; all others are the single part 0. Line ids are
-    unique, so dealing them out by remainder keeps the parts even.
+    An array must fit in memory, so lines come in pages: ``Part`` p holds the
+    lines p * N to p * N + N - 1 of the invoice, N being ``lines_per_document``.
+    An invoice without lines has one empty page.
+
+    Lines are numbered in two steps, within spans of ids and then by the spans'
+    counts, so a long invoice is never sorted in one task.
     """
-    struct = F.struct("InvoiceLineId", "TrackId", "UnitPrice", "Quantity")
-    parts = F.ceil(F.col("_lines") / lines_per_document).cast("int")
-    long_invoices = (
-        line.groupBy("InvoiceId")
-        .agg(F.count(F.lit(1)).alias("_lines"))
-        .filter(F.col("_lines") > lines_per_document)
-        .select("InvoiceId", parts.alias("_parts"))
-    )
-    if long_invoices.isEmpty():
-        dealt = line.withColumn("Part", F.lit(0))
-    else:
-        part = F.pmod("InvoiceLineId", F.coalesce("_parts", F.lit(1))).cast("int")
-        dealt = lookup_join(line, long_invoices, "InvoiceId").withColumn("Part", part)
-    documents = dealt.groupBy("InvoiceId", "Part").agg(
-        F.sort_array(F.collect_list(struct)).alias("Lines")
+    content = ("InvoiceLineId", "TrackId", "UnitPrice", "Quantity")
+    spanned = line.select(
+        "InvoiceId", *content, F.expr(f"InvoiceLineId div {ids_per_span}").alias("_span")
+    )
+    counts = spanned.groupBy("InvoiceId", "_span").agg(F.count(F.lit(1)).alias("_lines"))
+    ahead = Window.partitionBy("InvoiceId").orderBy("_span")
+    before = counts.select(
+        "InvoiceId",
+        "_span",
+        F.coalesce(
+            F.sum("_lines").over(ahead.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+        ).alias("_before"),
+    )
+    within = Window.partitionBy("InvoiceId", "_span").orderBy(*content)
+    paged = (
+        spanned.withColumn("_n", F.row_number().over(within) - 1)
+        .join(before, ["InvoiceId", "_span"])
+        .withColumn("Part", F.expr(f"(_before + _n) div {lines_per_document}").cast("int"))
+    )
+    documents = paged.groupBy("InvoiceId", "Part").agg(
+        F.sort_array(F.collect_list(F.struct(*content))).alias("Lines")
     )
     header = [
         c
         for c in ("CustomerId", "InvoiceDate", *BILLING_LENGTHS, "Total")
         if c in invoice.columns
     ]
+    pages = counts.groupBy("InvoiceId").agg(
+        F.expr(f"(sum(_lines) - 1) div {lines_per_document}").cast("int").alias("_last")
+    )
     no_lines = F.array().cast(documents.schema["Lines"].dataType)
     return (
         invoice.select("InvoiceId", *header)
-        .join(documents, "InvoiceId", "left")
-        .withColumn("Part", F.coalesce("Part", F.lit(0)))
-        .withColumn("Lines", F.coalesce("Lines", no_lines))
+        .join(pages, "InvoiceId", "left")
+        .withColumn("Part", F.explode(F.sequence(F.lit(0), F.coalesce("_last", F.lit(0)))))
+        .drop("_last")
+        .join(documents, ["InvoiceId", "Part"], "left")
+        .select("InvoiceId", *header, "Part", F.coalesce("Lines", no_lines).alias("Lines"))
     )
 
 

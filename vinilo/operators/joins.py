@@ -59,21 +59,22 @@ def skew_join(
     Keys are counted in ``count_in`` where that is given: a frame with the same
     keys as ``facts`` that is cheaper to read.
 
-    The split of a row is taken from the number of the map task that reads it.
-    That number stays the same when a lost task is run again, and it spreads
-    copies of one row, which a hash of the row would not.
+    The split of a row is taken from a hash of the row and the number of the map
+    task that reads it. Both stay the same when a lost task is run again; the hash
+    spreads the rows of one task, the number the copies of one row.
     """
     if how not in LEFT_KEEPING:
         raise ValueError(f"how must be one of {LEFT_KEEPING}, not {how!r}")
     counted = facts if count_in is None else count_in
     hot = F.broadcast(hot_keys(counted, key, rows_per_split, max_hot_keys))
     task = F.spark_partition_id()
+    spread = F.shiftright(F.xxhash64(*facts.columns), 1) + task
     salted = (
         facts.join(hot, key, "left")
         .withColumn(
             "_salt",
             F.when(F.col(key).isNull(), task)
-            .when(F.col("_splits").isNotNull(), task % F.col("_splits"))
+            .when(F.col("_splits").isNotNull(), F.pmod(spread, F.col("_splits")).cast("int"))
             .otherwise(F.lit(0)),
         )
         .drop("_splits")

@@ -150,6 +150,60 @@ def cluster_examples(predictions: DataFrame, per_cluster: int = 5) -> DataFrame:
     )
 
 
+def segmentation_checks(
+    predictions: DataFrame,
+    profile: DataFrame,
+    centers: Sequence[Sequence[float]],
+    columns: Sequence[str],
+) -> DataFrame:
+    """(check_name, value): customers, and counts of what must not happen in a clustering.
+
+    far: customers nearer to another centre than to their own. profile: clusters
+    whose size or means differ from those of their customers. examples: customers
+    among the five lowest ids of their cluster without being an example, or the
+    reverse. Computed over all customers; only the centres travel.
+    """
+    point = vector_to_array("features")
+    distances = [
+        F.aggregate(
+            F.zip_with(point, F.array(*map(F.lit, map(float, c))), lambda x, y: (x - y) * (x - y)),
+            F.lit(0.0),
+            lambda total, x: total + x,
+        )
+        for c in centers
+    ]
+    own = F.element_at(F.array(*distances), F.col("cluster") + 1)
+    least = F.least(*distances) if len(distances) > 1 else distances[0]
+    totals = predictions.agg(
+        F.count(F.lit(1)).alias("customers"),
+        F.count_if(own > least + 1e-9).alias("far"),
+    )
+    first = columns[0]
+    again = predictions.groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("_n"), F.avg(F.col(first).cast("double")).alias("_mean")
+    )
+    differs = (F.col("_n") != F.col("customer_count")) | (
+        F.abs(F.col("_mean") - F.col(f"{first}_mean")) > 1e-6
+    )
+    wrong = profile.join(again, "cluster", "full").agg(
+        F.count_if(F.coalesce(differs, F.lit(True))).alias("profile")
+    )
+    examples = cluster_examples(predictions)
+    others = predictions.join(examples.select("CustomerId"), "CustomerId", "left_anti")
+    lowest = others.groupBy("cluster").agg(F.min("CustomerId").alias("_lowest"))
+    misplaced = examples.join(lowest, "cluster").agg(
+        F.count_if(F.col("CustomerId") > F.col("_lowest")).alias("examples")
+    )
+    return totals.join(wrong).join(misplaced).select(
+        F.explode(
+            F.map_from_arrays(
+                F.array(*[F.lit(n) for n in ("customers", "far", "profile", "examples")]),
+                F.array("customers", "far", "profile", "examples"),
+            )
+        ).alias("check_name", "value")
+    )
+
+
 def save_results(
     predictions: DataFrame,
     profile: DataFrame,

@@ -7,17 +7,25 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vinilo.operators.joins import skew_join
+from vinilo.operators.joins import fits_broadcast, skew_join
 
 MAX_PAGE = 100
 
 
-def page(table: DataFrame, key: str, limit: int = 50, offset: int = 0) -> DataFrame:
-    """Rows ``offset`` to ``offset + limit`` of the table in key order."""
+def page(
+    table: DataFrame, key: str, limit: int = 50, offset: int = 0, after=None
+) -> DataFrame:
+    """Rows ``offset`` to ``offset + limit`` of the table in key order.
+
+    ``after`` starts behind that key, which stays cheap however deep the page
+    is; an offset has to gather all rows before it.
+    """
     if not 1 <= limit <= MAX_PAGE:
         raise ValueError(f"limit must lie in 1..{MAX_PAGE}, not {limit}")
     if offset < 0:
         raise ValueError(f"offset must not be negative, not {offset}")
+    if after is not None:
+        table = table.filter(F.col(key) > F.lit(after))
     return table.orderBy(key).offset(offset).limit(limit)
 
 
@@ -60,8 +68,16 @@ def catalog_search(
 
 
 def point_lookup(requests: DataFrame, table: DataFrame, key: str) -> DataFrame:
-    """The table's row for each requested key, with ``found`` telling if there is one."""
+    """The table's row for each requested key, with ``found`` telling if there is one.
+
+    A bounded number of requests is broadcast and the table filtered by it, with
+    no shuffle of the table; more are joined as a whole.
+    """
+    asked = requests.select(key)
     marked = table.withColumn("found", F.lit(True))
-    return skew_join(requests.select(key), marked, key, "left").withColumn(
-        "found", F.coalesce("found", F.lit(False))
-    )
+    if fits_broadcast(asked):
+        hits = marked.join(F.broadcast(asked.distinct()), key, "left_semi")
+        found = asked.join(F.broadcast(hits), key, "left")
+    else:
+        found = skew_join(asked, marked, key, "left")
+    return found.withColumn("found", F.coalesce("found", F.lit(False)))

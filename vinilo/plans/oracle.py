@@ -278,7 +278,6 @@ def _audit() -> str:
     parts += [
         _unique(table, view, required[table].split()[0])
         for table, view in views.items()
-        if table != "InvoiceLine"
     ]
     parts.append(_unique("Customer", "a_customer", "Email"))
     parts += [
@@ -460,10 +459,18 @@ ORACLE: dict[str, str] = {
     + " FROM v_bought GROUP BY CustomerId",
     "customer_features": VIEWS + FEATURES + "SELECT * FROM features",
     "scaled_features": VIEWS + FEATURES + f"SELECT CustomerId, {SCALED} FROM features",
+    "segmentation_checks": VIEWS + """
+        SELECT unnest(['customers', 'far', 'profile', 'examples']) AS check_name,
+               unnest([(SELECT count(DISTINCT CustomerId) FROM v_bought
+                        WHERE CustomerId IN (SELECT CustomerId FROM v_customer)), 0, 0, 0]) AS value""",
     "catalog_search": VIEWS + """
         SELECT * REPLACE (CAST(UnitPrice AS DOUBLE) AS UnitPrice) FROM v_track
         WHERE v_track.Name ILIKE '%ring%' AND v_track.UnitPrice BETWEEN 900 AND 990
         ORDER BY TrackId LIMIT 50 OFFSET 10""",
+    "catalog_filter": VIEWS + """
+        SELECT * REPLACE (CAST(UnitPrice AS DOUBLE) AS UnitPrice) FROM v_track
+        WHERE AlbumId = 'Brand#13' AND GenreId = 'STANDARD' AND TrackId > 20
+        ORDER BY TrackId LIMIT 50""",
     "catalog_page": VIEWS + "SELECT * FROM v_album ORDER BY AlbumId LIMIT 10 OFFSET 5",
     "point_lookup": VIEWS + """
         SELECT x.TrackId, t.TrackId IS NOT NULL AS found, t.Name,
@@ -513,22 +520,19 @@ ORACLE: dict[str, str] = {
         FROM screened s""",
     "constraint_audit": _audit(),
     "invoice_documents": VIEWS + """
-        , parts AS (
-          SELECT InvoiceId, CAST(ceil(count(*) / 10000) AS BIGINT) AS n
-          FROM v_line GROUP BY InvoiceId),
-        dealt AS (
-          SELECT l.*, CAST(InvoiceLineId % n AS INTEGER) AS part
-          FROM v_line l JOIN parts p ON l.InvoiceId = p.InvoiceId)
+        , numbered AS (
+          SELECT *, row_number() OVER (PARTITION BY InvoiceId
+            ORDER BY InvoiceLineId, TrackId, UnitPrice, Quantity) - 1 AS n FROM v_line)
         SELECT i.InvoiceId, i.CustomerId,
           strftime(i.fecha, '%Y-%m-%d %H:%M:%S') AS InvoiceDate, i.BillingCity,
-          CAST(i.Total AS DOUBLE) AS Total, coalesce(part, 0) AS Part,
+          CAST(i.Total AS DOUBLE) AS Total, CAST(coalesce(n // 3, 0) AS INTEGER) AS Part,
           CAST(count(InvoiceLineId) AS INTEGER) AS line_count,
           coalesce(string_agg(InvoiceLineId || ':' || TrackId || ':' || UnitPrice || ':'
-            || Quantity, '|' ORDER BY InvoiceLineId, TrackId, UnitPrice, Quantity), '') AS Lines
-        FROM v_invoice i LEFT JOIN dealt l ON i.InvoiceId = l.InvoiceId GROUP BY ALL""",
+            || Quantity, '|' ORDER BY n), '') AS Lines
+        FROM v_invoice i LEFT JOIN numbered l ON i.InvoiceId = l.InvoiceId GROUP BY ALL""",
     "cart_merge": VIEWS + """
         SELECT CheckoutId, TrackId, min(Seq) AS Seq, CAST(sum(Quantity) AS BIGINT) AS Quantity,
-               CAST(arg_min(UnitPrice, Seq) AS DOUBLE) AS UnitPrice
+               CAST((list(UnitPrice ORDER BY Seq, UnitPrice))[1] AS DOUBLE) AS UnitPrice
         FROM v_item GROUP BY CheckoutId, TrackId""",
     "cart_totals": VIEWS + """
         SELECT CheckoutId, round_even(CAST(sum(CASE WHEN CheckoutId % 11 = 0 THEN 0

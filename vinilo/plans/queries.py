@@ -26,7 +26,7 @@ from vinilo.sources.retail import GENRES, MAIN_GENRES, NOBODY, Retail
 
 OLDER, NEWER = "20240101_000000", "20240102_000000"
 CLUSTERS = 3
-SWEEP = range(2, 5)
+SWEEP = segments.K_RANGE
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -137,7 +137,8 @@ def artist_month_metrics_attributed(r: Retail) -> DataFrame:
 def artist_month_metrics_flat(r: Retail) -> DataFrame:
     """From one frame under other column names, without invoice and customer ids."""
     sold = artists.attribute_sales(r.line(), r.track(), r.album(), r.artist())
-    dated = skew_join(sold, r.invoice().select("InvoiceId", "InvoiceDate"), "InvoiceId")
+    dates = r.invoice().select("InvoiceId", "InvoiceDate")
+    dated = skew_join(sold, dates, "InvoiceId", count_in=r.line())
     flat = dated.select(
         F.col("InvoiceDate").alias("invoice_date"),
         F.col("ArtistId").alias("artist_id"),
@@ -351,6 +352,17 @@ def segmentation_run(r: Retail) -> DataFrame:
     return r.spark.read.parquet(f"{output}/cluster_statistics")
 
 
+@query
+def segmentation_checks(r: Retail) -> DataFrame:
+    """What holds of a segmentation whatever its clusters are."""
+    scaled, _ = segments.scale(checkpoint(_features(r)), FEATURES)
+    model, predictions, _ = segments.train_kmeans(scaled, CLUSTERS)
+    profile = segments.cluster_profile(predictions, FEATURES)
+    return segments.segmentation_checks(
+        predictions, profile, [c.tolist() for c in model.clusterCenters()], FEATURES
+    )
+
+
 # Shop
 
 
@@ -361,6 +373,13 @@ def catalog_search(r: Retail) -> DataFrame:
     )
 
 
+@query
+def catalog_filter(r: Retail) -> DataFrame:
+    """Tracks of one album and genre behind a key."""
+    tracks = shop.filter_tracks(r.track(), album_id="Brand#13", genre_id="STANDARD")
+    return shop.page(tracks, "TrackId", limit=50, after=20)
+
+
 @query
 def catalog_page(r: Retail) -> DataFrame:
     return shop.page(r.album(), "AlbumId", limit=10, offset=5)
@@ -422,21 +441,18 @@ def new_customer_screening(r: Retail) -> DataFrame:
 
 @query
 def constraint_audit(r: Retail) -> DataFrame:
-    """All rules on all tables, with lines of unknown invoices and shared addresses added.
-
-    Line ids repeat in the test data, so their uniqueness is left out.
-    """
+    """All rules on all tables, with lines of unknown invoices and shared addresses added."""
     tables = r.lake_tables()
     orphaned = F.when(F.col("InvoiceId") % 500 == 0, NOBODY).otherwise(0)
     tables["InvoiceLine"] = r.line().withColumn("InvoiceId", F.col("InvoiceId") + orphaned)
     shared = F.when(F.col("CustomerId") % 3 == 0, "shared@mail.test").otherwise(F.col("Email"))
     tables["Customer"] = r.customer().withColumn("Email", shared)
-    return audit.constraint_audit(tables, skip={("InvoiceLine", "InvoiceLineId")})
+    return audit.constraint_audit(tables)
 
 
 @query
 def invoice_documents(r: Retail) -> DataFrame:
-    """Documents with their nested lines written out as text."""
+    """Pages of three lines, with the nested lines written out as text."""
     lines = F.transform(
         "Lines",
         lambda x: F.concat_ws(
@@ -444,7 +460,7 @@ def invoice_documents(r: Retail) -> DataFrame:
         ),
     )
     return (
-        checkout.invoice_documents(r.invoice(), r.line())
+        checkout.invoice_documents(r.invoice(), r.line(), lines_per_document=3)
         .withColumn("line_count", F.size("Lines"))
         .withColumn("Lines", F.array_join(lines, "|"))
     )

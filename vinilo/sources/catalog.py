@@ -29,9 +29,10 @@ def _columns(schemas: Iterable[StructType]) -> dict[str, str]:
 
 def _create(spark: SparkSession, table: str, path: str, columns: dict[str, str]) -> None:
     listed = ", ".join(f"`{name}` {kind}" for name, kind in columns.items())
+    quoted = path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
         f"CREATE TABLE {table} ({listed}, {PARTITION} STRING) USING parquet "
-        f"PARTITIONED BY ({PARTITION}) LOCATION '{path}'"
+        f"PARTITIONED BY ({PARTITION}) LOCATION '{quoted}'"
     )
 
 
@@ -61,7 +62,9 @@ def _register(spark: SparkSession, table: str, path: str) -> str:
         columns = _columns(read_snapshot(spark, path, s).schema for s in newest_first)
         _create(spark, table, path, columns)
         outcome = "created"
-    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    # Only finished snapshots, which a search for folders would not tell apart.
+    added = " ".join(f"PARTITION ({PARTITION} = '{s}')" for s in newest_first)
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {added}")
     spark.sql(f"REFRESH TABLE {table}")
     return outcome
 

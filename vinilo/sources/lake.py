@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from vinilo.sources.layout import SNAPSHOT_FORMAT, LakeLayout, check_snapshot
 
+# Left by Spark's writer when all of a folder has been written.
+SUCCESS = "_SUCCESS"
+
 
 def _hadoop(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -30,8 +33,8 @@ def _folders(spark: SparkSession, path: str) -> list[str]:
 def list_snapshots(spark: SparkSession, dataset_path: str) -> list[str]:
     """Finished snapshots of a dataset, oldest first, from folder names only.
 
-    A folder that still holds a writer's temporary files is left out, so a
-    run that was cut short is never read.
+    A snapshot counts once its writer has left the mark of success, so a run that
+    failed or was cut short is never read.
     """
     prefix = "snapshot="
     names = (
@@ -43,7 +46,7 @@ def list_snapshots(spark: SparkSession, dataset_path: str) -> list[str]:
         name
         for name in names
         if SNAPSHOT_FORMAT.fullmatch(name)
-        and not _exists(spark, f"{dataset_path}/{prefix}{name}/_temporary")
+        and _exists(spark, f"{dataset_path}/{prefix}{name}/{SUCCESS}")
     )
 
 
