@@ -23,7 +23,7 @@ from vinilo.llm.wordarrays import Words, mixed, positions, slices
 BAND_VALUES = 5
 MISS = 1e-5
 BLOCK_DOCUMENTS = 1024
-SLICE_BYTES = 3_000_000
+SLICE_BYTES = 2_000_000
 _SHORT = np.uint64(0x9E3779B97F4A7C15)
 
 
