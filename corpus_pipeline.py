@@ -91,8 +91,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and whether decoding them gives the text back."""
     path = tokenizer_path("byte_bpe_50k.tiktoken")
-    tokens = bpe.encoded(docs.select(*COLUMNS), path, pattern())
-    checked = bpe.decoded(tokens, path, pattern())
+    checked = bpe.encoded(docs.select(*COLUMNS), path, pattern(), back=True)
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return checked.select(
         "doc_id",

@@ -175,14 +175,17 @@ class Encoder:
         return self.decode(ids[:half]) + self.decode(ids[half:])
 
 
-def _encode(path: str, pattern: str, text: str):
+def _encode(path: str, pattern: str, text: str, back: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(load_ranks(path), pattern)
         for batch in slices(batches, text):
-            texts = batch.column(text).to_pylist()
-            ids = pa.array([encoder.encode(t or "") for t in texts], pa.binary())
+            ids = [encoder.encode(t or "") for t in batch.column(text).to_pylist()]
+            made = {"ids": ids}
+            if back:
+                made["decoded"] = [encoder.decode(np.frombuffer(x, "<u4")) for x in ids]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], ids], [*batch.schema.names[:-1], "ids"]
+                [*batch.columns[:-1], *[pa.array(v, pa.binary()) for v in made.values()]],
+                [*batch.schema.names[:-1], *made],
             )
 
     return run
@@ -203,19 +206,29 @@ def _decode(path: str, pattern: str):
     return run
 
 
-def encoded(docs: DataFrame, path: str, pattern: str, carry: list[str] | None = None) -> DataFrame:
+def encoded(
+    docs: DataFrame,
+    path: str,
+    pattern: str,
+    carry: list[str] | None = None,
+    back: bool = False,
+) -> DataFrame:
     """``carry`` columns of ``docs`` (by default all) with ``ids`` and ``n_tokens``.
 
     ids is a binary of little-endian unsigned 32-bit numbers; a null or empty
     text has none. Row by row and in place: no shuffle, ids and repeated rows do
     not matter, and an empty table stays empty. Columns named ids or n_tokens
-    are replaced. ``path`` is the vocabulary's place on every executor.
+    are replaced. ``path`` is the vocabulary's place on every executor. With
+    ``back`` the same worker also decodes the ids, into ``decoded``, which spares
+    the second worker per task that ``decoded`` after ``encoded`` would take.
     """
-    keep = [c for c in (carry or docs.columns) if c.lower() not in ("ids", "n_tokens")]
+    made = ["ids", "decoded"] if back else ["ids"]
+    keep = [c for c in (carry or docs.columns) if c.lower() not in ("n_tokens", *made)]
     text = unused(keep, "text")
     own = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias(text))
     fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in own.schema.fields[:-1])
-    found = own.mapInArrow(_encode(path, pattern, text), schema(f"{fields}ids binary"))
+    binaries = ", ".join(f"{c} binary" for c in made)
+    found = own.mapInArrow(_encode(path, pattern, text, back), schema(f"{fields}{binaries}"))
     return found.withColumn("n_tokens", F.expr("octet_length(ids) div 4").cast("long"))
 
 
