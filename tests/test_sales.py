@@ -17,7 +17,7 @@ from vinilo.plans import reports
 
 INVOICE = "InvoiceId int, InvoiceDate string, CustomerId int"
 LINE = "InvoiceId int, TrackId int, UnitPrice double, Quantity int"
-LINES = [(1, 100, 0.99, 1), (1, 101, 0.99, 2), (2, 102, 1.99, 1), (3, 103, 2.99, 3)]
+LINES = [(7, 41, 2.5, 2), (7, 42, 1.25, 4), (8, 41, 2.0, 1), (9, 43, 0.5, 6), (9, 44, 3.0, 1)]
 
 
 def frames(spark, invoices, lines=LINES):
@@ -26,28 +26,28 @@ def frames(spark, invoices, lines=LINES):
 
 @pytest.fixture
 def two_days(spark):
-    return frames(spark, [(1, "2024-01-01", 10), (2, "2024-01-01", 11), (3, "2024-01-02", 10)])
+    return frames(spark, [(7, "2023-05-12", 3), (8, "2023-05-12", 4), (9, "2023-05-13", 3)])
 
 
 def test_sales_per_day(two_days, rows):
     result = rows(sales_per_day(*two_days, round_to=2), "fecha")
-    first = result[datetime.date(2024, 1, 1)]
+    first = result[datetime.date(2023, 5, 12)]
     assert first["total_canciones_vendidas"] == 3
-    assert first["cantidad_total"] == 4
+    assert first["cantidad_total"] == 7
     assert first["numero_facturas"] == 2
     assert first["clientes_unicos"] == 2
-    assert first["monto_total"] == pytest.approx(4.96)
+    assert first["monto_total"] == 12.0
     assert first["avg_canciones_por_factura"] == 1.5
-    assert first["ticket_promedio"] == 2.48
+    assert first["ticket_promedio"] == 6.0
     assert (first["dia_semana"], first["mes"], first["año"], first["trimestre"]) == (
-        "Monday",
-        1,
-        2024,
-        1,
+        "Friday",
+        5,
+        2023,
+        2,
     )
-    second = result[datetime.date(2024, 1, 2)]
-    assert (second["total_canciones_vendidas"], second["cantidad_total"]) == (1, 3)
-    assert second["ticket_promedio"] == 8.97
+    second = result[datetime.date(2023, 5, 13)]
+    assert (second["total_canciones_vendidas"], second["cantidad_total"]) == (2, 7)
+    assert second["monto_total"] == 6.0
 
 
 def test_columns_of_sales_per_day(two_days):
@@ -78,35 +78,33 @@ def test_unreadable_dates_drop_out(spark, two_days, rows):
 def test_sales_by_weekday(spark, rows):
     invoice, line = frames(
         spark,
-        [(i, f"2024-01-0{i}", 9 + i) for i in range(1, 5)],
-        [*LINES, (4, 104, 3.99, 1)],
+        [(7, "2023-05-08", 1), (8, "2023-05-15", 2), (9, "2023-05-10", 1)],
+        [*LINES, (9, 45, 1.5, 2)],
     )
     result = rows(sales_by_weekday(invoice, line, round_to=2), "dia_semana")
     assert {d: r["ticket_promedio"] for d, r in result.items()} == {
-        "Monday": 2.97,
-        "Tuesday": 1.99,
-        "Wednesday": 8.97,
-        "Thursday": 3.99,
+        "Monday": 6.0,
+        "Wednesday": 9.0,
     }
-    assert result["Monday"]["avg_canciones_por_factura"] == 2.0
+    assert result["Monday"]["avg_canciones_por_factura"] == 1.5
 
 
 def test_sales_by_month(spark, rows):
     invoice, line = frames(
-        spark, [(1, "2024-01-01", 10), (2, "2024-01-15", 11), (3, "2024-02-01", 12)]
+        spark, [(7, "2023-03-31", 1), (8, "2023-04-01", 2), (9, "2023-04-30", 1)]
     )
     result = rows(sales_by_month(invoice, line, round_to=2), "year_month")
-    assert result["2024-01"]["cantidad_total"] == 4
-    assert result["2024-01"]["ticket_promedio"] == 2.48
-    assert result["2024-02"]["numero_facturas"] == 1
+    assert result["2023-03"]["ticket_promedio"] == 10.0
+    assert result["2023-04"]["cantidad_total"] == 8
+    assert result["2023-04"]["ticket_promedio"] == 4.0
 
 
 def test_one_line_month(spark, rows):
-    invoice, line = frames(spark, [(1, "2024-01-01", 10)], [(1, 100, 1.99, 3)])
+    invoice, line = frames(spark, [(5, "2022-12-31", 1)], [(5, 9, 0.75, 4)])
     (only,) = rows(sales_by_month(invoice, line), "year_month").values()
     assert only["total_canciones_vendidas"] == 1
-    assert only["cantidad_total"] == 3
-    assert only["monto_total"] == pytest.approx(5.97)
+    assert only["cantidad_total"] == 4
+    assert only["monto_total"] == 3.0
 
 
 @pytest.mark.parametrize(
@@ -191,7 +189,7 @@ def test_rollups_agree_with_counting_by_hand(spark, invoices, sales):
 
 def test_weekend_comparison(spark, rows):
     invoice, line = frames(
-        spark, [(1, "2024-01-05", 1), (2, "2024-01-06", 1), (3, "2024-01-07", 1)]
+        spark, [(7, "2023-05-12", 1), (8, "2023-05-13", 1), (9, "2023-05-14", 1)]
     )
     result = rows(weekend_comparison(invoice, line), "fin_de_semana")
     assert result[False]["numero_dias"] == 1
@@ -202,7 +200,7 @@ def test_weekend_comparison(spark, rows):
 
 def test_weekday_averages(spark, rows):
     invoice, line = frames(
-        spark, [(1, "2024-01-01", 1), (2, "2024-01-08", 1), (3, "2024-01-02", 1)]
+        spark, [(7, "2023-05-08", 1), (8, "2023-05-15", 1), (9, "2023-05-09", 1)]
     )
     result = rows(reports.weekday_normalized(sales_per_day(invoice, line)), "dia_semana")
     assert result["Monday"]["numero_dias"] == 2
@@ -212,22 +210,22 @@ def test_weekday_averages(spark, rows):
 
 def test_month_reports(spark, rows):
     invoice, line = frames(
-        spark, [(1, "2023-11-01", 1), (2, "2023-12-01", 1), (3, "2024-01-01", 1)]
+        spark, [(7, "2022-11-30", 1), (8, "2022-12-24", 1), (9, "2023-01-02", 1)]
     )
     ranking = rows(reports.month_ranking(invoice, line), "year_month")
-    assert [ranking[m]["ranking"] for m in ("2023-11", "2023-12", "2024-01")] == [1, 2, 2]
+    assert [ranking[m]["ranking"] for m in ("2022-11", "2022-12", "2023-01")] == [1, 3, 1]
     best = rows(reports.best_month_per_year(invoice, line), "año")
-    assert {y: r["year_month"] for y, r in best.items()} == {2023: "2023-11", 2024: "2024-01"}
+    assert {y: r["year_month"] for y, r in best.items()} == {2022: "2022-11", 2023: "2023-01"}
     quarters = rows(reports.quarter_ranking(invoice, line), "año", "trimestre")
-    assert quarters[2023, 4]["ranking"] == 1
+    assert quarters[2022, 4]["ranking"] == 1
     trend = rows(reports.month_trend(invoice, line), "year_month")
-    assert trend["2023-11"]["monto_anterior"] is None
-    assert trend["2023-12"]["cambio_porcentual"] == pytest.approx((1.99 - 2.97) / 2.97 * 100)
-    assert trend["2024-01"]["media_movil_3"] == pytest.approx((2.97 + 1.99 + 8.97) / 3)
+    assert trend["2022-11"]["monto_anterior"] is None
+    assert trend["2022-12"]["cambio_porcentual"] == pytest.approx(-80)
+    assert trend["2023-01"]["media_movil_3"] == pytest.approx(6)
 
 
 def test_ordered_reports(two_days):
     daily = sales_per_day(*two_days)
-    assert [r["fecha"].day for r in reports.latest_days(daily).collect()] == [2, 1]
-    after = reports.days_after(daily, datetime.date(2024, 1, 1)).collect()
-    assert [r["fecha"].day for r in after] == [2]
+    assert [r["fecha"].day for r in reports.latest_days(daily).collect()] == [13, 12]
+    after = reports.days_after(daily, datetime.date(2023, 5, 12)).collect()
+    assert [r["fecha"].day for r in after] == [13]
