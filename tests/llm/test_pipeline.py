@@ -11,7 +11,7 @@ from vinilo.llm import mixing, rules
 from vinilo.llm.oracle import ORACLE
 from vinilo.llm.queries import REGISTRY
 
-from .test_near_and_repeats import brute_components, brute_removed
+from test_near_and_repeats import brute_components, brute_removed
 
 DATA = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="no test tables")

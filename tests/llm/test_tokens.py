@@ -70,6 +70,8 @@ def test_frames(spark, documents, odd_columns, encoder):
         assert bytes(row["decoded"]) == text.encode()
         assert row["kept"] == "x"
     assert bpe.encoded(documents(), path, P.PATTERN).count() == 0
+    at_once = bpe.encoded(docs, path, P.PATTERN, back=True).select(*rows[0].__fields__).collect()
+    assert sorted(map(repr, at_once)) == sorted(map(repr, rows))
 
 
 @pytest.fixture(scope="module")
