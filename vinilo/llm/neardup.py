@@ -23,6 +23,7 @@ from vinilo.llm.wordarrays import Words, mixed, positions, slices
 BAND_VALUES = 5
 MISS = 1e-5
 BLOCK_DOCUMENTS = 1024
+BLOCK_SHINGLES = 500_000
 SLICE_BYTES = 2_000_000
 _SHORT = np.uint64(0x9E3779B97F4A7C15)
 
@@ -175,8 +176,8 @@ def near_duplicates(
     minimum brings together, however many copies there are. Bands then link the
     smallest id of each bucket to the others; what these links connect is a
     group, and every candidate pair lies inside one. Groups of more than
-    ``block`` documents are cut into blocks, and every two blocks are compared
-    in one task, which sends back links that span, not pairs.
+    ``block`` documents or BLOCK_SHINGLES shingles are cut into blocks, and every
+    two blocks are compared in one task, which sends back links that span, not pairs.
     """
     bands = band_count(percent, miss=miss)
     signed = saved(
@@ -187,10 +188,12 @@ def near_duplicates(
         "signatures",
     )
     usable = signed.filter("doc_id IS NOT NULL AND digest IS NOT NULL")
-    classes = usable.groupBy("digest").agg(F.min("doc_id").alias("node"))
+    classes = usable.groupBy("digest").agg(
+        F.min("doc_id").alias("node"), F.min("n_shingles").alias("_shingles")
+    )
     banded = (
         usable.join(
-            classes.withColumnRenamed("digest", "_digest"),
+            classes.select(F.col("digest").alias("_digest"), "node"),
             (F.col("digest") == F.col("_digest")) & (F.col("doc_id") == F.col("node")),
         )
         .select("node", F.explode("bands").alias("key"))
@@ -204,12 +207,22 @@ def near_duplicates(
     )
     stars = banded.join(buckets, "key").filter("node <> center").select("center", "node")
     groups = components(stars, "center", "node")
-    sizes = groups.groupBy("root").agg(F.count(F.lit(1)).alias("_size"))
+    lengths = classes.groupBy("node").agg(F.sum("_shingles").alias("_shingles"))
+    sizes = (
+        groups.join(lengths, "node")
+        .groupBy("root")
+        .agg(
+            F.greatest(
+                F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("_shingles") / BLOCK_SHINGLES)
+            )
+            .cast("int")
+            .alias("_blocks")
+        )
+    )
     members = saved(groups.join(sizes, "root"), "members")
     placed = (
         docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text"))
         .join(members, "node")
-        .withColumn("_blocks", F.ceil(F.col("_size") / block).cast("int"))
         .withColumn("_own", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
         .withColumn(
             "_other",

@@ -14,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 2_000_000
+WORDS_AT_ONCE = 1 << 15
 _MIX_1, _MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _BASE = 0x9E3779B97F4A7C15 | 1
 _SEQUENCE_BASE = 0xD6E8FEB86659FD93 | 1
@@ -84,7 +85,13 @@ class Words:
         self.document = np.repeat(np.arange(self.documents), self.count)
 
     def hashes(self) -> np.ndarray:
-        return range_hashes(_BYTE_VALUE[self.data], self.start, self.stop, _BASE)
+        """Hashes of the words, a stretch at a time: sums over bytes take much more room than words."""
+        found = np.empty(len(self.start), np.uint64)
+        for a in range(0, len(found), WORDS_AT_ONCE):
+            start, stop = self.start[a : a + WORDS_AT_ONCE], self.stop[a : a + WORDS_AT_ONCE]
+            values = _BYTE_VALUE[self.data[start[0] : stop[-1]]]
+            found[a : a + len(start)] = range_hashes(values, start - start[0], stop - start[0], _BASE)
+        return found
 
 
 def sequence_hashes(hashes: np.ndarray, start: np.ndarray, length: int) -> np.ndarray:
@@ -101,7 +108,10 @@ def positions(count: np.ndarray, first: np.ndarray) -> np.ndarray:
 def slices(
     batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:
-    """The batches, cut so that the texts of one take about ``most`` bytes, or are a single text."""
+    """The batches, cut so that the texts of one take about ``most`` bytes, or are a single text.
+
+    Arrow's unused memory goes back at the end, since workers outlive their task.
+    """
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0)
         ends = np.cumsum(lengths.to_numpy(zero_copy_only=False).astype(np.int64))
@@ -111,3 +121,4 @@ def slices(
             to = max(at + 1, int(np.searchsorted(ends, done + most, "right")))
             yield batch.slice(at, to - at)
             at = to
+    pa.default_memory_pool().release_unused()
