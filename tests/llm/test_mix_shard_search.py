@@ -110,6 +110,21 @@ def test_mix_meets_its_targets(spark, odd_columns, slots, bucket_rows):
     assert key(mixing.words_taken(*again).collect()) == key(found)
 
 
+def test_small_sources_are_taken_whole_from_a_large_corpus(spark):
+    rows = [(i, "abc"[i % 3], 500) for i in range(300)]
+    rows += [(1000 + i, f"small {i // 2:02}" if i > 1 else None, 20 + i) for i in range(60)]
+    want = brute_targets([(s, n) for _, s, n in rows])
+    frame = spark.createDataFrame(rows, "doc_id long, source string, size long")
+    line, mixed = mixing.mix(frame, slots=20)
+    found = mixing.words_taken(line, mixed).collect()
+    for source, target in want.items():
+        assert sum(r["taken"] for r in found if r["source"] == source) == int(target + 1e-6)
+    used = Counter()
+    for p in mixed.collect():
+        used[p["slot"]] += p["to_word"] - p["from_word"]
+    assert max(used.values()) <= mixing.BLOCK_WORDS
+
+
 def test_every_stretch_of_the_schedule_is_mixed(spark):
     goals = spark.createDataFrame(
         [("a", 0, 600.0), ("b", 0, 300.0), (None, 0, 100.0)], "source string, source_size long, target double"

@@ -3,7 +3,9 @@
 Each source's documents, shuffled, lie end to end on a line of words that is cut
 into blocks of equal length. The points t * golden ratio modulo 1 are mapped
 through the cumulative targets to sources; the r-th slot of a source takes its
-block r. A source that is taken more than once goes round its line again.
+block r. A source that is taken more than once goes round its line again. Where
+more than SLOTS blocks of BLOCK_WORDS words are wanted, there are more slots, not
+longer blocks, and slots after the sequence fill up the sources that it left short.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from vinilo.llm.ranks import BUCKET_ROWS, hex_digits, running
 
 GOLDEN = (math.sqrt(5) - 1) / 2
 SLOTS = 1 << 18
+BLOCK_WORDS = 64
 CELLS = 4096
 SLOT_RUN = 65_536
 
@@ -108,6 +111,31 @@ def schedule(spark: SparkSession, sources: DataFrame, slots: int) -> DataFrame:
     )
 
 
+def topped_up(plan: DataFrame, sources: DataFrame, slots: int, block: int) -> DataFrame:
+    """The plan of so many slots, followed by those that sources lack for their whole target.
+
+    The window without partition runs over sources, one row each.
+    """
+    have = plan.groupBy("source").agg(F.count(F.lit(1)).alias("_have"))
+    ahead = Window.orderBy(F.col("source").asc_nulls_last()).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    short = (
+        sources.alias("a")
+        .join(have.alias("b"), F.col("a.source").eqNullSafe(F.col("b.source")), "left")
+        .select(
+            "a.source",
+            F.coalesce("_have", F.lit(0)).alias("_have"),
+            F.expr(f"(floor(target) + {block - 1}) div {block}").alias("_need"),
+        )
+        .filter("_need > _have")
+        .withColumn("_ahead", F.coalesce(F.sum(F.expr("_need - _have")).over(ahead), F.lit(0)))
+        .select("*", F.explode(F.sequence("_have", F.col("_need") - 1)).alias("rank"))
+        .select((F.col("_ahead") + F.col("rank") - F.col("_have") + slots).alias("slot"), "source", "rank")
+    )
+    return plan.select("slot", "source", "rank").union(short)
+
+
 def mix(
     docs: DataFrame,
     weights=(5, 2, 1),
@@ -123,9 +151,11 @@ def mix(
     The line has a row per document with doc_id, source, size, the columns named
     in ``keys``, ``source_size``, ``target`` and ``line_start``, its place in its
     source. The mix has a row for each piece:
-    slot, source, doc_id, line_start, pass, from_word, to_word. A source stays
-    below its target by at most a few blocks; a block has ``share`` times all
-    sizes divided by ``slots`` words, and one at least. The seed fixes the
+    slot, source, doc_id, line_start, pass, from_word, to_word. A block has
+    ``share`` times all sizes divided by ``slots`` words, one at least, and a source
+    stays below its target by at most a few blocks. Where that would be more than
+    BLOCK_WORDS words, a block has so many, the number of slots grows instead, and
+    every source is taken up to its target rounded down. The seed fixes the
     result. A null source is a source; a null doc_id is an id; a null size
     counts as 0, and documents without words are in the line but never in the
     mix. Repeated rows follow each other on the line. An
@@ -138,7 +168,7 @@ def mix(
     goals = saved(targets(docs, weights, share, most), "targets")
     budget = goals.agg(F.coalesce(F.sum("target"), F.lit(0.0))).first()[0]
     rows = docs.count()
-    block = max(1, int(budget // slots))
+    block = max(1, min(int(budget // slots), BLOCK_WORDS))
     own = docs.columns
     keyed = docs.withColumn(
         "_hash",
@@ -173,7 +203,11 @@ def mix(
             F.explode(F.sequence(F.expr(f"_at div {block}"), F.expr(f"(_stop - 1) div {block}"))),
         )
     )
-    plan = schedule(spark, goals, math.ceil(budget / block)).withColumnRenamed("source", "_of")
+    points = math.ceil(budget / block)
+    plan = schedule(spark, goals, points)
+    if budget // slots > BLOCK_WORDS:
+        plan = topped_up(saved(plan, "plan"), goals, points, block)
+    plan = plan.withColumnRenamed("source", "_of")
     mixed = pieces.join(
         plan, pieces["source"].eqNullSafe(plan["_of"]) & (pieces["_block"] == plan["rank"])
     ).select(
