@@ -154,6 +154,39 @@ def test_removal_equals_brute_force(documents, monkeypatch, window, seed, group_
     assert got == brute_removed(rows, window)
 
 
+def test_windows_of_a_frequent_phrase_are_dealt_to_many_groups(documents, monkeypatch):
+    pick = random.Random(5)
+    fresh = lambda n: [f"u{pick.random()}" for _ in range(n)]
+    # A phrase that deals the windows around it, since hardly a prefix has a smaller hash.
+    phrases = (["a", "b", f"c{n}"] for n in range(10_000))
+    low = lambda p: repeats.sequence_hashes(Words(pa.array([" ".join(p)])).hashes(), np.zeros(1, int), 3)[0] < 2**57
+    phrase = next(p for p in phrases if low(p))
+    rows = [(i, " ".join(fresh(6) + phrase + fresh(6))) for i in range(300)]
+    rows += [(300 + i, rows[i * 7][1]) for i in range(30)]
+    subtree, most = repeats._subtree, 500
+
+    def small_only(window, buckets):
+        run = subtree(window, buckets)
+
+        def checked(table):
+            windows = sum(len(x.as_py()) // 8 for x in table.column("nodes"))
+            assert windows <= most, f"{windows} windows in a group"
+            return run(table)
+
+        return checked
+
+    monkeypatch.setattr(repeats, "_subtree", small_only)
+    # Within slices of one text, nothing is settled ahead.
+    cut = repeats.slices
+    monkeypatch.setattr(repeats, "slices", lambda batches, *column: cut(batches, *column, most=1))
+    docs = documents(*rows).repartition(5)
+    spans = repeats.repeated_spans(docs, 6, 3, 8000)
+    monkeypatch.setattr(repeats, "repeated_spans", lambda d, w: spans)
+    found = repeats.remove_repeats(docs, 6).collect()
+    got = sorted(((r["doc_id"], r["kept_text"] or "", r["n_removed"]) for r in found), key=str)
+    assert got == brute_removed(rows, 6)
+
+
 def test_equal_rows_layout_and_foreign_columns(documents, odd_columns):
     text = "a b\nc  d e"
     docs = odd_columns(documents((1, text), (1, text), (2, f"x\n{text} y"), (2, "a b c d z")))

@@ -7,7 +7,8 @@ of the sequence that ends in their window: of its ``seed``-word prefixes, the
 one with the smallest hash. Neighbouring suffixes mostly share it, so they
 travel as one run and pay for their position once; equal windows share it too,
 so each node lies in one group. The number of groups follows the size of the
-corpus. Nodes with two or more suffixes are the repeats; runs of them are the
+corpus. Windows are counted per group first; a group that a frequent prefix makes
+large is dealt further by the whole path, which keeps equal windows together. Nodes with two or more suffixes are the repeats; runs of them are the
 maximal repeats.
 """
 
@@ -26,6 +27,7 @@ from vinilo.llm.wordarrays import Words, mixed, positions, sequence_hashes, slic
 WINDOW = 20
 SEED_WORDS = 6
 GROUP_BYTES = 12_000_000
+MOST_OF_MEAN = 1.5
 _NO_ID = np.iinfo(np.int64).max
 _RUNS = "part long, ids binary, text_hashes binary, run_doc binary, run_start binary, run_length binary, nodes binary"
 _SPANS = "doc_id long, text_hash long, starts array<int>, stops array<int>"
@@ -86,35 +88,75 @@ def _packed(part, words_ids, text_hashes, doc, start, length, nodes) -> dict:
     }
 
 
-def _deal(parts: int, window: int, seed: int):
+def _windows(batches: Iterator[pa.RecordBatch], window: int, seed: int):
+    """Of each slice the ids and hashes of its texts, and of its windows the document,
+    start, key (their prefix of smallest hash), node, and whether it occurs earlier in the slice."""
     width = window - seed + 1
+    for batch in slices(batches):
+        ids = batch.column("doc_id").fill_null(_NO_ID).to_numpy().astype(np.int64)
+        order = np.argsort(ids, kind="stable")
+        batch, ids = batch.take(pa.array(order)), ids[order]
+        text_hashes = batch.column("text_hash").to_numpy()
+        words = Words(batch.column("text"))
+        count = np.maximum(words.count - window + 1, 0)
+        if not count.sum():
+            continue
+        at = positions(count, words.first[:-1])
+        doc = np.repeat(np.arange(words.documents), count)
+        hashes = words.hashes()
+        grams = sequence_hashes(hashes, np.arange(len(hashes) - seed + 1), seed)
+        key = sliding_minimum(grams, width)[at]
+        nodes = sequence_hashes(hashes, at, window)
+        start = at - words.first[doc]
+        yield ids, text_hashes, doc, start, key, nodes, later_occurrences(nodes, ids[doc], start)
+
+
+def _part_of(key: np.ndarray, parts: int) -> np.ndarray:
+    return (mixed(key) % np.uint64(parts)).astype(np.int64)
+
+
+def _count_windows(parts: int, window: int, seed: int):
+    """How many windows a task's slices send to each part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            ids = batch.column("doc_id").fill_null(_NO_ID).to_numpy().astype(np.int64)
-            order = np.argsort(ids, kind="stable")
-            batch, ids = batch.take(pa.array(order)), ids[order]
-            text_hashes = batch.column("text_hash").to_numpy()
-            words = Words(batch.column("text"))
-            count = np.maximum(words.count - window + 1, 0)
-            if not count.sum():
-                continue
-            at = positions(count, words.first[:-1])
-            doc = np.repeat(np.arange(words.documents), count)
-            hashes = words.hashes()
-            grams = sequence_hashes(hashes, np.arange(len(hashes) - seed + 1), seed)
-            key = sliding_minimum(grams, width)[at]
-            nodes = sequence_hashes(hashes, at, window)
-            start = at - words.first[doc]
+        total = np.zeros(parts, np.int64)
+        for *_, key, _, later in _windows(batches, window, seed):
+            total += np.bincount(_part_of(key[~later], parts), minlength=parts)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"part": some, "n": total[some]})
+
+    return run
+
+
+def _splits(narrow: DataFrame, parts: int, window: int, seed: int) -> np.ndarray:
+    """Into how many groups each part goes: more than one if it has far more windows than the mean.
+
+    There is a number for each GROUP_BYTES of the corpus, and at most ``parts`` groups more.
+    """
+    splits = np.ones(parts, np.int64)
+    if parts > 1:
+        counted = narrow.mapInArrow(_count_windows(parts, window, seed), schema("part long, n long"))
+        counts = saved(counted.groupBy("part").agg(F.sum("n").alias("n")), "windows")
+        mean = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] / parts
+        for row in counts.filter(F.col("n") > MOST_OF_MEAN * mean).collect():
+            splits[row["part"]] = -(-row["n"] // max(1, int(mean)))
+    return splits
+
+
+def _deal(splits: np.ndarray, window: int, seed: int):
+    parts, groups = len(splits), int(splits.sum())
+    group_of = np.cumsum(splits) - splits
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, text_hashes, doc, start, key, nodes, later in _windows(batches, window, seed):
             # What occurs earlier in this slice needs no further look.
-            later = later_occurrences(nodes, ids[doc], start)
             rows = []
             if later.any():
                 d, s = doc[later], start[later]
                 begin, length = _runs(_broken(d, s), len(d))
                 rows.append(
                     _packed(
-                        -1 - int(nodes[0] % np.uint64(parts)),
+                        -1 - int(nodes[0] % np.uint64(groups)),
                         ids,
                         text_hashes,
                         d[begin],
@@ -124,10 +166,12 @@ def _deal(parts: int, window: int, seed: int):
                     )
                 )
             doc, start, key, nodes = doc[~later], start[~later], key[~later], nodes[~later]
+            part = _part_of(key, parts)
+            split = (mixed(nodes) % splits[part].view(np.uint64)).astype(np.int64)
             breaks = _broken(doc, start)
-            breaks[1:] |= key[1:] != key[:-1]
+            breaks[1:] |= (key[1:] != key[:-1]) | (split[1:] != split[:-1])
             begin, length = _runs(breaks, len(doc))
-            part = (mixed(key[begin]) % np.uint64(parts)).astype(np.int64)
+            part = (group_of[part] + split)[begin]
             order = np.argsort(part, kind="stable")
             begin, length, part = begin[order], length[order], part[order]
             nodes = nodes[positions(length, begin)]
@@ -263,7 +307,8 @@ def repeated_spans(
     )
     size = narrow.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts, seed = max(1, -(-size // group_bytes)), min(seed, window)
-    dealt = narrow.mapInArrow(_deal(parts, window, seed), schema(_RUNS))
+    splits = _splits(narrow, parts, window, seed)
+    dealt = narrow.mapInArrow(_deal(splits, window, seed), schema(_RUNS))
     found = dealt.groupBy("part").applyInArrow(
         _subtree(window, parts), schema("bucket long, spans binary")
     )
