@@ -115,6 +115,22 @@ def test_profile_and_examples(scaled):
         assert [r["CustomerId"] for r in examples if r["cluster"] == cluster] == ids[:5]
 
 
+def test_checks_compare_the_means_of_all_columns(scaled):
+    model, predictions, _ = segments.train_kmeans(scaled, 3)
+    profile = segments.cluster_profile(predictions, COLUMNS)
+    centers = [c.tolist() for c in model.clusterCenters()]
+
+    def wrong(told):
+        rows = segments.segmentation_checks(predictions, told, centers, COLUMNS).collect()
+        return {r["check_name"]: r["value"] for r in rows}["profile"]
+
+    assert wrong(profile) == 0
+    for column in COLUMNS:
+        mean = F.col(f"{column}_mean")
+        off = F.when(F.col("cluster") == 1, mean + 0.01).otherwise(mean)
+        assert wrong(profile.withColumn(f"{column}_mean", off)) == 1
+
+
 def test_cluster_of_one_has_no_deviation(scaled, spark):
     one = scaled.limit(1).withColumn("cluster", F.lit(0))
     row = segments.cluster_profile(one, COLUMNS).first()

@@ -178,13 +178,16 @@ def segmentation_checks(
         F.count(F.lit(1)).alias("customers"),
         F.count_if(own > least + 1e-9).alias("far"),
     )
-    first = columns[0]
     again = predictions.groupBy("cluster").agg(
-        F.count(F.lit(1)).alias("_n"), F.avg(F.col(first).cast("double")).alias("_mean")
-    )
-    differs = (F.col("_n") != F.col("customer_count")) | (
-        F.abs(F.col("_mean") - F.col(f"{first}_mean")) > 1e-6
+        F.count(F.lit(1)).alias("_n"),
+        *[F.avg(F.col(c).cast("double")).alias(f"_mean_{i}") for i, c in enumerate(columns)],
     )
+    differs = F.col("_n") != F.col("customer_count")
+    for i, c in enumerate(columns):
+        mean, told = F.col(f"_mean_{i}"), F.col(f"{c}_mean")
+        # Sums of other orders differ by a share of large means; two nulls do not differ.
+        apart = F.abs(mean - told) > 1e-6 + 1e-9 * F.abs(mean)
+        differs = differs | F.coalesce(apart, ~mean.eqNullSafe(told))
     wrong = profile.join(again, "cluster", "full").agg(
         F.count_if(F.coalesce(differs, F.lit(True))).alias("profile")
     )
