@@ -1,0 +1,103 @@
+"""Bytes that stand anywhere else, against brute force."""
+
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from vinilo.llm import suffixranks
+
+
+def brute(rows, length):
+    raws = [(t or "").encode() for _, t in rows]
+    seen = Counter(raw[p : p + length] for raw in raws for p in range(len(raw) - length + 1))
+    result = []
+    for (doc_id, _), raw in zip(rows, raws):
+        gone = np.zeros(len(raw) + 1, bool)
+        for p in range(len(raw) - length + 1):
+            if seen[raw[p : p + length]] > 1:
+                gone[p : p + length] = True
+        gone = gone[:-1]
+        spans = int((np.diff(gone.astype(int), prepend=0) == 1).sum())
+        kept = bytes(b for b, g in zip(raw, gone) if not g)
+        result.append((doc_id, kept, len(raw), int(gone.sum()), spans))
+    return sorted(result, key=repr)
+
+
+def check(docs, rows, length, block):
+    got = suffixranks.remove_repeated_bytes(docs, length, block).collect()
+    found = [(r["doc_id"], bytes(r["kept"]), r["n_bytes"], r["n_removed"], r["n_spans"]) for r in got]
+    assert sorted(found, key=repr) == brute(rows, length)
+    return got
+
+
+def passage(pick, n, letters="abcdefgh é\n"):
+    return "".join(pick.choice(letters) for _ in range(n))
+
+
+def corpus(seed, length):
+    """Passages of all lengths around the threshold, inside other text, edited, and cut."""
+    pick = random.Random(seed)
+    shared = [passage(pick, n) for n in (length - 2, length - 1, length, length + 1, 3 * length, 9 * length)]
+    rows = []
+    for i in range(70):
+        parts = []
+        for _ in range(pick.randint(1, 4)):
+            parts.append(passage(pick, pick.randint(0, 2 * length)))
+            part = pick.choice(shared)
+            if pick.random() < 0.3:
+                at = pick.randrange(len(part))
+                part = part[:at] + "#" + part[at + 1 :]
+            if pick.random() < 0.3:
+                part = part[pick.randint(0, 40) : len(part) - pick.randint(0, 40)]
+            parts.append(part)
+        rows.append((i, "".join(parts)))
+    return rows
+
+
+@pytest.mark.parametrize("seed, length, block", [(1, 200, 128), (2, 50, 32), (3, 40, 2)])
+def test_equals_brute_force(documents, odd_columns, seed, length, block):
+    rows = corpus(seed, length)
+    got = check(odd_columns(documents(*rows)).repartition(4), rows, length, block)
+    assert all(r["node"] == "x" and r["decoded"] == "x" for r in got)
+
+
+def test_odd_texts(documents):
+    pick = random.Random(7)
+    long = passage(pick, 30_000)
+    rows = [
+        (1, None), (None, None), (2, ""), (3, "short"), (3, "short"),
+        (4, "a" * 700), (5, "a" * 199), (6, "ab" * 400), (7, "abc" * 90 + "x" + "abc" * 90),
+        (8, long), (8, long), (None, long[:5000]), (9, long[100:299]), (10, "é" * 250),
+        (11, "the same line again\n" * 30), (12, passage(pick, 150)),
+    ]
+    check(documents(*rows).repartition(3), rows, 200, 128)
+    # Nothing is repeated, or there is nothing at all.
+    alone = [(1, passage(pick, 900)), (2, "b" * 200)]
+    check(documents(*alone), alone, 200, 128)
+    assert suffixranks.remove_repeated_bytes(documents()).count() == 0
+
+
+def test_many_copies_and_near_copies(documents):
+    """A header in every text, one large group of copies, and one of near copies."""
+    pick = random.Random(8)
+    header, body = passage(pick, 260), passage(pick, 600)
+    rows = [(i, header + passage(pick, pick.randint(50, 400))) for i in range(150)]
+    rows += [(1000 + i, body) for i in range(150)]
+    for i in range(100):
+        at = pick.randrange(len(body))
+        rows.append((2000 + i, body[:at] + "#" + body[at + 1 :]))
+    check(documents(*rows).repartition(5), rows, 200, 128)
+
+
+def test_block_must_fit(documents):
+    with pytest.raises(ValueError):
+        suffixranks.remove_repeated_bytes(documents(), 100, 96)
+    with pytest.raises(ValueError):
+        suffixranks.remove_repeated_bytes(documents(), 100, 128)
+
+
+def test_cut_bytes_merges_spans():
+    spans = np.array([(2 << 32) | 4, (0 << 32) | 3, (4 << 32) | 5, (7 << 32) | 9], np.int64)
+    assert suffixranks.cut_bytes(b"0123456789", spans) == (b"569", 7, 2)

@@ -170,3 +170,39 @@ SELECT doc_id, len(w) AS n_words, len(w) - len(k) AS n_removed,
     sha256(coalesce(array_to_string(k, ' '), '')) AS kept_sha256
 FROM kept
 """
+
+ORACLE["op12_infill"] = r"""
+WITH texts AS (
+    SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hex,
+        regexp_extract_all(
+            coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+'
+        ) AS units
+    FROM documents
+), drawn AS (
+    SELECT *, len(units) AS n,
+        list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(hex, i, 8) AS BIGINT)) AS h
+    FROM texts
+), cut AS (
+    SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+        CASE
+            WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                OR h[3] % 100 >= 50 THEN 'plain'
+            WHEN h[4] % 100 < 80 THEN 'spm' ELSE 'psm'
+        END AS form
+    FROM drawn
+), parts AS (
+    SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle,
+        array_to_string(units[b + 1:], '') AS suffix
+    FROM cut
+)
+SELECT doc_id, n, form,
+    CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+    sha256(CASE form
+        WHEN 'plain' THEN text
+        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+    END) AS output_sha256,
+    sha256(text) AS restored_sha256
+FROM parts
+"""

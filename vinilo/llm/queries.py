@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 from vinilo.llm import (
     bpe,
     classifier,
+    infill,
     langmodel,
     mixing,
     neardup,
     repeats,
     rules,
     sharding,
+    suffixranks,
     topk,
     unigram,
+    variants,
 )
 from vinilo.llm.common import documents, saved, tokenizer_path, word_count
 
@@ -135,6 +138,32 @@ def op10_repeated_windows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    counts = saved(variants.word_counts(documents(spark, folder)), "counts")
+    return variants.spelling_variants(counts)
+
+
+def op12_infill(spark: SparkSession, folder: str) -> DataFrame:
+    filled = infill.fill_in_middle(documents(spark, folder), carry=["doc_id"])
+    back = infill.restored(F.col("output"), F.col("form"))
+    return filled.select(
+        "doc_id",
+        F.col("n_units").alias("n"),
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(back.cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+def op13_suffix_ranks(spark: SparkSession, folder: str) -> DataFrame:
+    cut = suffixranks.remove_repeated_bytes(documents(spark, folder), length=200, carry=["doc_id"])
+    return cut.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -148,5 +177,8 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_context_mixing,
         op9_unigram_counts,
         op10_repeated_windows,
+        op11_spelling_variants,
+        op12_infill,
+        op13_suffix_ranks,
     )
 }
