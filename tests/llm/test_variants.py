@@ -129,8 +129,9 @@ def test_grams_depend_on_their_letters_alone(spark):
     grams = sorted(ends)
     # None is the beginning of another: each is the first rare one.
     assert not any(y.startswith(x) for x, y in zip(grams, grams[1:]))
-    cut = variants.best_cuts(words, begin, end, common)
-    assert set(cut.tolist()) <= set(end.tolist()) and (np.diff(cut) > 0).all()
+    for cut in variants.best_cuts(words, begin, end, common):
+        assert set(cut.tolist()) <= set(end.tolist()) and (np.diff(cut) > 0).all()
+        assert ((words.start < cut) & (cut <= words.stop - variants.EDGE)).all()
 
 
 def test_the_dictionary_is_bounded(spark):

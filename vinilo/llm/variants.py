@@ -9,10 +9,12 @@ cover its place.
 
 The bound of a word tells, for each place of an edit, which grams it affects.
 Lists are merged for the fewest rare grams that no edit affects together: two
-grams side by side. If the edit lies behind the first gram, the near word has that
-gram too, with the same letters before it; else it has the second with the same
-letters after it. The gram's lists are therefore divided by the letters on that
-side, and a word is looked up in two of them. What is met there is verified.
+grams side by side near the middle. If the edit lies behind the first gram, the near
+word has that gram too, with the same letters before it; else it has the second with
+the same letters after it. The gram's lists are divided by the letters on that side,
+and by the letters at the word's other edge. Edits at an edge are found by the last
+gram before it, divided by all letters on the other side. So a word is looked up in
+four lists, one for each stretch where the edit may lie. What is met there is verified.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ LEAST = 2
 DROP_ONE_IN = 31
 FACTOR = 10
 SHORTEST, LONGEST = 3, 6
+# A mark with two letters: what a word's edges are, and how far from the middle cuts may be, twice.
+EDGE, UNEVEN = 3, 4
 # A gram is frequent above this share of the grams of its length, so fewer than so many are.
 MOST_FREQUENT = 1 << 17
 LEAST_FREQUENT = 64
@@ -144,56 +148,85 @@ def gram_ends(words: Marked, dictionary: np.ndarray) -> tuple[np.ndarray, np.nda
     return begin, end, common
 
 
-def best_cuts(words: Marked, begin: np.ndarray, end: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """For each word the end of a gram where another begins: both rare, else near the middle.
+def best_cuts(words: Marked, begin: np.ndarray, end: np.ndarray, common: np.ndarray):
+    """For each word the end of a gram near the middle where another begins, both rare if there
+    are such, and the last end of a gram before the last letters.
 
-    No edit affects both grams: it would have to lie before the cut and behind it.
+    No edit affects both grams at the cut: it would have to lie before it and behind it.
     """
     count = np.maximum(words.length - SHORTEST + 1, 0)
     head = np.cumsum(count) - count
     own = np.repeat(np.arange(len(count)), count)
-    next_gram = head[own] + end - words.start[own]
-    possible = end - words.start[own] < count[own]
-    second = np.where(possible, common[np.minimum(next_gram, len(common) - 1)], 0)
+    next_gram = np.minimum(head[own] + end - words.start[own], len(common) - 1)
     uneven = np.abs(2 * (end - words.start[own]) - words.length[own])
-    score = (common + second).astype(np.int64) * (1 << 40) + uneven
-    score = np.where(possible, score, 1 << 60)
-    order = np.lexsort((begin, score, own))
-    return end[order[head]]
+    score = (common + common[next_gram]).astype(np.int64) * (1 << 40) + uneven
+    order = np.lexsort((begin, np.where(uneven <= UNEVEN, score, 1 << 60), own))
+    late = np.where(end <= words.stop[own] - EDGE, end, 0)
+    return end[order[head]], np.maximum.reduceat(late, head)
 
 
-def _entries(dictionary: np.ndarray):
-    """Each word with the lists it stands on and the two it is looked up in.
+def _named(kind: int, *parts: np.ndarray) -> np.ndarray:
+    """One number for a kind of list and the hashes of letters that it is divided by."""
+    name = np.full(len(parts[0]), kind + 1, np.uint64)
+    for part in parts:
+        name = mixed(name * np.uint64(_BASE) + part)
+    return name
+
 
-    A list is named by the letters from the word's mark to the end of a gram
-    (even names), or from a gram's begin to the mark (odd names).
+def _lists(words: Marked, own: np.ndarray, begin: np.ndarray, end: np.ndarray):
+    """(word, list) of the lists that words stand on, for the grams that a near word may ask by.
+
+    A near word is at most a letter longer or shorter, which widens each range by one.
     """
+    start, stop, length = words.start[own], words.stop[own], words.length[own]
+    head, tail = (
+        words.hashes(words.start, words.start + EDGE)[own],
+        words.hashes(words.stop - EDGE, words.stop)[own],
+    )
+    before, after = words.hashes(start, end), words.hashes(begin, stop)
+    near_end = np.abs(2 * (end - start) - length) <= UNEVEN + 1
+    near_begin = np.abs(2 * (begin - start) - length) <= UNEVEN + 1
+    late = (end <= stop - EDGE + 1) & (end >= stop - EDGE - LONGEST + SHORTEST - 1)
+    early = np.abs(begin - start - EDGE) <= 1
+    kinds = (
+        (near_end, _named(0, before, tail)),
+        (near_begin, _named(1, after, head)),
+        (late, _named(2, before)),
+        (early, _named(3, after)),
+    )
+    return np.unique(
+        np.concatenate([np.stack([own[at].astype(np.uint64), name[at]], 1) for at, name in kinds]),
+        axis=0,
+    )
+
+
+def _asked(words: Marked, cut: np.ndarray, late: np.ndarray) -> np.ndarray:
+    """The four lists that each word is looked up in, by where the edit may lie."""
+    head = words.hashes(words.start, words.start + EDGE)
+    tail = words.hashes(words.stop - EDGE, words.stop)
+    return np.stack(
+        [
+            _named(0, words.hashes(words.start, cut), tail),
+            _named(1, words.hashes(cut, words.stop), head),
+            _named(2, words.hashes(words.start, late)),
+            _named(3, words.hashes(words.start + EDGE, words.stop)),
+        ],
+        1,
+    )
+
+
+def _entries(dictionary: np.ndarray):
+    """Each word with the lists it stands on and those it is looked up in."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        odd = np.uint64(1)
         for batch in slices(batches, "word"):
             words = Marked(batch.column("word"))
             begin, end, common = gram_ends(words, dictionary)
             own = np.repeat(np.arange(batch.num_rows), np.maximum(words.length - SHORTEST + 1, 0))
-            cut = best_cuts(words, begin, end, common)
-            before = words.hashes(words.start[own], end) & ~odd
-            after = words.hashes(begin, words.stop[own]) | odd
-            # A near word has at most a letter more, so its cuts end here.
-            first, last = words.start[own], words.stop[own]
-            behind, ahead = end <= last - SHORTEST + 1, begin >= first + SHORTEST - 1
-            stands = np.unique(
-                np.concatenate(
-                    [
-                        np.stack([own[behind].astype(np.uint64), before[behind]], 1),
-                        np.stack([own[ahead].astype(np.uint64), after[ahead]], 1),
-                    ]
-                ),
-                axis=0,
-            )
+            stands = _lists(words, own, begin, end)
             offsets = np.searchsorted(stands[:, 0], np.arange(batch.num_rows + 1, dtype=np.uint64))
-            looked = np.stack(
-                [words.hashes(words.start, cut) & ~odd, words.hashes(cut, words.stop) | odd], 1
-            )
+            asked = _asked(words, *best_cuts(words, begin, end, common))
+            ends = np.arange(0, asked.size + 1, asked.shape[1], dtype=np.int32)
             yield pa.RecordBatch.from_pydict(
                 {
                     "word": batch.column("word"),
@@ -202,8 +235,7 @@ def _entries(dictionary: np.ndarray):
                         pa.array(offsets.astype(np.int32)), pa.array(stands[:, 1].view(np.int64).copy())
                     ),
                     "looked": pa.ListArray.from_arrays(
-                        pa.array(np.arange(0, 2 * batch.num_rows + 1, 2, dtype=np.int32)),
-                        pa.array(looked.reshape(-1).view(np.int64)),
+                        pa.array(ends), pa.array(asked.reshape(-1).view(np.int64))
                     ),
                 }
             )
