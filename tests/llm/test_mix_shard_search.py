@@ -198,3 +198,23 @@ def test_sign_codes(spark):
     rows = [(1, [0.5, -1.0, 0.0]), (2, [None, 2.0, 3.0]), (3, None), (4, [1.0]), (None, [1.0, 1.0, 1.0])]
     frame = spark.createDataFrame(rows, "v long, e array<double>")
     assert {r["id"]: r["code"] for r in topk.sign_codes(frame, "v", "e", 3).collect()} == {1: 4, 2: 3}
+
+
+@pytest.mark.parametrize("bits, wanted", [(64, 16), (64, 10), (64, 1), (8, 9), (10, 4)])
+def test_segments_cover_the_code(bits, wanted):
+    widths = topk.segment_widths(bits, wanted)
+    assert sum(widths) == bits and widths[0] - widths[-1] in (0, 1)
+    assert sorted(widths, reverse=True) == widths
+
+
+def test_default_segments_equal_brute_force(spark):
+    pick = np.random.default_rng(3).integers(-(2**62), 2**62, 400).tolist()
+    codes = spark.createDataFrame(list(enumerate(pick)), "id long, code long")
+    exact = {}
+    for q in range(20):
+        away = ((((pick[q] ^ c) % 2**64).bit_count(), i) for i, c in enumerate(pick) if i != q)
+        exact[q] = sorted(away)[:3]
+    found = {}
+    for r in topk.nearest_codes(codes, codes.filter("id < 20"), 3).orderBy("query_id", "rank").collect():
+        found.setdefault(r["query_id"], []).append((r["distance"], r["id"]))
+    assert found == exact

@@ -1,6 +1,7 @@
 """Exact nearest binary codes by incremental multi-index hashing.
 
-A code is cut into segments. Two codes at distance d agree within floor(d / m)
+A code is cut into segments of about log2(n) bits, n being the number of codes, so that
+a segment's value has one posting on average at any size. Two codes at distance d agree within floor(d / m)
 bits in at least one of m segments, so once every segment has been probed up to
 radius r, all codes within m * (r + 1) - 1 bits have been seen. Radii grow round
 by round; a query leaves as soon as its k nearest lie within that bound.
@@ -34,12 +35,24 @@ def sign_codes(vectors: DataFrame, key: str, vector: str, bits: int = 64) -> Dat
     )
 
 
+def segment_widths(bits: int, wanted: int) -> list[int]:
+    """Widths of the segments, about ``wanted`` bits each, the wider ones first."""
+    segments = max(1, round(bits / wanted))
+    return [bits // segments + (s < bits % segments) for s in range(segments)]
+
+
+def masks(width: int, radius: int) -> F.Column:
+    """All numbers of ``width`` bits of which ``radius`` are set."""
+    values = [sum(1 << b for b in c) for c in combinations(range(width), radius)]
+    return F.lit(values).cast("array<long>")
+
+
 def nearest_codes(
     index: DataFrame,
     queries: DataFrame,
     k: int = 10,
     bits: int = 64,
-    segment_bits: int = 16,
+    segment_bits: int | None = None,
 ) -> DataFrame:
     """(query_id, rank, id, distance): the k nearest of ``index`` (id, code) to each query (id, code).
 
@@ -47,12 +60,27 @@ def nearest_codes(
     (id, code) rows count once. With fewer than k others all are returned. Equal
     codes are searched once and keep their k + 1 smallest ids, which is all that
     a ranking by distance and id can use. Empty tables give an empty result.
+
+    Probes and postings are merged by segment and value: probes grow with the queries
+    and the radius, so they are never broadcast. ``segment_bits`` is by default taken
+    from the number of codes; segments differ by one bit where ``bits`` does not divide.
     """
-    segments = bits // segment_bits
-    mask = (1 << segment_bits) - 1
+
+    smallest = Window.partitionBy("code").orderBy("id")
+    entries = saved(
+        index.distinct()
+        .withColumn("_n", F.row_number().over(smallest))
+        .filter(F.col("_n") <= k + 1)
+        .groupBy("code")
+        .agg(F.array_sort(F.collect_list("id")).alias("ids")),
+        "codes",
+    )
+    widths = segment_widths(bits, segment_bits or max(1, entries.count().bit_length()))
+    segments = len(widths)
 
     def part(code, s: int):
-        return F.shiftrightunsigned(code, s * segment_bits).bitwiseAND(F.lit(mask))
+        shifted = F.shiftrightunsigned(code, sum(widths[:s]))
+        return shifted.bitwiseAND(F.lit((1 << widths[s]) - 1))
 
     def parts(code):
         return F.array(
@@ -62,15 +90,6 @@ def nearest_codes(
             ]
         )
 
-    smallest = Window.partitionBy("code").orderBy("id")
-    entries = saved(
-        index.distinct()
-        .withColumn("_n", F.row_number().over(smallest))
-        .filter(F.col("_n") <= k + 1)
-        .groupBy("code")
-        .agg(F.array_sort(F.collect_list("id")).alias("ids")),
-        "codes",
-    )
     postings = saved(
         entries.select("code", "ids", F.explode(parts(F.col("code"))).alias("p")).select(
             "p.segment", "p.value", "code", "ids"
@@ -81,12 +100,13 @@ def nearest_codes(
     best = active.sparkSession.createDataFrame([], "query_id long, id long, distance int")
     results = []
     nearest = Window.partitionBy("query_id").orderBy("distance", "id")
-    for radius in range(segment_bits + 1):
-        masks = [sum(1 << b for b in c) for c in combinations(range(segment_bits), radius)]
+    for radius in range(widths[0] + 1):
+        flips = F.when(F.col("segment") < widths.count(widths[0]), masks(widths[0], radius))
+        flips = flips.otherwise(masks(widths[-1], radius))
         probes = (
             active.select("*", F.explode(parts(F.col("query_code"))).alias("p"))
             .select("query_id", "query_code", "p.segment", "p.value")
-            .withColumn("_flip", F.explode(F.lit(masks).cast("array<long>")))
+            .withColumn("_flip", F.explode(flips))
             .select(
                 "query_id",
                 "query_code",
@@ -101,7 +121,8 @@ def nearest_codes(
             d = F.bit_count(part(away, s))
             once = once & F.when(F.col("segment") > s, d > radius).otherwise(d >= radius)
         met = (
-            probes.join(postings, ["segment", "value"])
+            probes.hint("merge")
+            .join(postings, ["segment", "value"])
             .filter(once)
             .select("query_id", F.explode("ids").alias("id"), F.bit_count(away).alias("distance"))
             .filter("id <> query_id")
@@ -111,7 +132,7 @@ def nearest_codes(
             "nearest",
         )
         covered = segments * (radius + 1) - 1
-        if radius == segment_bits:
+        if radius == widths[0]:
             results.append(best)
             break
         done = (
@@ -121,6 +142,7 @@ def nearest_codes(
             .filter(F.col("count") >= k)
             .select("query_id")
         )
+        done = saved(done, "done").hint("merge")
         results.append(best.join(done, "query_id", "left_semi"))
         active = saved(active.join(done, "query_id", "left_anti"), "queries")
         best = best.join(done, "query_id", "left_anti").drop("rank")
