@@ -208,7 +208,7 @@ def test_segments_cover_the_code(bits, wanted):
 
 
 def test_default_segments_equal_brute_force(spark):
-    pick = np.random.default_rng(3).integers(-(2**62), 2**62, 400).tolist()
+    pick = [random.Random(i).randrange(-(2**62), 2**62) for i in range(400)]
     codes = spark.createDataFrame(list(enumerate(pick)), "id long, code long")
     exact = {}
     for q in range(20):
