@@ -72,8 +72,10 @@ def artist_month_metrics(
     """Sales per month and artist; sales without an artist form a NULL group.
 
     Lines are summed per invoice and album before they meet the invoices, so
-    an invoice with very many lines brings at most one row per album. Names
-    are added to the finished groups only.
+    an invoice with very many lines brings at most one row per album. Distinct
+    counts come from counting the rows of groups: an invoice has one customer, so
+    rows are summed per invoice, then per customer, then per artist; albums have
+    sums of their own. Names are added to the finished groups only.
     """
     per_album = (
         _with_albums(line, track, album.select("AlbumId", "ArtistId"), album)
@@ -87,18 +89,36 @@ def artist_month_metrics(
     months = valid_dates(invoice).select(
         "InvoiceId", "CustomerId", month_start(F.col("fecha")).alias("mes")
     )
-    grouped = (
-        per_album.join(months, "InvoiceId")
+    dated = per_album.join(months, "InvoiceId")
+    sums = {"canciones": "total_canciones_vendidas", "cantidad": "cantidad_total", "monto": "monto_total"}
+
+    def added(renamed: bool = False) -> list[Column]:
+        return [F.sum(c).alias(name if renamed else c) for c, name in sums.items()]
+
+    # An album has one artist, so its rows count once for the group of that artist.
+    albums = (
+        dated.filter(F.col("AlbumId").isNotNull())
+        .groupBy("mes", "ArtistId", "AlbumId")
+        .agg(F.lit(1).alias("_one"))
+        .groupBy(F.col("mes").alias("_mes"), F.col("ArtistId").alias("_artist"))
+        .agg(F.count(F.lit(1)).alias("albums_vendidos"))
+    )
+    counted = (
+        dated.groupBy("mes", "ArtistId", "CustomerId", "InvoiceId")
+        .agg(*added())
+        .groupBy("mes", "ArtistId", "CustomerId")
+        .agg(*added(), F.count("InvoiceId").alias("_invoices"))
         .groupBy("mes", "ArtistId")
         .agg(
-            F.sum("canciones").alias("total_canciones_vendidas"),
-            F.sum("cantidad").alias("cantidad_total"),
-            F.sum("monto").alias("monto_total"),
-            F.count_distinct("InvoiceId").alias("numero_facturas"),
-            F.count_distinct("CustomerId").alias("clientes_unicos"),
-            F.count_distinct("AlbumId").alias("albums_vendidos"),
+            *added(renamed=True),
+            F.sum("_invoices").alias("numero_facturas"),
+            F.count("CustomerId").alias("clientes_unicos"),
         )
     )
+    same = (F.col("mes") == F.col("_mes")) & F.col("ArtistId").eqNullSafe(F.col("_artist"))
+    grouped = counted.join(albums, same, "left").select(
+        *counted.columns, F.coalesce("albums_vendidos", F.lit(0)).alias("albums_vendidos")
+    )
     # No artist has more rows here than there are months.
     named = grouped.join(artist.select("ArtistId", "Name"), "ArtistId", "left")
     if drop_unattributed:
@@ -152,6 +172,7 @@ def artist_month_metrics_flat(
     ids = {"_invoice": invoice, "_customer": customer}
     if invoice == customer:  # one distinct count serves for both
         del ids["_customer"]
+    last = list(ids)[-1]
     rows = sales.select(
         month_start(F.to_date(event_time(sales, date))).alias("mes"),
         *[column.alias(name) for name, column in artist.items()],
@@ -163,17 +184,29 @@ def artist_month_metrics_flat(
         rows = rows.dropna(subset=list(artist))
 
     group = ["mes", *artist]
-    per_invoice = rows.groupBy(*group, *ids).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.sum("_quantity").alias("_quantity"),
-        F.sum("_amount").alias("_amount"),
-    )
-    metrics = per_invoice.groupBy(*group).agg(
-        F.sum("_rows").alias("total_canciones_vendidas"),
+    def counted(keys: list[str], id_column: str) -> DataFrame:
+        """How many ids the groups have; rows of a group and id are counted once."""
+        once = rows.filter(F.col(id_column).isNotNull()).groupBy(*keys, id_column)
+        again = once.agg(F.lit(1).alias("_one")).groupBy(*keys)
+        return again.agg(F.count(F.lit(1)).alias(f"_n{id_column}"))
+
+    metrics = rows.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("total_canciones_vendidas"),
         F.sum("_quantity").alias("cantidad_total"),
         F.sum("_amount").alias("monto_total"),
-        F.count_distinct("_invoice").alias("numero_facturas"),
-        F.count_distinct(list(ids)[-1]).alias("clientes_unicos"),
+    )
+    measures = metrics.columns
+    for id_column in ids:
+        names = {g: f"_own_{g}" for g in group}
+        found = counted(group, id_column).withColumnsRenamed(names)
+        same = F.lit(True)
+        for g, own in names.items():
+            same = same & F.col(g).eqNullSafe(F.col(own))
+        metrics = metrics.join(found, same, "left").drop(*names.values())
+    metrics = metrics.select(
+        *measures,
+        F.coalesce("_n_invoice", F.lit(0)).alias("numero_facturas"),
+        F.coalesce(f"_n{last}", F.lit(0)).alias("clientes_unicos"),
     )
     return _with_month_parts(metrics)
 
@@ -194,38 +227,28 @@ def top_artists_per_month(
     """The ``top`` artists of each month with their share of it, ranked in ``rk``.
 
     Ties go to the lower artist id, then name, NULL last. A month is first cut
-    into ``slots``; each slot keeps its best rows and its totals, and only
-    those meet in the month's own window.
+    into ``slots``; each slot keeps its best rows, cut before the sort by Spark's
+    group limit, and only those meet in the month's own window. The month's totals
+    are sums of their own.
     """
     names = [c for c in ("ArtistId", "Name", "nombre_artista") if c in metrics.columns]
     best_first = [
         F.col("total_canciones_vendidas").desc(),
         *[F.col(c).asc_nulls_last() for c in names],
     ]
-    slot = Window.partitionBy("mes", "_slot")
-    month = Window.partitionBy("mes")
+    slot = Window.partitionBy("mes", "_slot").orderBy(*best_first)
+    month = Window.partitionBy("mes").orderBy(*best_first)
     finalists = (
         metrics.withColumn("_slot", F.pmod(F.xxhash64(*names), F.lit(slots)))
-        .withColumns(
-            {
-                "_rn": F.row_number().over(slot.orderBy(*best_first)),
-                "_songs": F.sum("total_canciones_vendidas").over(slot),
-                "_amount": F.sum("monto_total").over(slot),
-            }
-        )
+        .withColumn("_rn", F.row_number().over(slot))
         .filter(F.col("_rn") <= top)
+        .drop("_slot", "_rn")
     )
-    leader = F.col("_rn") == 1
+    # A calendar has at most 120,000 months.
     ranked = (
-        finalists.withColumns(
-            {
-                "rk": F.row_number().over(month.orderBy(*best_first)),
-                "total_mes_canciones": F.sum(F.when(leader, F.col("_songs"))).over(month),
-                "total_mes_monto": F.sum(F.when(leader, F.col("_amount"))).over(month),
-            }
-        )
+        finalists.withColumn("rk", F.row_number().over(month))
         .filter(F.col("rk") <= top)
-        .drop("_slot", "_rn", "_songs", "_amount")
+        .join(F.broadcast(month_totals(metrics)), "mes")
     )
     songs, amount = F.col("total_canciones_vendidas"), F.col("monto_total")
     return ranked.withColumns(

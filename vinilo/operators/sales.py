@@ -30,19 +30,23 @@ def valid_dates(invoice: DataFrame, column: str = "InvoiceDate") -> DataFrame:
     )
 
 
+def line_sums(line: DataFrame) -> DataFrame:
+    """Songs, quantity and amount per invoice."""
+    return line.groupBy("InvoiceId").agg(
+        F.count("TrackId").alias("canciones"),
+        F.sum("Quantity").alias("cantidad"),
+        F.sum(F.col("UnitPrice") * F.col("Quantity")).alias("monto"),
+    )
+
+
 def invoice_totals(invoice: DataFrame, line: DataFrame) -> DataFrame:
     """One row per invoice with a readable date and at least one line.
 
     ``InvoiceId`` is the key of ``invoice``; ``audit.constraint_audit`` finds
     repeats.
     """
-    per_invoice = line.groupBy("InvoiceId").agg(
-        F.count("TrackId").alias("canciones"),
-        F.sum("Quantity").alias("cantidad"),
-        F.sum(F.col("UnitPrice") * F.col("Quantity")).alias("monto"),
-    )
     dated = valid_dates(invoice).select("InvoiceId", "CustomerId", "fecha")
-    return per_invoice.join(dated, "InvoiceId")
+    return line_sums(line).join(dated, "InvoiceId")
 
 
 def rollup(totals: DataFrame, **keys: Column) -> DataFrame:
@@ -71,7 +75,12 @@ def with_invoice_ratios(measures: DataFrame, round_to: int | None = None) -> Dat
 def sales_per_day(
     invoice: DataFrame, line: DataFrame, round_to: int | None = None
 ) -> DataFrame:
-    daily = rollup(invoice_totals(invoice, line), fecha=F.col("fecha"))
+    return per_day(invoice_totals(invoice, line), round_to)
+
+
+def per_day(totals: DataFrame, round_to: int | None = None) -> DataFrame:
+    """``sales_per_day`` of ``invoice_totals`` rows."""
+    daily = rollup(totals, fecha=F.col("fecha"))
     date = F.col("fecha")
     dated = daily.withColumns(
         {

@@ -553,3 +553,11 @@ ORACLE: dict[str, str] = {
           ELSE '0:00' END AS duration
         FROM lengths""",
 }
+
+# Other ways to the same results.
+ORACLE |= {
+    "sales_per_day_bucketed": ORACLE["sales_per_day"],
+    "sales_by_month_merged": ORACLE["sales_by_month"],
+    "sales_by_weekday_merged": ORACLE["sales_by_weekday"],
+    "weekend_comparison_merged": ORACLE["weekend_comparison"],
+}

@@ -15,11 +15,13 @@ from pyspark.sql import types as T
 
 from vinilo.functions import dates, text
 from vinilo.operators import artists, audit, checkout, features, history, sales, segments, shop
+from vinilo.operators.daybase import DayBase
 from vinilo.operators.joins import skew_join
 from vinilo.plans import reports
 from vinilo.plans.segmentation_job import Segmentation, segment_features
 from vinilo.plans.session import checkpoint, scratch_folder
 from vinilo.sources import lake
+from vinilo.sources.buckets import BucketedSales, bucket_count
 from vinilo.sources.catalog import register_lake
 from vinilo.sources.layout import LakeLayout
 from vinilo.sources.retail import GENRES, MAIN_GENRES, NOBODY, Retail
@@ -58,6 +60,45 @@ def sales_per_day(r: Retail) -> DataFrame:
     return sales.sales_per_day(r.invoice(), r.line())
 
 
+def _bucketed(r: Retail) -> BucketedSales:
+    """Invoices and lines laid out by invoice; in the test tables none has very many lines."""
+    root = scratch_folder(r.spark, "bucketed")
+    size = bucket_count(r.spark, r.line().count() * 100)
+    tables = BucketedSales(r.spark, root, f"sales_{root[-32:]}", NEWER, size)
+    tables.write(r.invoice(), r.line())
+    return tables
+
+
+@query
+def sales_per_day_bucketed(r: Retail) -> DataFrame:
+    return sales.per_day(_bucketed(r).totals())
+
+
+def _day_base(r: Retail) -> DayBase:
+    """Daily measures and customers, written out once and merged from there."""
+    base = DayBase.of(sales.invoice_totals(r.invoice(), r.line()))
+    return DayBase(checkpoint(base.measures), checkpoint(base.customers))
+
+
+@query
+def sales_by_month_merged(r: Retail) -> DataFrame:
+    months = _day_base(r).merged(year_month=dates.year_month(F.col("fecha"))).drop("numero_dias")
+    return sales.with_invoice_ratios(months)
+
+
+@query
+def sales_by_weekday_merged(r: Retail) -> DataFrame:
+    days = _day_base(r).merged(dia_semana=dates.weekday_name(F.col("fecha"))).drop("numero_dias")
+    return sales.with_invoice_ratios(days)
+
+
+@query
+def weekend_comparison_merged(r: Retail) -> DataFrame:
+    return sales.with_invoice_ratios(
+        _day_base(r).merged(fin_de_semana=dates.is_weekend(F.col("fecha")))
+    )
+
+
 @query
 def sales_per_day_rounded(r: Retail) -> DataFrame:
     return sales.sales_per_day(r.invoice(), r.line(), round_to=2)
