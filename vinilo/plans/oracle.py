@@ -472,6 +472,13 @@ ORACLE: dict[str, str] = {
         WHERE AlbumId = 'Brand#13' AND GenreId = 'STANDARD' AND TrackId > 20
         ORDER BY TrackId LIMIT 50""",
     "catalog_page": VIEWS + "SELECT * FROM v_album ORDER BY AlbumId LIMIT 10 OFFSET 5",
+    "catalog_page_indexed": VIEWS + """
+        SELECT * REPLACE (CAST(UnitPrice AS DOUBLE) AS UnitPrice) FROM v_track
+        QUALIFY row_number() OVER (ORDER BY TrackId) - 1 - (SELECT count(*) // 2 FROM v_track)
+            BETWEEN 0 AND 99""",
+    "catalog_search_indexed": VIEWS + """
+        SELECT * REPLACE (CAST(UnitPrice AS DOUBLE) AS UnitPrice) FROM v_track
+        WHERE v_track.UnitPrice < 1000 ORDER BY TrackId LIMIT 20 OFFSET 20""",
     "point_lookup": VIEWS + """
         SELECT x.TrackId, t.TrackId IS NOT NULL AS found, t.Name,
                CAST(t.UnitPrice AS DOUBLE) AS UnitPrice, count(*) AS requests

@@ -17,6 +17,7 @@ from vinilo.functions import dates, text
 from vinilo.operators import artists, audit, checkout, features, history, sales, segments, shop
 from vinilo.operators.daybase import DayBase
 from vinilo.operators.joins import skew_join
+from vinilo.operators.pageindex import PageIndex
 from vinilo.plans import reports
 from vinilo.plans.segmentation_job import Segmentation, segment_features
 from vinilo.plans.session import checkpoint, scratch_folder
@@ -426,6 +427,24 @@ def catalog_page(r: Retail) -> DataFrame:
     return shop.page(r.album(), "AlbumId", limit=10, offset=5)
 
 
+@query
+def catalog_page_indexed(r: Retail) -> DataFrame:
+    """A hundred tracks from the middle of the catalog, over several ranges of its index."""
+    index = PageIndex.build(
+        r.track(), ["TrackId"], scratch_folder(r.spark, "pages"), range_rows=64
+    )
+    return index.page(limit=100, offset=index.size() // 2)
+
+
+@query
+def catalog_search_indexed(r: Retail) -> DataFrame:
+    """The second page of a search, found by counting matches per range."""
+    index = PageIndex.build(
+        r.track(), ["TrackId"], scratch_folder(r.spark, "pages"), range_rows=64
+    )
+    return index.page(limit=20, offset=20, condition=F.col("UnitPrice") < 1000)
+
+
 @query
 def point_lookup(r: Retail) -> DataFrame:
     """Tracks of all cart items by their id; some are unknown."""

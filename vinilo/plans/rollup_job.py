@@ -14,15 +14,15 @@ from vinilo.operators.artists import artist_month_metrics, top_artist_per_month
 from vinilo.operators.history import customer_employee_history
 from vinilo.operators.sales import sales_by_month, sales_by_weekday, sales_per_day
 from vinilo.plans.session import job_session, size_shuffles
-from vinilo.sources.jdbc import JdbcSource, read_table
+from vinilo.sources.jdbc import RANGE_ROWS, JdbcSource, read_balanced
 from vinilo.sources.lake import (
-    full_copy,
-    latest_common_snapshot,
     raw_bytes,
     read_raw_tables,
+    usable_snapshot,
     write_snapshot,
 )
 from vinilo.sources.layout import COPIED_TABLES, HISTORY, LakeLayout, new_snapshot
+from vinilo.sources.manifest import write_manifest
 from vinilo.sources.schema import PRIMARY_KEYS
 
 
@@ -49,7 +49,7 @@ def run_rollup(
 ) -> str:
     """Compute one dataset from a snapshot of the raw tables; returns its folder."""
     names, compute = ROLLUPS[dataset]
-    snapshot = input_snapshot or latest_common_snapshot(spark, [layout.raw(n) for n in names])
+    snapshot = usable_snapshot(spark, [layout.raw(n) for n in names], input_snapshot)
     size_shuffles(spark, raw_bytes(spark, layout, names, snapshot))
     tables = read_raw_tables(spark, layout, names, snapshot)
     result = compute(*[tables[name] for name in names])
@@ -59,11 +59,20 @@ def run_rollup(
 def run_full_copy(
     spark: SparkSession, reader: Callable[[str], DataFrame], layout: LakeLayout, snapshot: str
 ) -> dict[str, str]:
-    """Copy all tables, then join the customer history from the copies."""
-    folders = full_copy(reader, layout, COPIED_TABLES, snapshot)
-    copied = read_raw_tables(spark, layout, ("Customer", "Employee"), snapshot)
-    history = customer_employee_history(copied["Customer"], copied["Employee"])
-    folders[HISTORY] = write_snapshot(history, layout.raw(HISTORY), snapshot, "errorifexists")
+    """Copy all tables and join the customer history from the copies; both are listed together."""
+    folders: dict[str, str] = {}
+
+    def copied(table: str) -> DataFrame:
+        if table != HISTORY:
+            return reader(table)
+        customer, employee = (spark.read.parquet(folders[t]) for t in ("Customer", "Employee"))
+        return customer_employee_history(customer, employee)
+
+    for table in (*COPIED_TABLES, HISTORY):
+        folders[table] = write_snapshot(
+            copied(table), layout.raw(table), snapshot, "errorifexists", listed=False
+        )
+    write_manifest(spark, snapshot, [layout.raw(table) for table in folders])
     return folders
 
 
@@ -75,7 +84,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--jdbc-url")
     parser.add_argument("--db-user")
     parser.add_argument("--db-password")
-    parser.add_argument("--jdbc-partitions", type=int, default=64, help="key ranges per table")
+    parser.add_argument("--jdbc-rows", type=int, default=RANGE_ROWS, help="rows read by a task")
     args = parser.parse_args(argv)
     if args.job == COPY and not (args.jdbc_url and args.db_user and args.db_password):
         parser.error(f"{COPY} needs --jdbc-url, --db-user and --db-password")
@@ -91,8 +100,8 @@ def main(argv: list[str] | None = None) -> None:
             source = JdbcSource(args.jdbc_url, args.db_user, args.db_password)
             run_full_copy(
                 spark,
-                lambda table: read_table(
-                    spark, source, table, PRIMARY_KEYS[table], args.jdbc_partitions
+                lambda table: read_balanced(
+                    spark, source, table, PRIMARY_KEYS[table], args.jdbc_rows
                 ),
                 layout,
                 snapshot,

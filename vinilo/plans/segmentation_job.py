@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from vinilo.operators import segments
 from vinilo.operators.features import MAIN_GENRES, customer_features, feature_columns
 from vinilo.plans.session import checkpoint, job_session, size_shuffles
-from vinilo.sources.jdbc import JdbcSource, read_table
-from vinilo.sources.lake import latest_common_snapshot, raw_bytes, read_raw_tables
+from vinilo.sources.jdbc import RANGE_ROWS, JdbcSource, read_balanced
+from vinilo.sources.lake import raw_bytes, read_raw_tables, usable_snapshot
 from vinilo.sources.layout import LakeLayout
 from vinilo.sources.schema import PRIMARY_KEYS
 
@@ -37,14 +37,17 @@ def load_tables(
     layout: LakeLayout | None = None,
     database: JdbcSource | None = None,
     snapshot: str | None = None,
+    range_rows: int = RANGE_ROWS,
 ) -> dict[str, DataFrame]:
     """The five tables from the lake (``s3``) or the database (``mysql``)."""
     if source == "s3":
-        snapshot = snapshot or latest_common_snapshot(spark, [layout.raw(t) for t in TABLES])
+        snapshot = usable_snapshot(spark, [layout.raw(t) for t in TABLES], snapshot)
         size_shuffles(spark, raw_bytes(spark, layout, TABLES, snapshot))
         return read_raw_tables(spark, layout, TABLES, snapshot)
     if source == "mysql":
-        return {t: read_table(spark, database, t, PRIMARY_KEYS[t]) for t in TABLES}
+        return {
+            t: read_balanced(spark, database, t, PRIMARY_KEYS[t], range_rows) for t in TABLES
+        }
     raise ValueError(f"unknown data source: {source}")
 
 
@@ -90,6 +93,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--jdbc-url")
     parser.add_argument("--db-user")
     parser.add_argument("--db-password")
+    parser.add_argument("--jdbc-rows", type=int, default=RANGE_ROWS, help="rows read by a task")
     parser.add_argument("--k", type=int, help="number of clusters, searched if left out")
     parser.add_argument("--no-optimize", action="store_true", help="do not search for k")
     parser.add_argument("--output-path", help="folder for the results")
@@ -119,6 +123,7 @@ def main(
             if lake
             else JdbcSource(args.jdbc_url, args.db_user, args.db_password),
             snapshot=args.snapshot,
+            range_rows=args.jdbc_rows,
         )
         result = run_segmentation(
             tables,
