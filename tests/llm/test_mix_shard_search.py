@@ -82,20 +82,19 @@ def mix_rows(spark):
     return rows, spark.createDataFrame(rows, "doc_id long, source string, size long")
 
 
-@pytest.mark.parametrize("slots, bucket_rows", [(1 << 18, 100_000), (500, 5)])
-def test_mix_meets_its_targets(spark, odd_columns, slots, bucket_rows):
+@pytest.mark.parametrize("block, bucket_rows", [(64, 100_000), (7, 5), (1, 100_000)])
+def test_mix_meets_its_targets(spark, odd_columns, block, bucket_rows):
     rows, frame = mix_rows(spark)
     want = brute_targets([(s, n or 0) for _, s, n in rows])
     frame = frame.withColumn("slot", F.lit("x")).withColumn("rank", F.lit("x"))
-    line, mixed = mixing.mix(frame, slots=slots, bucket_rows=bucket_rows)
+    line, mixed = mixing.mix(frame, block=block, bucket_rows=bucket_rows)
     found = mixing.words_taken(line, mixed).collect()
     assert len(found) == len(rows)
-    block = max(1, sum(want.values()) // slots)
     for source, target in want.items():
         own = [r for r in found if r["source"] == source]
         assert own[0]["target"] == pytest.approx(target)
         assert sum(r["size"] for r in own) == own[0]["source_size"]
-        assert target - 6 * block <= sum(r["taken"] for r in own) <= target
+        assert sum(r["taken"] for r in own) == int(target + 1e-6)
         assert all(r["taken"] <= 2 * r["size"] for r in own)
     pieces = mixed.collect()
     # Slots hold a block each, and no two pieces share words of a pass.
@@ -105,7 +104,7 @@ def test_mix_meets_its_targets(spark, odd_columns, slots, bucket_rows):
     assert max(used.values()) <= block
     spots = [(p["source"], p["line_start"], p["pass"], w) for p in pieces for w in range(p["from_word"], p["to_word"])]
     assert len(spots) == len(set(spots))
-    again = mixing.mix(frame.repartition(5), slots=slots, bucket_rows=bucket_rows)
+    again = mixing.mix(frame.repartition(5), block=block, bucket_rows=bucket_rows)
     key = lambda x: sorted((str(r["doc_id"]), str(r["source"]), r["size"], r["taken"]) for r in x)
     assert key(mixing.words_taken(*again).collect()) == key(found)
 
@@ -115,7 +114,7 @@ def test_small_sources_are_taken_whole_from_a_large_corpus(spark):
     rows += [(1000 + i, f"small {i // 2:02}" if i > 1 else None, 20 + i) for i in range(60)]
     want = brute_targets([(s, n) for _, s, n in rows])
     frame = spark.createDataFrame(rows, "doc_id long, source string, size long")
-    line, mixed = mixing.mix(frame, slots=20)
+    line, mixed = mixing.mix(frame)
     found = mixing.words_taken(line, mixed).collect()
     for source, target in want.items():
         assert sum(r["taken"] for r in found if r["source"] == source) == int(target + 1e-6)
@@ -125,6 +124,30 @@ def test_small_sources_are_taken_whole_from_a_large_corpus(spark):
     assert max(used.values()) <= mixing.BLOCK_WORDS
 
 
+@pytest.mark.parametrize("words", [1_000_000, 10_900_000, 11_600_000])
+def test_no_size_of_the_corpus_starves_a_source(spark, words):
+    """One large source and twelve of 30 words, below and above a quarter million slots."""
+    rows = [(i, "large", words // 40) for i in range(40)]
+    rows += [(100 + i, f"tiny {i:02}", 30) for i in range(12)]
+    frame = spark.createDataFrame(rows, "doc_id long, source string, size long")
+    want = brute_targets([(s, n) for _, s, n in rows])
+    taken = Counter()
+    for r in mixing.words_taken(*mixing.mix(frame)).collect():
+        taken[r["source"]] += r["taken"]
+    assert taken == {s: int(t + 1e-6) for s, t in want.items()}
+    assert all(taken[f"tiny {i:02}"] == 60 for i in range(12))
+
+
+def test_points_stay_exact(spark):
+    """A slot far along the sequence has the point that exact arithmetic gives."""
+    goals = spark.createDataFrame([("a", 1.0), ("b", 3.0)], "source string, target double")
+    rows = mixing.schedule(spark, goals, 3000).collect()
+    assert len(rows) == 3000
+    for r in rows:
+        point = (r["slot"] + 1) * mixing.GOLDEN % 2**64 / 2**64
+        assert r["source"] == ("a" if point < 0.25 else "b")
+
+
 def test_every_stretch_of_the_schedule_is_mixed(spark):
     goals = spark.createDataFrame(
         [("a", 0, 600.0), ("b", 0, 300.0), (None, 0, 100.0)], "source string, source_size long, target double"

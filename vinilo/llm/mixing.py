@@ -3,23 +3,21 @@
 Each source's documents, shuffled, lie end to end on a line of words that is cut
 into blocks of equal length. The points t * golden ratio modulo 1 are mapped
 through the cumulative targets to sources; the r-th slot of a source takes its
-block r. A source that is taken more than once goes round its line again. Where
-more than SLOTS blocks of BLOCK_WORDS words are wanted, there are more slots, not
-longer blocks, and slots after the sequence fill up the sources that it left short.
+block r. A source that is taken more than once goes round its line again. Blocks have
+BLOCK_WORDS words at every size of the corpus, so slots grow with it, and slots after
+the sequence fill up the sources that it left short.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vinilo.llm.common import saved
 from vinilo.llm.ranks import BUCKET_ROWS, hex_digits, running
 
-GOLDEN = (math.sqrt(5) - 1) / 2
-SLOTS = 1 << 18
+# The golden ratio's fraction in units of 2**-64, odd: steps of the integer sequence.
+GOLDEN = 0x9E3779B97F4A7C15
 BLOCK_WORDS = 64
 CELLS = 4096
 SLOT_RUN = 65_536
@@ -74,7 +72,8 @@ def schedule(spark: SparkSession, sources: DataFrame, slots: int) -> DataFrame:
     """(slot, source, rank): which source each slot takes, and its how-manieth slot that is.
 
     Points and intervals of the cumulative targets meet in cells of the unit
-    line, so neither the sources nor the slots are broadcast.
+    line, so neither the sources nor the slots are broadcast. Points are whole
+    multiples of the ratio modulo 2**64, exact for any number of slots.
     """
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
     whole = Window.partitionBy(F.lit(0))
@@ -96,10 +95,14 @@ def schedule(spark: SparkSession, sources: DataFrame, slots: int) -> DataFrame:
             ).alias("_cell"),
         )
     )
+    turn = F.expr(
+        f"CAST(id + 1 AS DECIMAL(17, 0)) * CAST({GOLDEN} AS DECIMAL(20, 0)) "
+        f"% CAST({1 << 64} AS DECIMAL(20, 0))"
+    )
     points = (
         spark.range(slots)
-        .select(F.col("id").alias("slot"), ((F.col("id") + 1) * GOLDEN % 1.0).alias("_point"))
-        .withColumn("_cell", F.floor(F.col("_point") * CELLS))
+        .select(F.col("id").alias("slot"), (turn.cast("double") / float(1 << 64)).alias("_point"))
+        .withColumn("_cell", F.least(F.floor(F.col("_point") * CELLS), F.lit(CELLS - 1)))
     )
     assigned = (
         points.join(intervals, "_cell")
@@ -142,7 +145,7 @@ def mix(
     share: float = 1.5,
     most: int = 2,
     seed: str = "mix",
-    slots: int = SLOTS,
+    block: int = BLOCK_WORDS,
     keys: tuple[str, ...] = (),
     bucket_rows: int = BUCKET_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
@@ -151,11 +154,9 @@ def mix(
     The line has a row per document with doc_id, source, size, the columns named
     in ``keys``, ``source_size``, ``target`` and ``line_start``, its place in its
     source. The mix has a row for each piece:
-    slot, source, doc_id, line_start, pass, from_word, to_word. A block has
-    ``share`` times all sizes divided by ``slots`` words, one at least, and a source
-    stays below its target by at most a few blocks. Where that would be more than
-    BLOCK_WORDS words, a block has so many, the number of slots grows instead, and
-    every source is taken up to its target rounded down. The seed fixes the
+    slot, source, doc_id, line_start, pass, from_word, to_word. A slot holds a block
+    of ``block`` words at most, and every source is taken up to its target rounded
+    down, however small it is beside the others. The seed fixes the
     result. A null source is a source; a null doc_id is an id; a null size
     counts as 0, and documents without words are in the line but never in the
     mix. Repeated rows follow each other on the line. An
@@ -168,7 +169,6 @@ def mix(
     goals = saved(targets(docs, weights, share, most), "targets")
     budget = goals.agg(F.coalesce(F.sum("target"), F.lit(0.0))).first()[0]
     rows = docs.count()
-    block = max(1, min(int(budget // slots), BLOCK_WORDS))
     own = docs.columns
     keyed = docs.withColumn(
         "_hash",
@@ -203,10 +203,8 @@ def mix(
             F.explode(F.sequence(F.expr(f"_at div {block}"), F.expr(f"(_stop - 1) div {block}"))),
         )
     )
-    points = math.ceil(budget / block)
-    plan = schedule(spark, goals, points)
-    if budget // slots > BLOCK_WORDS:
-        plan = topped_up(saved(plan, "plan"), goals, points, block)
+    points = int(-(-budget // block))
+    plan = topped_up(saved(schedule(spark, goals, points), "plan"), goals, points, block)
     plan = plan.withColumnRenamed("source", "_of")
     mixed = pieces.join(
         plan, pieces["source"].eqNullSafe(plan["_of"]) & (pieces["_block"] == plan["rank"])

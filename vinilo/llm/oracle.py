@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from vinilo.llm.mixing import GOLDEN, SLOTS
 from vinilo.llm.rules import RULES, STOP_WORDS, SYMBOLS
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -87,29 +86,13 @@ WITH sized AS (
         (SELECT level FROM leveled WHERE cap > level * weight ORDER BY cap / weight, n LIMIT 1)
         * weight, cap::DOUBLE)) AS target
     FROM leveled
-), budget AS (
-    SELECT sum(target) AS words, greatest(1, floor(sum(target) / {SLOTS}))::BIGINT AS block FROM goals
-), edges AS (
-    SELECT source, sum(target) OVER (ORDER BY n) / (SELECT words FROM budget) AS hi,
-        n = max(n) OVER () AS last
-    FROM goals
-), bounds AS (
-    SELECT source, coalesce(lag(hi) OVER (ORDER BY hi), 0) AS lo,
-        CASE WHEN hi > 1 - 1e-12 THEN 2 ELSE hi END AS hi
-    FROM edges
-), points AS (
-    SELECT t, ((t + 1) * {GOLDEN!r}::DOUBLE) % 1.0::DOUBLE AS p
-    FROM (SELECT unnest(range(0, ceil((SELECT words / block FROM budget))::BIGINT)) AS t)
-), slots AS (
-    SELECT source, count(*) AS n FROM points JOIN bounds ON p >= lo AND p < hi GROUP BY source
 ), lines AS (
     SELECT doc_id, sized.source, size, total, target,
-        least(floor(target), coalesce(slots.n, 0) * (SELECT block FROM budget))::BIGINT AS words,
+        floor(target)::BIGINT AS words,
         sum(size) OVER (PARTITION BY sized.source
             ORDER BY md5('mix:' || coalesce(doc_id::VARCHAR, '')), doc_id, size
             ROWS UNBOUNDED PRECEDING) - size AS place
     FROM sized JOIN goals ON sized.source IS NOT DISTINCT FROM goals.source
-    LEFT JOIN slots ON slots.source IS NOT DISTINCT FROM goals.source
 )
 SELECT doc_id, size, total::BIGINT AS source_size, target,
     (greatest(least(place + size, words) - place, 0)
