@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 100_000
 ROWS_PER_SPLIT = 1_000_000
 MAX_HOT_KEYS = 100_000
+NULL_SPLITS = 1 << 20
 
 LEFT_KEEPING = ("inner", "left", "left_semi", "left_anti")
 
@@ -61,7 +62,8 @@ def skew_join(
 
     The split of a row is taken from a hash of the row and the number of the map
     task that reads it. Both stay the same when a lost task is run again; the hash
-    spreads the rows of one task, the number the copies of one row.
+    spreads the rows of one task, the number the copies of one row. Rows without a
+    key have no partners and are spread in the same way, over all partitions.
     """
     if how not in LEFT_KEEPING:
         raise ValueError(f"how must be one of {LEFT_KEEPING}, not {how!r}")
@@ -73,7 +75,7 @@ def skew_join(
         facts.join(hot, key, "left")
         .withColumn(
             "_salt",
-            F.when(F.col(key).isNull(), task)
+            F.when(F.col(key).isNull(), F.pmod(spread, F.lit(NULL_SPLITS)).cast("int"))
             .when(F.col("_splits").isNotNull(), F.pmod(spread, F.col("_splits")).cast("int"))
             .otherwise(F.lit(0)),
         )

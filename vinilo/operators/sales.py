@@ -7,7 +7,7 @@ and leaves one distinct count (customers) instead of two.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from vinilo.functions.dates import day, is_weekend, weekday_name, year_month
@@ -30,6 +30,35 @@ def valid_dates(invoice: DataFrame, column: str = "InvoiceDate") -> DataFrame:
     )
 
 
+# What is told of invoices whose dates cannot be read; amounts only where invoices have them.
+DROPPED = "invoices long, without_date long, unreadable long, dropped_amount double"
+
+
+def watched_dates(invoice: DataFrame) -> tuple[DataFrame, Observation]:
+    """The invoices, and what is seen of their dates while a job reads them.
+
+    ``Observation.get`` waits for that job and has the columns of ``DROPPED``. The
+    figures come from the job's own pass and need no other.
+    """
+    lost = day(invoice, "InvoiceDate").isNull()
+    missing = F.col("InvoiceDate").isNull()
+    amount = F.col("Total") if "Total" in invoice.columns else F.lit(0.0)
+    seen = Observation("dates")
+    zero = F.lit(0).cast("long")
+    return (
+        invoice.observe(
+            seen,
+            F.count(F.lit(1)).alias("invoices"),
+            F.coalesce(F.count_if(missing), zero).alias("without_date"),
+            F.coalesce(F.count_if(lost & ~missing), zero).alias("unreadable"),
+            F.coalesce(F.sum(F.when(lost, amount)).cast("double"), F.lit(0.0)).alias(
+                "dropped_amount"
+            ),
+        ),
+        seen,
+    )
+
+
 def line_sums(line: DataFrame) -> DataFrame:
     """Songs, quantity and amount per invoice."""
     return line.groupBy("InvoiceId").agg(

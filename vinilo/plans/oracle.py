@@ -434,6 +434,31 @@ ORACLE: dict[str, str] = {
           avg(monto_total) OVER (ORDER BY year_month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)
             AS media_movil_3
         FROM monthly WINDOW w AS (ORDER BY year_month)""",
+    "month_trend_with_gaps": VIEWS + """
+, months AS (
+  SELECT strftime(fecha, '%Y-%m') AS year_month, year(fecha) * 12 + month(fecha) AS m,
+    count(TrackId) AS total_canciones_vendidas,
+    CAST(sum(UnitPrice * Quantity) AS DOUBLE) AS monto_total
+  FROM v_sold WHERE month(fecha) <> 3 AND (year(fecha) * 12 + month(fecha)) % 7 <> 0 GROUP BY 1, 2)
+        SELECT a.year_month, a.total_canciones_vendidas, a.monto_total,
+          b.monto_total AS monto_anterior,
+          (a.monto_total - b.monto_total) / b.monto_total * 100 AS cambio_porcentual,
+          (SELECT avg(c.monto_total) FROM months c WHERE c.m BETWEEN a.m - 2 AND a.m)
+            AS media_movil_3
+        FROM months a LEFT JOIN months b ON b.m = a.m - 1""",
+    "sales_dropped_dates": """
+        SELECT count(*) AS invoices,
+          count(*) FILTER (o_orderkey % 50 <> 0 AND o_orderkey % 70 = 0) AS without_date,
+          count(*) FILTER (o_orderkey % 50 = 0) AS unreadable,
+          CAST(sum(CAST(o_totalprice AS DECIMAL(12, 2)))
+            FILTER (o_orderkey % 50 = 0 OR o_orderkey % 70 = 0) AS DOUBLE) AS dropped_amount
+        FROM orders""",
+    "catalog_widened": """
+        SELECT o_custkey AS CustomerId, 2 * count(*) AS facturas,
+          CAST(sum(CAST(o_totalprice AS DECIMAL(12, 2))
+            + CAST(CAST(o_totalprice AS DECIMAL(12, 2)) AS DECIMAL(10, 1))) AS DOUBLE) AS total,
+          CAST(max(o_orderdate) AS VARCHAR) AS ultima
+        FROM orders GROUP BY o_custkey""",
     "customer_employee_history": VIEWS + """
         SELECT c.CustomerId, c.FirstName AS CustomerFirstName, c.LastName AS CustomerLastName,
           c.Email AS CustomerEmail, c.Company, c.Country AS CustomerCountry, c.SupportRepId,

@@ -115,6 +115,19 @@ def sales_by_month(r: Retail) -> DataFrame:
     return sales.sales_by_month(r.invoice(), r.line())
 
 
+@query
+def sales_dropped_dates(r: Retail) -> DataFrame:
+    """What a rollup observes of invoices that it leaves out for their dates."""
+    date = F.date_format("InvoiceDate", "yyyy-MM-dd")
+    texts = r.invoice().withColumn(
+        "InvoiceDate",
+        F.when(F.col("InvoiceId") % 50 == 0, "bad").when(F.col("InvoiceId") % 70 != 0, date),
+    )
+    watched, dropped = sales.watched_dates(texts)
+    sales.sales_per_day(watched, r.line()).write.format("noop").mode("overwrite").save()
+    return r.spark.createDataFrame([dropped.get], sales.DROPPED)
+
+
 @query
 def sales_valid_dates(r: Retail) -> DataFrame:
     """Invoices per date, with some of the dates made unreadable."""
@@ -255,6 +268,14 @@ def month_trend(r: Retail) -> DataFrame:
     return reports.month_trend(r.invoice(), r.line())
 
 
+@query
+def month_trend_with_gaps(r: Retail) -> DataFrame:
+    """With every March and every seventh month of the calendar taken out of the data."""
+    number = F.year("InvoiceDate") * 12 + F.month("InvoiceDate")
+    kept = r.invoice().filter((F.month("InvoiceDate") != 3) & (number % 7 != 0))
+    return reports.month_trend(kept, r.line())
+
+
 # Lake
 
 
@@ -299,6 +320,25 @@ def snapshot_roundtrip(r: Retail) -> DataFrame:
     return lake.read_snapshot(r.spark, dataset)
 
 
+@query
+def catalog_widened(r: Retail) -> DataFrame:
+    """Invoices per customer over two snapshots; the older one has narrower columns."""
+    older = r.invoice().select(
+        F.col("InvoiceId").cast("int").alias("InvoiceId"),
+        F.col("CustomerId").cast("int").alias("CustomerId"),
+        F.to_date("InvoiceDate").alias("InvoiceDate"),
+        F.col("Total").cast("decimal(10,1)").alias("Total"),
+    )
+    layout = _lake(r, {"Invoice": r.invoice()}, {"Invoice": older})
+    database = f"lake_{layout.root[-32:]}"
+    register_lake(r.spark, layout, database, ["Invoice"])
+    return r.spark.table(f"{database}.dl_invoice").groupBy("CustomerId").agg(
+        F.count(F.lit(1)).alias("facturas"),
+        F.sum("Total").alias("total"),
+        F.max("InvoiceDate").alias("ultima"),
+    )
+
+
 @query
 def catalog_tables(r: Retail) -> DataFrame:
     """Rows of every registered table, both snapshots of invoices included."""

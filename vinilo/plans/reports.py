@@ -76,18 +76,24 @@ def quarter_ranking(invoice: DataFrame, line: DataFrame) -> DataFrame:
 
 
 def month_trend(invoice: DataFrame, line: DataFrame) -> DataFrame:
-    """Change of the amount to the month before, and its average over three months."""
-    in_order = Window.orderBy("year_month")
+    """Change of the amount to the month before, and its average over three months.
+
+    Months are those of the calendar: after a month without sales there is nothing to
+    compare with, and the average is that of the months with sales among the three.
+    """
     amount = F.col("monto_total").cast("double")
-    before = F.lag(amount).over(in_order)
+    number = F.substring("year_month", 1, 4).cast("int") * 12 + F.substring("year_month", 6, 2).cast("int")
+    in_order = Window.orderBy("_month")
+    before = F.sum(amount).over(in_order.rangeBetween(-1, -1))
     return (
         sales_by_month(invoice, line)
-        .select("year_month", "total_canciones_vendidas", "monto_total")
+        .select("year_month", "total_canciones_vendidas", "monto_total", number.alias("_month"))
         .withColumns(
             {
                 "monto_anterior": before,
                 "cambio_porcentual": percentage(amount - before, before),
-                "media_movil_3": F.avg(amount).over(in_order.rowsBetween(-2, 0)),
+                "media_movil_3": F.avg(amount).over(in_order.rangeBetween(-2, 0)),
             }
         )
+        .drop("_month")
     )

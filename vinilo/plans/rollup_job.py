@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vinilo.operators.artists import artist_month_metrics, top_artist_per_month
 from vinilo.operators.history import customer_employee_history
-from vinilo.operators.sales import sales_by_month, sales_by_weekday, sales_per_day
+from vinilo.operators.sales import sales_by_month, sales_by_weekday, sales_per_day, watched_dates
 from vinilo.plans.session import job_session, size_shuffles
 from vinilo.sources.jdbc import RANGE_ROWS, JdbcSource, read_balanced
 from vinilo.sources.lake import (
@@ -46,14 +46,30 @@ def run_rollup(
     dataset: str,
     output_snapshot: str,
     input_snapshot: str | None = None,
+    report: Callable[[dict], None] | None = None,
 ) -> str:
-    """Compute one dataset from a snapshot of the raw tables; returns its folder."""
+    """Compute one dataset from a snapshot of the raw tables; returns its folder.
+
+    ``report`` is given what ``sales.watched_dates`` has seen of dropped invoices.
+    """
     names, compute = ROLLUPS[dataset]
     snapshot = usable_snapshot(spark, [layout.raw(n) for n in names], input_snapshot)
     size_shuffles(spark, raw_bytes(spark, layout, names, snapshot))
     tables = read_raw_tables(spark, layout, names, snapshot)
+    tables["Invoice"], dates = watched_dates(tables["Invoice"])
     result = compute(*[tables[name] for name in names])
-    return write_snapshot(result, layout.processed(dataset), output_snapshot)
+    path = write_snapshot(result, layout.processed(dataset), output_snapshot)
+    if report is not None:
+        report(dates.get)
+    return path
+
+
+def print_dropped(seen: dict) -> None:
+    """Tell how many invoices have no part in the result, and their amount."""
+    print(
+        f"{seen['invoices']} invoices read; left out for their dates: {seen['without_date']} without, "
+        f"{seen['unreadable']} unreadable, amount {seen['dropped_amount']:.2f}"
+    )
 
 
 def run_full_copy(
@@ -107,7 +123,7 @@ def main(argv: list[str] | None = None) -> None:
                 snapshot,
             )
         else:
-            run_rollup(spark, layout, args.job, snapshot, args.snapshot)
+            run_rollup(spark, layout, args.job, snapshot, args.snapshot, print_dropped)
     finally:
         spark.stop()
 

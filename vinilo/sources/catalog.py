@@ -6,6 +6,7 @@ from collections.abc import Iterable
 from typing import Any
 
 from pyspark.sql import SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 from vinilo.sources.lake import list_snapshots, read_snapshot
@@ -15,16 +16,64 @@ TABLE_PREFIX = "dl_"
 PARTITION = "snapshot"
 
 
+class TypeConflict(ValueError):
+    """Columns of one name whose types have no common one."""
+
+
+# Whole numbers by width, with the digits that their values may have.
+_WHOLE = {T.ByteType(): 3, T.ShortType(): 5, T.IntegerType(): 10, T.LongType(): 19}
+
+
+def common_type(a: T.DataType, b: T.DataType) -> T.DataType | None:
+    """The narrowest type that files of both types can be read as without loss, if any.
+
+    Whole numbers widen to longer ones, to decimals with enough digits, and up to
+    ``int`` to doubles; decimals to more digits before and behind the point, floats to
+    doubles, dates to times without a zone.
+    """
+    if a == b:
+        return a
+    if a in _WHOLE and b in _WHOLE:
+        return max(a, b, key=_WHOLE.get)
+    if isinstance(b, T.DecimalType) or (a in _WHOLE and b not in _WHOLE):
+        a, b = b, a
+    if isinstance(a, T.DecimalType):
+        if b in _WHOLE:
+            whole, scale = _WHOLE[b], 0
+        elif isinstance(b, T.DecimalType):
+            whole, scale = b.precision - b.scale, b.scale
+        else:
+            return None
+        scale = max(scale, a.scale)
+        digits = max(whole, a.precision - a.scale) + scale
+        return T.DecimalType(digits, scale) if digits <= 38 else None
+    if a == T.DoubleType() and (b == T.FloatType() or _WHOLE.get(b, 99) <= 10):
+        return a
+    if {a, b} == {T.FloatType(), T.DoubleType()}:
+        return T.DoubleType()
+    if {a, b} == {T.DateType(), T.TimestampNTZType()}:
+        return T.TimestampNTZType()
+    return None
+
+
 def _columns(schemas: Iterable[StructType]) -> dict[str, str]:
-    """Columns of all the schemas; the first one that has a column gives its type."""
-    columns: dict[str, str] = {}
+    """Columns of all the schemas, each of the type that holds all of its values."""
+    kinds: dict[str, T.DataType] = {}
     names: dict[str, str] = {}
     for schema in schemas:
         for column in schema.fields:
-            if column.name.lower() not in names and column.name != PARTITION:
-                names[column.name.lower()] = column.name
-                columns[column.name] = column.dataType.simpleString()
-    return columns
+            if column.name == PARTITION:
+                continue
+            name = names.setdefault(column.name.lower(), column.name)
+            before = kinds.get(name, column.dataType)
+            both = common_type(before, column.dataType)
+            if both is None:
+                raise TypeConflict(
+                    f"column {name} is {column.dataType.simpleString()} in one snapshot "
+                    f"and {before.simpleString()} in another"
+                )
+            kinds[name] = both
+    return {name: kind.simpleString() for name, kind in kinds.items()}
 
 
 def _create(spark: SparkSession, table: str, path: str, columns: dict[str, str]) -> None:
@@ -78,7 +127,8 @@ def register_lake(
 ) -> dict[str, Any]:
     """Create the database and one table per dataset; safe to repeat.
 
-    New columns in newer snapshots are taken over, datasets whose folder has
+    New columns in newer snapshots are taken over and columns of several types get the
+    type that holds them all; where there is none, that is an error. Datasets whose folder has
     gone are marked deprecated, and an error on one table does not stop the
     others. With ``dry_run`` nothing is touched.
     """
