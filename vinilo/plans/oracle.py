@@ -443,7 +443,7 @@ ORACLE: dict[str, str] = {
         SELECT a.year_month, a.total_canciones_vendidas, a.monto_total,
           b.monto_total AS monto_anterior,
           (a.monto_total - b.monto_total) / b.monto_total * 100 AS cambio_porcentual,
-          (SELECT avg(c.monto_total) FROM months c WHERE c.m BETWEEN a.m - 2 AND a.m)
+          avg(a.monto_total) OVER (ORDER BY a.m RANGE BETWEEN 2 PRECEDING AND CURRENT ROW)
             AS media_movil_3
         FROM months a LEFT JOIN months b ON b.m = a.m - 1""",
     "sales_dropped_dates": """
