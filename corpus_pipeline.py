@@ -23,20 +23,30 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates; of rows with one doc_id, one.
+    """One document of each group of near duplicates, by preference that of the smallest doc_id.
 
-    Documents without an id belong to no group and stay.
+    Rows are told apart, not ids: rows that share a doc_id, and rows without
+    one, go only if their own shingles are linked to a kept row. Of rows equal
+    in every column one stays. Texts without words are linked with nothing.
     """
-    judged = neardup.near_duplicates(docs, width=5, percent=80)
-    kept = judged.filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64(*COLUMNS))
-    chosen = (
-        docs.join(kept, "doc_id")
-        .withColumn("_n", F.row_number().over(first))
-        .filter("_n = 1")
-        .select(*COLUMNS)
+    ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"))
+    shared = saved(
+        ids.filter("_n > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("_shared")), "shared-ids"
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("_shared"))
+    columns = docs.select(*COLUMNS)
+    own = columns.join(shared, same, "left_anti").withColumn("_key", F.col("doc_id").cast("long"))
+    # A hash of the row stands for its id, above all ids in use.
+    place = F.xxhash64(*COLUMNS).bitwiseAND(2**62 - 1) + 2**62
+    others = (
+        columns.join(shared, same, "left_semi").withColumn("_key", place).dropDuplicates(["_key"])
+    )
+    rows = own.union(others)
+    judged = neardup.near_duplicates(
+        rows.select(F.col("_key").alias("doc_id"), "text"), width=5, percent=80
     )
-    return chosen.union(docs.filter("doc_id IS NULL").select(*COLUMNS))
+    kept = saved(judged.filter("kept").select(F.col("doc_id").alias("_kept")), "kept")
+    return rows.join(kept, F.col("_key") == F.col("_kept"), "left_semi").select(*COLUMNS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
