@@ -109,3 +109,30 @@ def test_pipeline_of_nulls_repeats_and_nothing(spark, documents):
     for _, stage in corpus_pipeline.STAGES:
         result = corpus_pipeline.saved(stage(spark, result, ""), "stage")
     assert result.count() == 0
+
+
+def test_rows_of_one_id_go_only_for_their_own_text(spark, documents):
+    def text(tag):
+        return " ".join(["the", *[f"{tag}{i}" for i in range(80)], "of"])
+
+    docs = documents(
+        (1, text("a")), (1, text("b")), (1, text("b")), (2, text("c")), (2, text("a") + " x"),
+        (3, text("d")), (4, text("d") + " y"), (None, text("e")), (None, text("e")), (None, text("d")),
+        (None, text("f")), (5, None), (5, ""), (6, " "), (7, text("f")),
+    )
+    kept = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+    texts = Counter(r["text"].split()[1] for r in kept if r["text"] and r["text"].strip())
+    assert texts == Counter("a0 b0 c0 d0 e0 f0".split())
+    ids = {r["text"].split()[1]: r["doc_id"] for r in kept if r["text"] and r["text"].strip()}
+    assert ids["d0"] == 3 and ids["e0"] is None and ids["f0"] == 7 and ids["c0"] == 2
+    assert sum(not (r["text"] or "").strip() for r in kept) == 3
+    assert corpus_pipeline.near_duplicates(spark, documents(), "").count() == 0
+
+
+def test_long_and_short_texts_pass_all_stages(spark, documents):
+    long = " ".join(["the of and", *[f"w{i} the" for i in range(60_000)]])
+    docs = documents((1, long), (2, " ".join(["the", *[f"v{i}" for i in range(80)]])), (3, "short"), (4, ""))
+    result = docs
+    for _, stage in corpus_pipeline.STAGES:
+        result = corpus_pipeline.saved(stage(spark, result, ""), "stage")
+    assert {r["doc_id"] for r in result.collect()} <= {1, 2}

@@ -62,6 +62,37 @@ def test_rules_are_a_table(documents):
     assert not strict.filter("kept").count()
 
 
+def test_function_words_in_any_case(documents):
+    body = [f"word{i}" for i in range(100)]
+    mixed = " ".join([*body, *"The Of AND tO iN Is".split()])
+    rows = rules.quality_rules(documents((1, mixed), (2, mixed.lower()), (3, " ".join(body)))).collect()
+    assert [(r["n_stop_words"], r["kept"]) for r in rows] == [(6, True), (6, True), (0, False)]
+
+
+def test_word_rules_bind_covered_languages_only(spark, documents):
+    plain = " ".join(f"slovo{i}" for i in range(80))
+    cyrillic = " ".join("слово" + "абвгд"[i % 5] * (i % 7) + str(i) for i in range(80))
+    unspaced = " ".join("字" * 30 + str(i) for i in range(60))
+    tags = [("en", plain), ("sk", plain), ("pt-BR", plain), ("EN_us", plain), (None, plain), (" ", plain)]
+    tags += [(None, cyrillic), ("ru", cyrillic), ("ja", unspaced), (None, unspaced), (None, None)]
+    docs = spark.createDataFrame(
+        [(i, x[1], x[0]) for i, x in enumerate(tags)], "doc_id long, text string, lang string"
+    )
+    want = [False, True, True, False, False, False, True, True, True, True, False]
+    assert [r["kept"] for r in rules.quality_rules(docs).collect()] == want
+    want = [False] * 6 + [True] * 4 + [False]
+    assert [r["kept"] for r in rules.quality_rules(docs.drop("lang")).collect()] == want
+    # Symbols and repeats count in every language.
+    noise = spark.createDataFrame([(1, " ".join(["a#b"] * 99), "ru")], docs.schema)
+    assert not rules.quality_rules(noise).filter("kept").count()
+
+
+def test_very_long_texts_are_judged_like_others(documents):
+    long = " ".join(["the of and", *[f"w{i} the" for i in range(520_000)]])
+    row = rules.quality_rules(documents((1, long))).drop("text").collect()[0]
+    assert row["n_words"] == 1_040_003 and row["kept"]
+
+
 def test_filter_on_the_verdict_is_cheap(documents):
     docs = documents(*[(i, " ".join(f"w{j}" for j in range(3000))) for i in range(20)])
     assert rules.quality_rules(docs).filter("NOT kept").select("doc_id", "text").count() == 20
@@ -96,6 +127,58 @@ def test_classifier_ranks_held_out_rows(spark, documents):
         assert a["score"] == pytest.approx(b["score"])
 
 
+def test_scores_equal_brute_force(spark, documents):
+    docs, labels, truth = labelled(spark, documents)
+    rest = F.col("doc_id") % 4
+    use = {"fit": rest < 2, "calibrate": rest == 3}
+    found = {r["doc_id"]: r["score"] for r in classifier.quality_scores(docs, labels, use).collect()}
+    rows = sorted(classifier.document_statistics(docs, ["doc_id"]).collect(), key=lambda r: r["doc_id"])
+    x = np.array([r["_statistics"] for r in rows])
+    y = np.array([truth[r["doc_id"]] for r in rows])
+    part = np.array([r["doc_id"] % 4 for r in rows])
+    fit = x[part < 2]
+    spread = np.where(fit.std(0) > 1e-9, fit.std(0), 1.0)
+    random_ = np.random.default_rng(classifier.SEED)
+    directions = random_.normal(size=(x.shape[1], classifier.FEATURES)) / classifier.WIDTH
+    phases = random_.uniform(0, 2 * np.pi, classifier.FEATURES)
+    scaled = np.clip((x - fit.mean(0)) / spread, -8, 8)
+    mapped = np.cos(scaled @ directions + phases) * (2 / classifier.FEATURES) ** 0.5
+    mapped = np.hstack([mapped, np.ones((len(x), 1))])
+    # Ridge as least squares with a row per weight.
+    root = np.diag([classifier.RIDGE**0.5] * classifier.FEATURES + [1e-9**0.5])
+    above = np.vstack([mapped[part < 2], root])
+    weights = np.linalg.lstsq(above, np.append(y[part < 2], np.zeros(len(root))), rcond=None)[0]
+    cells = np.clip(((mapped @ weights + 0.5) / 2 * classifier.GRID).astype(int), 0, classifier.GRID - 1)
+    ids = [r["doc_id"] for r in rows]
+    fitted, target = cells[part == 3], y[part == 3].astype(float)
+    places = np.unique(fitted)
+    rate = np.array([target[fitted == c].mean() for c in places])
+    weight = np.array([(fitted == c).sum() for c in places])
+    # Isotonic: the largest, over starts up to a cell, of the least mean to an end beyond it.
+    def mean(a, b):
+        return np.average(rate[a : b + 1], weights=weight[a : b + 1])
+
+    n = len(places)
+    curve = [max(min(mean(a, b) for b in range(k, n)) for a in range(k + 1)) for k in range(n)]
+    want = np.interp(cells, places, curve)
+    differs = [i for i, w in zip(ids, want) if abs(found[i] - w) > 1e-6]
+    # A raw score at the edge of a cell may fall on either side of it.
+    assert len(differs) <= 2
+
+
+def test_packed_sums_equal_whole_ones(spark):
+    size = (classifier.FEATURES + 1) * (classifier.FEATURES + 2)
+    parts = [np.random.default_rng(i).normal(size=size) for i in range(5)]
+    rows = [
+        (p, x.tobytes())
+        for whole in parts
+        for p, x in enumerate(np.array_split(whole, classifier.PIECES))
+    ]
+    packed = spark.createDataFrame(rows, "piece long, sums binary").repartition(7)
+    assert np.allclose(classifier._total(packed).ravel(), sum(parts))
+    assert not classifier._total(packed.limit(0)).any()
+
+
 def test_classifier_edges(spark, documents, odd_columns):
     docs = odd_columns(documents((1, ""), (2, None), (None, "a b"), (3, "x" * 100_000), (3, "a")))
     none = spark.createDataFrame([], "doc_id long, quality int")

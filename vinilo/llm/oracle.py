@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
-from vinilo.llm.rules import RULES, STOP_WORDS, SYMBOLS
+from vinilo.llm.rules import (
+    BYTES_PER_CHARACTER,
+    LANGUAGES,
+    LOWER,
+    RULES,
+    STOP_WORDS,
+    SYMBOLS,
+    UPPER,
+)
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 ORACLE: dict[str, str] = {}
@@ -22,7 +30,6 @@ SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec
 FROM ranked QUALIFY "rank" <= 10
 """
 
-_BOUNDS = {r.measure: (r.low, r.high) for r in RULES}
 _MEASURES = {
     "n_words": "n_words",
     "mean_word_chars": "coalesce(word_chars / nullif(n_words, 0), 0)",
@@ -32,15 +39,20 @@ _MEASURES = {
     "dup_line_ratio": "coalesce(n_dup_lines / nullif(n_lines, 0), 0)",
 }
 _KEPT = " AND ".join(
-    f"{_MEASURES[m]} {sign} {bound}"
-    for m, bounds in _BOUNDS.items()
-    for sign, bound in zip((">=", "<="), bounds)
+    f"({_MEASURES[r.measure]} {sign} {bound}{' OR NOT covered' if r.covered_only else ''})"
+    for r in RULES
+    for sign, bound in ((">=", r.low), ("<=", r.high))
     if bound is not None
 )
 _STOPS = ", ".join(f"'{w}'" for w in dict.fromkeys(STOP_WORDS))
+_LANGUAGES = ", ".join(f"'{x}'" for x in LANGUAGES)
 ORACLE["op2_quality_rules"] = rf"""
 WITH texts AS (
-    SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, {WORDS} AS w
+    SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, {WORDS} AS w,
+        coalesce(
+            nullif(regexp_extract(lower(trim(lang)), '^[^-_]*'), '') IN ({_LANGUAGES}),
+            text IS NULL OR text = '' OR strlen(text) < {BYTES_PER_CHARACTER} * length(text)
+        ) AS covered
     FROM documents
 ), windows AS (
     SELECT r, i, count(*) OVER (PARTITION BY r, w[i], w[i + 1], w[i + 2]) AS times
@@ -53,12 +65,12 @@ WITH texts AS (
     FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM texts)
     WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r
 ), measured AS (
-    SELECT doc_id, len(w) AS n_words,
+    SELECT doc_id, covered, len(w) AS n_words,
         CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
         length(text) - length(translate(text, '{SYMBOLS}', '')) AS n_symbols,
         coalesce(n_lines, 0) AS n_lines, coalesce(n_dup_lines, 0) AS n_dup_lines,
         coalesce(n, 0) AS n_repeat_words,
-        len(list_filter(w, lambda x: x IN ({_STOPS}))) AS n_stop_words
+        len(list_filter(w, lambda x: translate(x, '{UPPER}', '{LOWER}') IN ({_STOPS}))) AS n_stop_words
     FROM texts LEFT JOIN repeated USING (r) LEFT JOIN lines USING (r)
 ), judged AS (
     SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured

@@ -47,7 +47,7 @@ def op1_nearest_codes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    judged = rules.quality_rules(documents(spark, folder).select("doc_id", "text"))
+    judged = rules.quality_rules(documents(spark, folder).select("doc_id", "text", "lang"))
     return judged.select(
         "doc_id",
         "n_words",

@@ -4,6 +4,11 @@ Each rule bounds a measure of the document. Measures and verdicts are plain
 column expressions, computed row by row without a shuffle. Null and empty texts
 have no words, fail the smallest length and are dropped. Rows are judged one by
 one, so repeated rows and ids do not matter; other columns are kept as they are.
+Texts have no upper length: a very long one is judged whole, within its task.
+
+Rules about words as such (their length, function words) bind only texts in the
+languages of the list of function words. Where a row names no language, texts of
+less than 1.5 bytes a character count as such; other scripts have more.
 """
 
 from __future__ import annotations
@@ -23,15 +28,22 @@ STOP_WORDS = tuple(
     "le la les de et des un une que est dans pour "
     "el los y en se las del por con una".split()
 )
+LANGUAGES = ("en", "de", "fr", "es")
+BYTES_PER_CHARACTER = 1.5
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``low <= measure <= high``; a bound of None does not bind."""
+    """``low <= measure <= high``; a bound of None does not bind.
+
+    With ``covered_only`` the rule binds texts in the covered languages only.
+    """
 
     measure: str
     low: float | None = None
     high: float | None = None
+    covered_only: bool = False
 
     def holds(self) -> F.Column:
         value = F.col(self.measure)
@@ -40,14 +52,15 @@ class Rule:
         held = F.lit(True)
         for bound in bounds:
             held = held & bound
-        return F.coalesce(held, F.lit(False))
+        held = F.coalesce(held, F.lit(False))
+        return held | ~F.col("covered") if self.covered_only else held
 
 
 RULES = (
-    Rule("n_words", 50, 1_000_000),
-    Rule("mean_word_chars", 2, 20),
+    Rule("n_words", 50),
+    Rule("mean_word_chars", 2, 20, covered_only=True),
     Rule("symbol_ratio", None, 0.1),
-    Rule("stop_word_ratio", 0.01, None),
+    Rule("stop_word_ratio", 0.01, covered_only=True),
     Rule("repeat_ratio", None, 0.5),
     Rule("dup_line_ratio", None, 0.5),
 )
@@ -74,12 +87,22 @@ def _once(column) -> F.Column:
     return F.when(F.spark_partition_id() >= 0, column)
 
 
-def measured(docs: DataFrame, text: str = "text") -> DataFrame:
+def _covered(docs: DataFrame, body: F.Column, lang: str) -> F.Column:
+    """Whether the row's language is covered, by its tag or else by its script."""
+    latin = F.octet_length(body) < F.length(body) * BYTES_PER_CHARACTER
+    if lang not in docs.columns:
+        return latin | (F.length(body) == 0)
+    base = F.split(F.lower(F.trim(F.col(lang).cast("string"))), "[-_]")[0]
+    return F.coalesce(F.nullif(base, F.lit("")).isin(*LANGUAGES), latin | (F.length(body) == 0))
+
+
+def measured(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """The rows of ``docs`` as a struct ``row``, and their measures.
 
     n_words, word_chars (code points), n_symbols, n_dup_lines (lines with a
     word that equal an earlier line), n_repeat_words (words in three-word
-    windows found twice or more), n_stop_words, and the ratios of the rules.
+    windows found twice or more), n_stop_words (A-Z lower-cased), covered, and
+    the ratios of the rules.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     listed = docs.select(
@@ -90,15 +113,19 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
         ),
         F.length(F.translate(body, SEPARATORS, "")).cast("long").alias("word_chars"),
         (F.length(body) - F.length(F.translate(body, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        _covered(docs, body, lang).alias("covered"),
     )
     counted = listed.select(
         "row",
         "word_chars",
         "n_symbols",
+        "covered",
         F.size("_w").cast("long").alias("n_words"),
         F.size("_lines").alias("_n_lines"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        F.size(F.filter("_w", lambda x: x.isin(*STOP_WORDS))).cast("long").alias("n_stop_words"),
+        F.size(F.filter("_w", lambda x: F.translate(x, UPPER, LOWER).isin(*STOP_WORDS)))
+        .cast("long")
+        .alias("n_stop_words"),
         _once(F.expr(_REPEATED_WORDS)).alias("n_repeat_words"),
     )
 
@@ -118,13 +145,16 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     ).drop("_n_lines")
 
 
-def quality_rules(docs: DataFrame, rules=RULES, text: str = "text") -> DataFrame:
+def quality_rules(
+    docs: DataFrame, rules=RULES, text: str = "text", lang: str = "lang"
+) -> DataFrame:
     """``docs`` with measures, ``base_failed``, the rules that failed, and ``kept``.
 
     The base rule asks for 50 words, at most half of them repeated. Columns of
-    ``docs`` that are called as one of the new ones are replaced.
+    ``docs`` that are called as one of the new ones are replaced. ``lang`` names
+    the column of language tags ("en", "pt-BR"); it may be absent or null.
     """
-    table = measured(docs, text)
+    table = measured(docs, text, lang)
     base_failed = (F.col("n_words") < 50) | (
         F.col("n_repeat_words") * 100 > F.col("n_words") * 50
     )
