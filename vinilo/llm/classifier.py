@@ -25,6 +25,8 @@ WIDTH = 3.0
 RIDGE = 1.0
 GRID = 2000
 SEED = 20
+PIECES = 16
+FIRST_SUMS = 256
 # Bytes by class: capitals, small letters, digits, stops, other ASCII marks, beyond ASCII.
 _CLASS = np.full(256, 6, np.uint8)
 _CLASS[[0x20, *range(9, 14)]] = 0
@@ -155,18 +157,40 @@ def isotonic(positives: np.ndarray, totals: np.ndarray) -> np.ndarray:
 
 
 def _equations(send):
+    """The sums over a task's rows, packed into PIECES rows."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer, total = Scorer(*send), np.zeros((FEATURES + 1, FEATURES + 2))
         for batch in batches:
             x = scorer.features(_matrix(batch))
             y = batch.column("_label").to_numpy().astype(float)
             total += x.T @ np.hstack([x, y[:, None]])
-        i, j = np.indices(total.shape)
-        yield pa.RecordBatch.from_pydict({"i": i.ravel(), "j": j.ravel(), "v": total.ravel()})
+        pieces = np.array_split(total.ravel(), PIECES)
+        yield pa.RecordBatch.from_pydict(
+            {"piece": np.arange(PIECES), "sums": [p.tobytes() for p in pieces]}
+        )
 
     return run
 
 
+def _added(table: pa.Table) -> pa.Table:
+    sums = sum(np.frombuffer(x.as_buffer()) for x in table.column("sums"))
+    return pa.table({"piece": table.column("piece").slice(0, 1), "sums": [sums.tobytes()]})
+
+
+def _total(equations: DataFrame) -> np.ndarray:
+    """Pieces of all tasks added up, first within FIRST_SUMS groups of tasks each."""
+    packed = schema("piece long, sums binary")
+    some = equations.withColumn("_of", F.pmod(F.spark_partition_id(), F.lit(FIRST_SUMS)))
+    first = some.groupBy("piece", "_of").applyInArrow(
+        lambda table: _added(table.drop_columns("_of")), packed
+    )
+    rows = first.groupBy("piece").applyInArrow(_added, packed).collect()
+    sums = [np.frombuffer(bytes(r["sums"])) for r in sorted(rows, key=lambda r: r["piece"])]
+    flat = np.concatenate(sums) if sums else np.zeros((FEATURES + 1) * (FEATURES + 2))
+    return flat.reshape(FEATURES + 1, FEATURES + 2)
+
+
 def _cells(send):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer, found = Scorer(*send), np.zeros((2, GRID), np.int64)
@@ -231,17 +255,12 @@ def quality_scores(
     center, spread = np.array(moments[:STATISTICS]), np.array(moments[STATISTICS:])
     spread = np.where(spread > 1e-9, spread, 1.0)
     send = (center, spread, np.zeros(FEATURES + 1))
-    entries = (
+    equations = (
         known.filter(use["fit"])
         .select("_statistics", "_label")
-        .mapInArrow(_equations(send), schema("i long, j long, v double"))
-        .groupBy("i", "j")
-        .agg(F.sum("v").alias("v"))
-        .collect()
+        .mapInArrow(_equations(send), schema("piece long, sums binary"))
     )
-    sums = np.zeros((FEATURES + 1, FEATURES + 2))
-    for row in entries:
-        sums[row["i"], row["j"]] = row["v"]
+    sums = _total(equations)
     ridge = np.eye(FEATURES + 1) * RIDGE
     ridge[-1, -1] = 1e-9
     weights = np.linalg.solve(sums[:, :-1] + ridge, sums[:, -1])
