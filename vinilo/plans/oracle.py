@@ -509,6 +509,19 @@ ORACLE: dict[str, str] = {
                CAST(t.UnitPrice AS DOUBLE) AS UnitPrice, count(*) AS requests
         FROM v_item x LEFT JOIN v_track t ON x.TrackId = t.TrackId
         GROUP BY x.TrackId, t.TrackId, t.Name, t.UnitPrice""",
+    "invoice_lookup_skipping": VIEWS + """
+        , best AS (
+          SELECT last(InvoiceId ORDER BY Total, InvoiceId) AS InvoiceId
+          FROM v_invoice GROUP BY strftime(fecha, '%Y-%m')
+          UNION ALL SELECT max(InvoiceId) + 1000000000 FROM v_invoice)
+        SELECT b.InvoiceId, i.CustomerId, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS InvoiceDate,
+          i.BillingCity, i.BillingState, CAST(i.Total AS DOUBLE) AS Total,
+          i.InvoiceId IS NOT NULL AS found
+        FROM best b LEFT JOIN v_invoice i ON b.InvoiceId = i.InvoiceId
+        LEFT JOIN orders ON b.InvoiceId = o_orderkey""",
+    "catalog_filter_skipping": VIEWS + """
+        SELECT * REPLACE (CAST(UnitPrice AS DOUBLE) AS UnitPrice) FROM v_track
+        WHERE AlbumId = 'Brand#13' AND GenreId = 'STANDARD'""",
     "checkout_validation": VIEWS + CHECKOUT + "SELECT CheckoutId, failed_rules FROM judged",
     "price_checkouts": VIEWS + CHECKOUT + """
         SELECT CheckoutId AS InvoiceId, CustomerId, BillingCity, Total, RepricedItems

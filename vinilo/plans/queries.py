@@ -26,6 +26,7 @@ from vinilo.sources.buckets import BucketedSales, bucket_count
 from vinilo.sources.catalog import register_lake
 from vinilo.sources.layout import LakeLayout
 from vinilo.sources.retail import GENRES, MAIN_GENRES, NOBODY, Retail
+from vinilo.sources.skipping import KeyedTable
 
 OLDER, NEWER = "20240101_000000", "20240102_000000"
 CLUSTERS = 3
@@ -494,6 +495,30 @@ def point_lookup(r: Retail) -> DataFrame:
     )
 
 
+@query
+def invoice_lookup_skipping(r: Retail) -> DataFrame:
+    """The invoice with the highest total of each month, from invoices laid out by id."""
+    root = scratch_folder(r.spark, "keyed")
+    table = KeyedTable.write(r.invoice(), "InvoiceId", root, range_rows=1000)
+    month = dates.year_month(F.col("InvoiceDate"))
+    best = (
+        r.invoice()
+        .groupBy(month.alias("year_month"))
+        .agg(F.max_by("InvoiceId", F.struct("Total", "InvoiceId")).alias("InvoiceId"))
+    )
+    missing = r.invoice().select((F.max("InvoiceId") + NOBODY).alias("InvoiceId"))
+    return table.lookup(best.select("InvoiceId").union(missing))
+
+
+@query
+def catalog_filter_skipping(r: Retail) -> DataFrame:
+    """All tracks of one album and genre, row groups without them skipped."""
+    root = scratch_folder(r.spark, "keyed")
+    columns = ("AlbumId", "GenreId")
+    table = KeyedTable.write(r.track(), "TrackId", root, columns, range_rows=1000)
+    return table.equal(AlbumId="Brand#13", GenreId="STANDARD")
+
+
 @query
 def checkout_validation(r: Retail) -> DataFrame:
     return checkout.validate_checkouts(r.carts(), r.cart_items()).withColumn(
