@@ -4,6 +4,7 @@ import statistics
 import numpy as np
 import pytest
 from pyspark.ml.clustering import KMeansModel
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScalerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -83,6 +84,45 @@ def test_sweep_finds_the_groups(scaled):
     assert scores[0].cost > scores[1].cost
 
 
+def test_sweep_rates_like_the_evaluator_and_one_at_a_time(scaled):
+    """All k in the same passes, side by side or in turn, against Spark's evaluator."""
+    rated = segments.sweep_models(scaled, range(2, 6))
+    for model, score in rated:
+        evaluator = ClusteringEvaluator(predictionCol="cluster", featuresCol="features")
+        assert score.silhouette == pytest.approx(evaluator.evaluate(model.transform(scaled)), abs=1e-9)
+        assert score.asked == score.k == len(model.clusterCenters())
+    alone = segments.sweep_models(scaled, range(2, 6), at_once=1)
+    for (_, one), (_, other) in zip(alone, rated, strict=True):
+        assert (one.k, one.asked) == (other.k, other.asked)
+        assert (one.silhouette, one.cost) == pytest.approx((other.silhouette, other.cost))
+
+
+def test_silhouettes_of_labels_against_counting_by_hand(scaled):
+    """Two labellings at once: one with a label of a single point, one with one label."""
+    single = F.when(F.col("CustomerId") == 7, "alone").otherwise(
+        F.concat(F.lit("c"), F.col("CustomerId") % 4)
+    )
+    groups = scaled.withColumn("g", F.lit("many")).withColumn("label", single)
+    one = scaled.withColumn("g", F.lit("one")).withColumn("label", F.lit("same"))
+    none = scaled.limit(3).withColumn("g", F.lit("many")).withColumn("label", F.lit(None).cast("string"))
+    rows = segments.silhouettes(groups.union(one).union(none), "g", "label").collect()
+    found = {(r["g"], r["label"]): r for r in rows}
+    assert found["one", "same"]["silhouette"] is None and found["one", "same"]["n"] == 60
+    x, with_labels = points(groups, "label")
+    labels = np.array([r["label"] for r in with_labels])
+    assert found["many", "alone"]["silhouette"] == 0.0
+    mean = sum(r["n"] * r["silhouette"] for (g, _), r in found.items() if g == "many") / 60
+    assert mean == pytest.approx(silhouette_by_hand(x, labels))
+    assert len(found) == 6
+
+
+def test_too_many_labels_are_an_error(scaled, monkeypatch):
+    monkeypatch.setattr(segments, "MAX_LABELS", 59)
+    each = scaled.withColumn("g", F.lit(1))
+    with pytest.raises(ValueError, match="labels"):
+        segments.silhouettes(each, "g", "CustomerId")
+
+
 def test_smaller_k_wins_a_tie():
     tie = [segments.KScore(4, 0.5, 1.0), segments.KScore(3, 0.5, 2.0)]
     assert segments.best_k(tie) == 3
@@ -125,10 +165,40 @@ def test_checks_compare_the_means_of_all_columns(scaled):
         return {r["check_name"]: r["value"] for r in rows}["profile"]
 
     assert wrong(profile) == 0
-    for column in COLUMNS:
-        mean = F.col(f"{column}_mean")
-        off = F.when(F.col("cluster") == 1, mean + 0.01).otherwise(mean)
-        assert wrong(profile.withColumn(f"{column}_mean", off)) == 1
+    for column in [f"{c}_{kind}" for c in COLUMNS for kind in ("mean", "std")]:
+        value = F.col(column)
+        off = F.when(F.col("cluster") == 1, value + 0.01).otherwise(value)
+        assert wrong(profile.withColumn(column, off)) == 1
+
+
+def test_checks_of_a_sweep_see_wrong_scores(scaled):
+    rated = segments.sweep_models(scaled, range(2, 4))
+    (first, score), (second, other) = rated
+    good = segments.sweep_checks(scaled, rated).collect()
+    assert [tuple(r) for r in good] == [(2, 2, 60, 0, False, False), (3, 3, 60, 0, False, False)]
+    cheap = segments.KScore(2, None, score.cost / 2, 2)
+    bad = segments.sweep_checks(scaled, [(first, cheap), (second, other)]).collect()
+    assert [(r["cheap"], r["unrated"]) for r in bad] == [(True, True), (False, False)]
+
+
+def test_checks_of_saved_results_see_changes(spark, features, tmp_path):
+    result = segment_features(features, COLUMNS, k=3, output_path=str(tmp_path))
+
+    def checks(k=3, rows=features):
+        found = segments.saved_checks(rows, COLUMNS, k, str(tmp_path)).collect()
+        return [r["value"] for r in sorted(found, key=lambda r: r["check_name"])]
+
+    # clusters, customers, missing, moved, profile
+    assert checks() == [0, 60, 0, 0, 0]
+    assert checks(k=5)[0] == 2
+    assert checks(rows=features.filter("CustomerId <> 1"))[2] == 1
+    moved = result.predictions.withColumn(
+        "cluster", F.when(F.col("CustomerId") == 4, (F.col("cluster") + 1) % 3).otherwise(F.col("cluster"))
+    )
+    moved.select(*segments.CUSTOMER_COLUMNS, "cluster").write.mode("overwrite").parquet(
+        f"{tmp_path}/customer_clusters"
+    )
+    assert checks() == [0, 60, 0, 1, 2]
 
 
 def test_cluster_of_one_has_no_deviation(scaled, spark):
@@ -148,8 +218,11 @@ def test_k_is_bounded_by_distinct_points(spark):
     few = spark.createDataFrame(rows, "CustomerId int, total_purchases double, total_spent double, flat double")
     scaled = segments.scale(few, COLUMNS)[0]
     assert segments.distinct_points(scaled, 5) == 3
-    assert segments.train_kmeans(scaled, 5)[2].k == 3
-    assert [s.k for s in segments.sweep_k(scaled, range(2, 6))] == [2, 3]
+    with pytest.warns(UserWarning, match="k=5 lowered to the 3 distinct points"):
+        score = segments.train_kmeans(scaled, 5)[2]
+    assert (score.k, score.asked) == (3, 5)
+    with pytest.warns(UserWarning, match=r"no fit for k in \[4, 5\]: 3 distinct points"):
+        assert [s.k for s in segments.sweep_k(scaled, range(2, 6))] == [2, 3]
 
 
 def test_one_point_is_too_few(spark):

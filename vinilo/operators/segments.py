@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from functools import partial
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed parameters of the fits.
@@ -17,6 +21,8 @@ SEED = 42
 FINAL_ITERATIONS = 100
 DEFAULT_K = 5
 K_RANGE = range(2, 11)
+FITS_AT_ONCE = 4
+MAX_LABELS = 10_000
 
 CUSTOMER_COLUMNS = (
     "CustomerId",
@@ -30,11 +36,16 @@ CUSTOMER_COLUMNS = (
 
 @dataclass(frozen=True)
 class KScore:
-    """Quality of a clustering; no silhouette where only one cluster came out."""
+    """Quality of a clustering; no silhouette where only one cluster came out.
+
+    ``asked`` is the number of clusters asked for, ``k`` the one used: less where
+    there are fewer distinct points.
+    """
 
     k: int
     silhouette: float | None
     cost: float
+    asked: int | None = None
 
 
 def assemble(features: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -84,34 +95,119 @@ def clamp_k(scaled: DataFrame, k: int) -> int:
     return min(k, points)
 
 
-def _silhouette(predictions: DataFrame, clusters: int) -> float | None:
-    if clusters < 2:
-        return None
-    return ClusteringEvaluator(
-        predictionCol="cluster",
-        featuresCol="features",
-        metricName="silhouette",
-        distanceMeasure="squaredEuclidean",
-    ).evaluate(predictions)
+def silhouettes(labelled: DataFrame, group: str, label: str) -> DataFrame:
+    """(group, label, n, silhouette): mean silhouette by squared distance of each label's points.
+
+    ``labelled`` has a row per point and group, such as the clusterings of several k,
+    with the point in ``features``; points without a label are left out. The mean
+    squared distance of x to a label of n points with sum S and squared norms Q is
+    |x|^2 + Q / n - 2 x S / n, so a pass sums up each label and another rates the
+    points against these sums. A point alone under its label rates 0; where a group
+    has a single label, the silhouette is NULL. Each point meets all labels of its
+    group, of which there may be ``MAX_LABELS`` in all; more are an error.
+    """
+    spark = labelled.sparkSession
+    points = labelled.filter(F.col(group).isNotNull() & F.col(label).isNotNull()).select(
+        group, label, "features", vector_to_array("features").alias("_x")
+    )
+    norm = _dot(F.col("_x"), F.col("_x"))
+    sums = points.groupBy(group, label).agg(
+        F.count(F.lit(1)).alias("_n"),
+        vector_to_array(Summarizer.sum(F.col("features"))).alias("_sums"),
+        F.sum(norm).alias("_norms"),
+    )
+    found = sums.limit(MAX_LABELS + 1).collect()
+    if len(found) > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} labels")
+    labels = (
+        spark.createDataFrame(found, sums.schema)
+        .groupBy(group)
+        .agg(
+            F.collect_list(
+                F.struct(F.col(label).alias("_label"), "_n", "_sums", "_norms")
+            ).alias("_labels")
+        )
+    )
+
+    def distance(other: Column) -> Column:
+        """Mean squared distance to the points of a label."""
+        n = other["_n"]
+        mean = norm + other["_norms"] / n - 2 * _dot(F.col("_x"), other["_sums"]) / n
+        return F.greatest(mean, F.lit(0.0))
+
+    own = F.get(F.filter("_labels", lambda o: o["_label"] == F.col(label)), F.lit(0))
+    others = F.filter("_labels", lambda o: o["_label"] != F.col(label))
+    # The point itself is among its label's points, at distance 0.
+    inside = distance(own) * own["_n"] / F.nullif(own["_n"] - 1, F.lit(0))
+    outside = F.array_min(F.transform(others, distance))
+    worse = F.greatest("_inside", "_outside")
+    rating = (
+        F.when(F.col("_outside").isNull(), None)
+        .when(F.col("_inside").isNull() | (worse == 0), 0.0)
+        .otherwise((F.col("_outside") - F.col("_inside")) / F.nullif(worse, F.lit(0.0)))
+    )
+    return (
+        points.join(F.broadcast(labels), group)
+        .select(group, label, inside.alias("_inside"), outside.alias("_outside"))
+        .groupBy(group, label)
+        .agg(F.count(F.lit(1)).alias("n"), F.avg(rating).alias("silhouette"))
+    )
+
+
+def _dot(x: Column, y: Column) -> Column:
+    return F.aggregate(F.zip_with(x, y, lambda a, b: a * b), F.lit(0.0), lambda t, v: t + v)
 
 
-def _fit(scaled: DataFrame, k: int, **params) -> tuple[KMeansModel, DataFrame, KScore]:
-    model = KMeans(
+def _rated(scaled: DataFrame, models: Sequence[KMeansModel]) -> dict[int, float | None]:
+    """Silhouette of each model by its place in the list, all in the same passes."""
+    labelled = scaled.select("features")
+    for i, model in enumerate(models):
+        labelled = model.transform(labelled, {model.predictionCol: f"_c{i}"})
+    each = [F.struct(F.lit(i).alias("i"), F.col(f"_c{i}").alias("cluster")) for i in range(len(models))]
+    rows = labelled.select("features", F.inline(F.array(*each)))
+    weighed = silhouettes(rows, "i", "cluster").groupBy("i").agg(
+        (F.sum(F.col("silhouette") * F.col("n")) / F.sum("n")).alias("silhouette")
+    )
+    return {r["i"]: r["silhouette"] for r in weighed.collect()}
+
+
+def _model(scaled: DataFrame, k: int, **params) -> KMeansModel:
+    return KMeans(
         k=k, seed=SEED, featuresCol="features", predictionCol="cluster", **params
     ).fit(scaled)
-    predictions = model.transform(scaled)
-    silhouette = _silhouette(predictions, len(model.clusterCenters()))
-    return model, predictions, KScore(k, silhouette, model.summary.trainingCost)
 
 
-def sweep_k(scaled: DataFrame, ks: Iterable[int] = K_RANGE) -> list[KScore]:
-    """Silhouette and cost for each ``k`` that has enough distinct points.
+def sweep_models(
+    scaled: DataFrame, ks: Iterable[int] = K_RANGE, at_once: int = FITS_AT_ONCE
+) -> list[tuple[KMeansModel, KScore]]:
+    """Model, silhouette and cost for each ``k`` that has enough distinct points.
 
-    ``scaled`` is read many times: pass a checkpointed frame.
+    A warning names the others. ``scaled`` is read many times: pass a checkpointed
+    frame. Fits of different k run side by side, since each waits for its own short
+    jobs; all of them are then rated in the same two passes.
     """
     ks = sorted(ks)
     most = clamp_k(scaled, ks[-1])
-    return [_fit(scaled, k)[2] for k in ks if k <= most]
+    used = [k for k in ks if k <= most]
+    if used != ks:
+        warnings.warn(f"no fit for k in {ks[len(used):]}: {most} distinct points", stacklevel=2)
+    if not used:
+        return []
+    # Each fit takes a copy of the caller's job properties with it.
+    session = scaled.sparkSession
+    fits = [inheritable_thread_target(session)(partial(_model, scaled, k)) for k in used]
+    with ThreadPool(min(at_once, len(used))) as pool:
+        models = pool.map(lambda fit: fit(), fits, chunksize=1)
+    ratings = _rated(scaled, models)
+    return [
+        (m, KScore(k, ratings[i], m.summary.trainingCost, k))
+        for i, (k, m) in enumerate(zip(used, models, strict=True))
+    ]
+
+
+def sweep_k(scaled: DataFrame, ks: Iterable[int] = K_RANGE) -> list[KScore]:
+    """The scores of ``sweep_models``."""
+    return [score for _, score in sweep_models(scaled, ks)]
 
 
 def best_k(scores: Iterable[KScore]) -> int:
@@ -126,7 +222,12 @@ def train_kmeans(
     scaled: DataFrame, k: int = DEFAULT_K
 ) -> tuple[KMeansModel, DataFrame, KScore]:
     """Final model, the rows with their ``cluster``, and the quality reached."""
-    return _fit(scaled, clamp_k(scaled, k), maxIter=FINAL_ITERATIONS)
+    used = clamp_k(scaled, k)
+    if used < k:
+        warnings.warn(f"k={k} lowered to the {used} distinct points", stacklevel=2)
+    model = _model(scaled, used, maxIter=FINAL_ITERATIONS)
+    score = KScore(used, _rated(scaled, [model])[0], model.summary.trainingCost, k)
+    return model, model.transform(scaled), score
 
 
 def cluster_profile(predictions: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -150,6 +251,103 @@ def cluster_examples(predictions: DataFrame, per_cluster: int = 5) -> DataFrame:
     )
 
 
+def _center_distances(
+    centers: Sequence[Sequence[float]], cluster: str
+) -> tuple[Column, Column]:
+    """Squared distances of ``features`` to the own cluster's centre and to the nearest one."""
+    point = vector_to_array("features")
+    distances = []
+    for c in centers:
+        apart = F.zip_with(point, F.array(*map(F.lit, map(float, c))), lambda x, y: x - y)
+        distances.append(_dot(apart, apart))
+    own = F.element_at(F.array(*distances), F.col(cluster) + 1)
+    return own, F.least(*distances) if len(distances) > 1 else distances[0]
+
+
+def _wrong_profiles(predictions: DataFrame, profile: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(profile): number of clusters told wrongly, or on one side only."""
+    measures = []
+    for i, c in enumerate(columns):
+        value = F.col(c).cast("double")
+        measures += [
+            F.avg(value).alias(f"_mean_{i}"),
+            F.sqrt(F.var_samp(value)).alias(f"_std_{i}"),
+        ]
+    again = predictions.groupBy("cluster").agg(F.count(F.lit(1)).alias("_n"), *measures)
+    differs = F.col("_n") != F.col("customer_count")
+    for i, c in enumerate(columns):
+        for kind in ("mean", "std"):
+            value, told = F.col(f"_{kind}_{i}"), F.col(f"{c}_{kind}")
+            # Sums of other orders differ by a share of large values; two nulls do not differ.
+            apart = F.abs(value - told) > 1e-6 + 1e-9 * F.abs(value)
+            differs = differs | F.coalesce(apart, ~value.eqNullSafe(told))
+    return profile.join(again, "cluster", "full").agg(
+        F.count_if(F.coalesce(differs, F.lit(True))).alias("profile")
+    )
+
+
+def sweep_checks(
+    scaled: DataFrame, rated: Sequence[tuple[KMeansModel, KScore]]
+) -> DataFrame:
+    """(asked, k, customers, far, cheap, unrated): what must hold of each fit of a sweep.
+
+    far: customers nearer to another centre than to their own. cheap: whether the cost
+    told is below that of the centres. unrated: whether the silhouette is missing or
+    out of its bounds. All fits are looked at in one pass over all customers.
+    """
+    labelled, measures = scaled.select("features"), [F.count(F.lit(1)).alias("n")]
+    for i, (model, _) in enumerate(rated):
+        labelled = model.transform(labelled, {model.predictionCol: f"_c{i}"})
+        own, least = _center_distances(model.clusterCenters(), f"_c{i}")
+        measures += [
+            F.count_if(own > least + 1e-9).alias(f"far_{i}"),
+            F.coalesce(F.sum(least), F.lit(0.0)).alias(f"cost_{i}"),
+        ]
+    told = labelled.agg(*measures).first()
+    rows = []
+    for i, (_, score) in enumerate(rated):
+        cheap = score.cost < told[f"cost_{i}"] * (1 - 1e-9) - 1e-9
+        unrated = score.silhouette is None or not -1 <= score.silhouette <= 1
+        rows.append((score.asked, score.k, told["n"], told[f"far_{i}"], cheap, unrated))
+    return scaled.sparkSession.createDataFrame(
+        rows, "asked int, k int, customers long, far long, cheap boolean, unrated boolean"
+    )
+
+
+def saved_checks(
+    features: DataFrame, columns: Sequence[str], k: int, output_path: str
+) -> DataFrame:
+    """(check_name, value) of results that ``save_results`` left, read back from their folder.
+
+    customers: those saved. clusters: by how many their number differs from ``k``.
+    profile: clusters whose saved statistics are not those of their customers. moved:
+    customers whom the saved models, applied to the features, give another cluster.
+    missing: customers with features that were not saved, or the reverse.
+    """
+    spark = features.sparkSession
+    saved = spark.read.parquet(f"{output_path}/customer_clusters").select("CustomerId", "cluster")
+    profile = spark.read.parquet(f"{output_path}/cluster_statistics")
+    scaler = StandardScalerModel.load(f"{output_path}/scaler_model")
+    model = KMeansModel.load(f"{output_path}/kmeans_model")
+    again = model.transform(
+        scaler.transform(assemble(features, columns)), {model.predictionCol: "_again"}
+    )
+    both = again.join(saved, "CustomerId", "full")
+    totals = both.agg(
+        F.count("cluster").alias("customers"),
+        F.abs(F.count_distinct("cluster") - k).alias("clusters"),
+        F.count_if(F.col("cluster") != F.col("_again")).alias("moved"),
+        F.count_if(F.col("cluster").isNull() | F.col("_again").isNull()).alias("missing"),
+    )
+    known = both.filter(F.col("cluster").isNotNull())
+    names = ("customers", "clusters", "profile", "moved", "missing")
+    return totals.join(_wrong_profiles(known, profile, columns)).select(
+        F.explode(
+            F.map_from_arrays(F.array(*map(F.lit, names)), F.array(*names))
+        ).alias("check_name", "value")
+    )
+
+
 def segmentation_checks(
     predictions: DataFrame,
     profile: DataFrame,
@@ -159,38 +357,16 @@ def segmentation_checks(
     """(check_name, value): customers, and counts of what must not happen in a clustering.
 
     far: customers nearer to another centre than to their own. profile: clusters
-    whose size or means differ from those of their customers. examples: customers
+    whose size, means or deviations differ from those of their customers. examples: customers
     among the five lowest ids of their cluster without being an example, or the
     reverse. Computed over all customers; only the centres travel.
     """
-    point = vector_to_array("features")
-    distances = [
-        F.aggregate(
-            F.zip_with(point, F.array(*map(F.lit, map(float, c))), lambda x, y: (x - y) * (x - y)),
-            F.lit(0.0),
-            lambda total, x: total + x,
-        )
-        for c in centers
-    ]
-    own = F.element_at(F.array(*distances), F.col("cluster") + 1)
-    least = F.least(*distances) if len(distances) > 1 else distances[0]
+    own, least = _center_distances(centers, "cluster")
     totals = predictions.agg(
         F.count(F.lit(1)).alias("customers"),
         F.count_if(own > least + 1e-9).alias("far"),
     )
-    again = predictions.groupBy("cluster").agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.avg(F.col(c).cast("double")).alias(f"_mean_{i}") for i, c in enumerate(columns)],
-    )
-    differs = F.col("_n") != F.col("customer_count")
-    for i, c in enumerate(columns):
-        mean, told = F.col(f"_mean_{i}"), F.col(f"{c}_mean")
-        # Sums of other orders differ by a share of large means; two nulls do not differ.
-        apart = F.abs(mean - told) > 1e-6 + 1e-9 * F.abs(mean)
-        differs = differs | F.coalesce(apart, ~mean.eqNullSafe(told))
-    wrong = profile.join(again, "cluster", "full").agg(
-        F.count_if(F.coalesce(differs, F.lit(True))).alias("profile")
-    )
+    wrong = _wrong_profiles(predictions, profile, columns)
     examples = cluster_examples(predictions)
     others = predictions.join(examples.select("CustomerId"), "CustomerId", "left_anti")
     lowest = others.groupBy("cluster").agg(F.min("CustomerId").alias("_lowest"))

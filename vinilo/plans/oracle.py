@@ -162,6 +162,30 @@ SCALED = ",\n".join(
     for c in _FEATURE_NAMES
 )
 
+BUYERS = """(SELECT count(DISTINCT CustomerId) FROM v_bought
+  WHERE CustomerId IN (SELECT CustomerId FROM v_customer))"""
+
+# Every pair of customers is compared.
+_STANDARD = ", ".join(
+    f"coalesce(({c} - avg({c}) OVER ()) / nullif(stddev_samp({c}) OVER (), 0), 0) AS {c}"
+    for c in _FEATURE_NAMES
+)
+_APART = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in _FEATURE_NAMES)
+COUNTRY_SILHOUETTES = f"""
+, standard AS (SELECT CustomerId, Country, {_STANDARD} FROM features),
+apart AS (
+  SELECT a.CustomerId, a.Country, b.Country AS other, sum({_APART}) AS total, count(*) AS n
+  FROM standard a JOIN standard b ON a.CustomerId <> b.CustomerId GROUP BY ALL),
+rated AS (
+  SELECT s.CustomerId, s.Country, min(total / n) FILTER (a.Country = other) AS inside,
+    min(total / n) FILTER (a.Country <> other) AS outside
+  FROM standard s LEFT JOIN apart a ON s.CustomerId = a.CustomerId GROUP BY ALL)
+SELECT Country, count(*) AS customers,
+  round_even(avg(CASE WHEN outside IS NULL THEN NULL WHEN inside IS NULL THEN 0
+    ELSE coalesce((outside - inside) / nullif(greatest(inside, outside), 0), 0) END) * 1e6, 0)
+    / 1e6 + 0.0 AS silhouette
+FROM rated GROUP BY Country"""
+
 CHECKOUT = """
 , item_facts AS (
   SELECT x.*, t.UnitPrice AS catalog_price
@@ -488,6 +512,13 @@ ORACLE: dict[str, str] = {
         SELECT unnest(['customers', 'far', 'profile', 'examples']) AS check_name,
                unnest([(SELECT count(DISTINCT CustomerId) FROM v_bought
                         WHERE CustomerId IN (SELECT CustomerId FROM v_customer)), 0, 0, 0]) AS value""",
+    "silhouette_sweep_checks": VIEWS + f"""
+        SELECT CAST(k AS INTEGER) AS asked, CAST(k AS INTEGER) AS k, {BUYERS} AS customers,
+          0 AS far, false AS cheap, false AS unrated FROM range(2, 11) ks(k)""",
+    "segmentation_run_checks": VIEWS + f"""
+        SELECT unnest(['customers', 'clusters', 'profile', 'moved', 'missing']) AS check_name,
+               unnest([{BUYERS}, 0, 0, 0, 0]) AS value""",
+    "country_silhouettes": VIEWS + FEATURES + COUNTRY_SILHOUETTES,
     "catalog_search": VIEWS + """
         SELECT * REPLACE (CAST(UnitPrice AS DOUBLE) AS UnitPrice) FROM v_track
         WHERE v_track.Name ILIKE '%ring%' AND v_track.UnitPrice BETWEEN 900 AND 990

@@ -446,6 +446,34 @@ def segmentation_checks(r: Retail) -> DataFrame:
     )
 
 
+@query
+def silhouette_sweep_checks(r: Retail) -> DataFrame:
+    """What holds of every fit of the sweep whatever its clusters are."""
+    scaled, _ = segments.scale(checkpoint(_features(r)), FEATURES)
+    return segments.sweep_checks(scaled, segments.sweep_models(scaled, SWEEP))
+
+
+@query
+def segmentation_run_checks(r: Retail) -> DataFrame:
+    """What holds of the saved results of a whole run."""
+    output = scratch_folder(r.spark, "segments")
+    customers = checkpoint(_features(r))
+    result = segment_features(customers, FEATURES, ks=SWEEP, output_path=output)
+    return segments.saved_checks(customers, FEATURES, segments.best_k(result.sweep), output)
+
+
+@query
+def country_silhouettes(r: Retail) -> DataFrame:
+    """How well customers of a country stand together by their purchases."""
+    scaled, _ = segments.scale(checkpoint(_features(r)), FEATURES)
+    rated = segments.silhouettes(scaled.withColumn("g", F.lit(1)), "g", "Country")
+    return rated.select(
+        "Country",
+        F.col("n").alias("customers"),
+        (F.rint(F.col("silhouette") * 1e6) / 1e6 + F.lit(0.0)).alias("silhouette"),
+    )
+
+
 # Shop
 
 
