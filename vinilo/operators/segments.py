@@ -10,6 +10,7 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -95,6 +96,18 @@ def clamp_k(scaled: DataFrame, k: int) -> int:
     return min(k, points)
 
 
+def _silhouette(predictions: DataFrame, clusters: int) -> float | None:
+    """Of a single clustering; Spark's evaluator is quicker there than ``silhouettes``."""
+    if clusters < 2:
+        return None
+    return ClusteringEvaluator(
+        predictionCol="cluster",
+        featuresCol="features",
+        metricName="silhouette",
+        distanceMeasure="squaredEuclidean",
+    ).evaluate(predictions)
+
+
 def silhouettes(labelled: DataFrame, group: str, label: str) -> DataFrame:
     """(group, label, n, silhouette): mean silhouette by squared distance of each label's points.
 
@@ -226,8 +239,9 @@ def train_kmeans(
     if used < k:
         warnings.warn(f"k={k} lowered to the {used} distinct points", stacklevel=2)
     model = _model(scaled, used, maxIter=FINAL_ITERATIONS)
-    score = KScore(used, _rated(scaled, [model])[0], model.summary.trainingCost, k)
-    return model, model.transform(scaled), score
+    predictions = model.transform(scaled)
+    silhouette = _silhouette(predictions, len(model.clusterCenters()))
+    return model, predictions, KScore(used, silhouette, model.summary.trainingCost, k)
 
 
 def cluster_profile(predictions: DataFrame, columns: Sequence[str]) -> DataFrame:
