@@ -111,6 +111,14 @@ def test_open_again_empty_null_keys_and_repeats(spark, keyed, customers, tmp_pat
     assert empty.lookup(spark.createDataFrame([(1,)], "id long")).first()["found"] is False
 
 
+def test_a_key_with_most_rows_fills_several_ranges(spark, tmp_path):
+    rows = [(7 if i % 3 else i, f"m{i}", i) for i in range(3000)]
+    hot = KeyedTable.write(spark.createDataFrame(rows, SCHEMA), "id", str(tmp_path), range_rows=300)
+    assert max(r["n"] for r in hot.ranges.collect()) < 900
+    found = hot.with_keys([7, 9]).collect()
+    assert sorted(tuple(r) for r in found) == sorted(r for r in rows if r[0] in (7, 9))
+
+
 def test_conditions_on_values(spark):
     numbers = spark.range(200).select("id")
     wanted = list(range(0, 200, 3))

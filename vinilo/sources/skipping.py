@@ -58,9 +58,14 @@ def bloom_writer(df: DataFrame, columns: Iterable[str], rows_per_file: int) -> D
 
 
 def in_key_order(df: DataFrame, key: str, range_rows: int = RANGE_ROWS) -> DataFrame:
-    """The rows in ranges of the key with about ``range_rows`` each, sorted within."""
+    """The rows in ranges of the key with about ``range_rows`` each, sorted within.
+
+    Rows of one key are ordered by a hash of the row, so that a key with very many of
+    them fills several ranges. Maps cannot be hashed and do not count.
+    """
     wanted = min(max(-(-df.count() // range_rows), 1), MAX_RANGES)
-    return df.repartitionByRange(wanted, key).sortWithinPartitions(key)
+    hashed = [c for c, kind in df.dtypes if "map<" not in kind]
+    return df.repartitionByRange(wanted, F.col(key), F.xxhash64(*hashed)).sortWithinPartitions(key)
 
 
 @dataclass(frozen=True)
