@@ -97,7 +97,7 @@ def clamp_k(scaled: DataFrame, k: int) -> int:
 
 
 def _silhouette(predictions: DataFrame, clusters: int) -> float | None:
-    """Of a single clustering; Spark's evaluator is quicker there than ``silhouettes``."""
+    """Of a single clustering, by Spark's evaluator."""
     if clusters < 2:
         return None
     return ClusteringEvaluator(
