@@ -277,3 +277,122 @@ def test_model_learns_spelling(documents):
 def test_model_edges(documents):
     assert langmodel.language_scores(documents(), F.lit(False)).count() == 0
     assert langmodel.language_scores(documents((1, "a")), F.lit(True)).first()["n_known"] == 0
+
+
+def scores_of(documents, texts, held_from):
+    rows = [(i, t) for i, t in enumerate(texts)]
+    scored = langmodel.language_scores(documents(*rows), F.col("doc_id") >= held_from)
+    return {r["doc_id"]: r["score"] for r in scored.collect()}
+
+
+def test_words_are_scored_in_their_order(documents):
+    """The words before a word foresee it, so that a text and its words reversed score apart."""
+    pick = random.Random(9)
+    pairs = [(f"left{i}", f"right{i}") for i in range(12)]
+    learned = [" ".join(w for p in pick.choices(pairs, k=30) for w in p) for _ in range(60)]
+    new = [w for p in pick.choices(pairs, k=30) for w in p]
+    found = scores_of(documents, [*learned, " ".join(new), " ".join(new[::-1])], 60)
+    assert found[60] > found[61] + 10
+
+
+def test_a_text_that_repeats_itself_gets_likelier_as_it_goes(documents):
+    """Counts and weights follow the text; another row of the same slice does not enter."""
+    pick = random.Random(10)
+    words = [f"w{i}" for i in range(200)]
+    learned = [" ".join(pick.choices(words, k=50)) for _ in range(80)]
+    once = " ".join(pick.sample(words, 40))
+    again = scores_of(documents, [*learned, once, " ".join([once] * 8)], 80)
+    assert again[81] > 8 * again[80] * 0.9
+    alone = scores_of(documents, [*learned, once], 80)
+    assert alone[80] == pytest.approx(again[80], abs=1e-9)
+
+
+def small_mixer(texts):
+    """A code over the words of some texts, and their tokens, with hashed counts of them all."""
+    words = sorted({w for t in texts for w in t.split()})
+    hashes = np.arange(7, 7 + len(words), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    counts = np.array([[sum(t.split().count(w) for t in texts)] for w in words])
+    code = langmodel.Code.of(hashes, counts, [3], [len(texts)])
+    sequence = np.array([words.index(w) for t in texts for w in t.split()], np.int64)
+    n_words = np.array([len(t.split()) for t in texts])
+    ((order, tokens),) = langmodel.texts_of(code, hashes, sequence, n_words, np.arange(len(texts)))
+    size, node, turn = langmodel.paths(code, tokens.symbol)
+    tables = []
+    for context in tokens.contexts:
+        slot = langmodel.context_slots(np.repeat(context, size), langmodel.salted_nodes(node))
+        seen = np.zeros((2, 1 << langmodel.CONTEXT_BITS))
+        np.add.at(seen, (turn, slot), 1)
+        tables.append(langmodel.known_odds(*seen))
+    return code, tokens, langmodel.Mixer(tables), order
+
+
+def symbols_before(tokens, d, back):
+    """The symbol so many places before each token of a text, -1 before its first."""
+    return ([-1] * back + tokens.symbol[tokens.doc == d].tolist())[: (tokens.doc == d).sum()]
+
+
+def test_mixed_scores_equal_brute_force():
+    """Bit by bit in plain Python, with dictionaries of a single text's counts."""
+    pick = random.Random(11)
+    texts = [" ".join(pick.choices("a b c d e f g".split(), k=k)) for k in (0, 1, 9, 30, 70)]
+    code, tokens, mixer, order = small_mixer(texts)
+    texts = [texts[i] for i in order]
+    found = np.bincount(tokens.doc, mixer.read(code, tokens))
+    limit, width = langmodel.STRETCH_LIMIT, langmodel.REFINE_STEPS
+
+    def odds_of(zero, one):
+        return min(max(math.log((one + langmodel.PRIOR) / (zero + langmodel.PRIOR)), -limit), limit)
+
+    contexts = {1: Counter(), 2: Counter()}
+    for d in range(len(texts)):
+        for before in contexts:
+            past = list(zip(*[symbols_before(tokens, d, b) for b in range(before, 0, -1)]))
+            for here, s in zip(past, tokens.symbol[tokens.doc == d]):
+                for e in range(code.first[s], code.first[s + 1]):
+                    contexts[before][here, int(code.nodes[e]), int(code.turns[e])] += 1
+    for d, text in enumerate(texts):
+        weights, hits, own = {}, Counter(), Counter()
+        room = 1
+        while room < (len(text.split()) + 1) * langmodel.OWN_SLOTS:
+            room *= 2
+        total, learn = 0.0, []
+        for place, t in enumerate(np.flatnonzero(tokens.doc == d)):
+            if place % langmodel.BLOCK == 0:
+                for at, x, wrong, cell, turn, slot in learn:
+                    weights[at] = [w + langmodel.ONLINE_RATE * wrong * i for w, i in zip(weights[at], x)]
+                    hits[cell, turn] += 1
+                    own[slot, turn] += 1
+                learn = []
+            s = tokens.symbol[t]
+            for e in range(code.first[s], code.first[s + 1]):
+                node, turn = int(code.nodes[e]), int(code.turns[e])
+                pairs = [tuple(code.counts[0, node])]
+                for before in (1, 2):
+                    here = tuple(symbols_before(tokens, d, b)[place] for b in range(before, 0, -1))
+                    pairs.append(tuple(contexts[before][here, node, v] for v in (0, 1)))
+                slot = node & (room - 1)
+                pairs.append((own[slot, 0], own[slot, 1]))
+                one, two = (int(min(math.log2(sum(p) + 1), 3)) for p in pairs[1:3])
+                gate = two * 4 + one
+                x = [odds_of(*p) for p in pairs]
+                used = weights.setdefault(gate, list(langmodel.START_WEIGHTS))
+                mix = min(max(sum(w * i for w, i in zip(used, x)), -limit), limit)
+                cell = int((mix + limit) * (width - 1) / (2 * limit) + 0.5)
+                even = 1 / (1 + math.exp(limit - cell * 2 * limit / (width - 1)))
+                p = 1 / (1 + math.exp(-mix))
+                prior, seen = langmodel.REFINE_PRIOR, hits[cell, 0] + hits[cell, 1]
+                q = (p + (even * prior + hits[cell, 1]) / (prior + seen)) / 2
+                total += math.log10(q if turn else 1 - q)
+                learn.append((gate, x, turn - p, cell, turn, slot))
+        assert found[d] == pytest.approx(total, rel=2e-3, abs=2e-3)
+
+
+def test_code_paths_are_a_distribution():
+    """What may follow a text adds up to one, however its weights have moved."""
+    code, tokens, mixer, order = small_mixer(["a b a c", "b b a", "d " * 30])
+    size, total = len(code.first) - 1, 0.0
+    for symbol in range(size):
+        last = tokens.doc == list(order).index(2)
+        tokens.symbol[np.flatnonzero(last)[-1]] = symbol
+        total += 10 ** mixer.read(code, tokens)[last][-1]
+    assert total == pytest.approx(1, abs=1e-5)

@@ -1,27 +1,29 @@
 """Language-model scores by logistic mixing of hashed-context bit predictors.
 
-A text is a sequence of words and one end. Words are spelled byte by byte, bit
-by bit, and closed by a space; the end is a word without bytes. Predictors keep
-counts of zeros and ones in hashed contexts: the byte before, the two and the
-three before, and the whole word so far. A mixer adds their log odds with
-weights gated by how well the longest context is known, a table refines the
-mixed probability, and the bits' probabilities multiply to that of the text.
-
-Words seen in training are known better than their spelling: a word's probability
-is its count plus the spelled probability times the number of words seen once,
-over the like sum. This is taken once over all, and again, with the former in the
-place of the spelling, over the training rows of each group (such as a language).
-A text's probability is the mean over the groups, weighted by their sizes: as the
-text goes on, the groups that foresee it gain weight. No group is told.
-
-Since contexts stay within a word, a word costs the same wherever it stands. So
-the corpus is gathered as distinct words with counts, per slice of documents
-and then per part of the vocabulary, and only those are spelled.
+A text is a sequence of words and one end, read in order. Frequent words, the end and
+"another word" have paths of bits in a Huffman code. Predictors keep counts of zeros
+and ones: of the code's node in the group (such as a language) that the text so far is
+likeliest in, after the hash of the word before, after that of the two before, and in
+the text itself so far. A mixer adds their log odds with weights gated by how well the
+contexts before are known, a table refines the mixed probability, and the bits'
+probabilities multiply to that of the text. Weights, table and the text's own counts
+are learned as the text is read. No group is told.
+
+Another word is spelled byte by byte, bit by bit, and closed by a space, by the same
+means over contexts within the word: the byte before, the two and the three before,
+and the whole word so far. Its probability is its count plus the spelled probability
+times the number of words seen once, over the like sum; this is taken once over all,
+and again, with the former in the place of the spelling, over the training rows of
+each group, and averaged over the groups as they are likely at that place.
+
+The corpus is gathered as distinct words with counts, per slice of documents and then
+per part of the vocabulary; contexts before a word in tables of fixed size.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -42,9 +44,20 @@ REFINE_STEPS = 32
 STRETCH_LIMIT = 8.0
 BATCH = 1 << 15
 RATE = 0.02
-SLICE_BYTES = 6_000_000
+SLICE_BYTES = 8_000_000
 PART_BYTES = 12_000_000
 MOST_GROUPS = 8
+MOST_CODED = 1 << 16
+COUNT_STEPS = 512
+CONTEXT_BITS = 22
+START_WEIGHTS = (0.8, 0.35, 0.35, 0.12)
+OWN_SLOTS = 16
+CONTEXT_GATES = 16
+BLOCK = 16
+ONLINE_RATE = 0.03
+TOKENS_AT_ONCE = 1 << 18
+COUNT_PARTS = 4
+REFINE_PRIOR = 64.0
 BASE_PRIOR = 0.1
 _SALT = np.uint64(0x9E3779B97F4A7C15)
 _SALTS = mixed(np.arange(1, 4, dtype=np.uint64) * _SALT)
@@ -108,7 +121,7 @@ class Model:
         """Log odds of the predictors and the gate, without one of the own tokens."""
         inputs = []
         for p, at in enumerate(slots):
-            zero, one = self.zeros[p][at] - (1 - value), self.ones[p][at] - value
+            zero, one = self.zeros[p].take(at) - (1 - value), self.ones[p].take(at) - value
             inputs.append(np.log((one + PRIOR) / (zero + PRIOR)))
             known = zero + one
         return np.clip(inputs, -STRETCH_LIMIT, STRETCH_LIMIT), gates(known)
@@ -137,19 +150,19 @@ class Speller:
     def word_scores(self, data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
         """log10 of the probability of each word data[start:stop]."""
         scores = np.zeros(len(start))
-        weights = self.weights.T.astype(np.float32)
+        weights = np.ascontiguousarray(self.weights.T.astype(np.float32))
         refined = self.refined.astype(np.float32).ravel()
         for lo, hi in pieces(stop - start + 1):
             word, byte, contexts = spelled(data, start[lo:hi], stop[lo:hi])
             total = np.zeros(len(byte))
             for bit, value, slots in bits(byte, contexts):
-                gate = self.gate[slots[-1]].astype(np.int32) * 8 + bit
-                odds = weights[0][gate] * self.odds[0][slots[0]]
+                gate = self.gate.take(slots[-1]).astype(np.int64) * 8 + bit
+                odds = weights[0].take(gate) * self.odds[0].take(slots[0])
                 for p in range(1, PREDICTORS):
-                    odds += weights[p][gate] * self.odds[p][slots[p]]
+                    odds += weights[p].take(gate) * self.odds[p].take(slots[p])
                 np.clip(odds, -STRETCH_LIMIT, STRETCH_LIMIT, out=odds)
                 # The mean of the mixed and the refined probability of a one.
-                p = (1 / (1 + np.exp(-odds)) + refined[gate * REFINE_STEPS + steps(odds)]) / 2
+                p = (1 / (1 + np.exp(-odds)) + refined.take(gate * REFINE_STEPS + steps(odds))) / 2
                 total += np.log10(np.where(value > 0, p, 1 - p))
             scores[lo:hi] = np.bincount(word, total, minlength=hi - lo)
         return scores
@@ -172,8 +185,8 @@ def pieces(sizes: np.ndarray, most: int = 1 << 17) -> Iterator[tuple[int, int]]:
 # Gathering: distinct words per slice, then counts per group of words
 
 
-_SLICE = "slice binary, ids binary, id_null binary, held_out binary, n_words binary, words binary, lengths binary, hashes binary, trained binary, users binary, posting_doc binary, posting_count binary"
-_REQUEST = "part long, slice binary, hashes binary, trained binary, words binary, lengths binary"
+_SLICE = "slice binary, ids binary, id_null binary, held_out binary, n_words binary, words binary, lengths binary, trained binary, sequence binary"
+_REQUEST = "part long, slice binary, size long, trained binary, words binary, lengths binary"
 
 
 def _arrow(ddl: str) -> pa.Schema:
@@ -196,12 +209,18 @@ def _slice(batch: pa.RecordBatch, groups: int) -> pa.RecordBatch:
     held = batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
     group = batch.column("group").to_numpy().astype(np.int64)
     words = Words(batch.column("text"), lower=True)
-    found, at, inverse = np.unique(words.hashes(), return_index=True, return_inverse=True)
-    pair = inverse * np.int64(words.documents) + words.document
-    pair, times = np.unique(pair, return_counts=True)
-    owner, used_by = pair // words.documents, pair % words.documents
+    found, at, inverse, times = np.unique(
+        words.hashes(), return_index=True, return_inverse=True, return_counts=True
+    )
+    # Frequent words get small numbers, which pack well.
+    order = np.argsort(-times, kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    found, at, inverse = found[order], at[order], place[inverse]
     trained = np.bincount(
-        group[used_by] * len(found) + owner, times * ~held[used_by], minlength=len(found) * groups
+        group[words.document] * len(found) + inverse,
+        ~held[words.document],
+        minlength=len(found) * groups,
     ).astype(np.int64)
     ids = batch.column("doc_id")
     lengths = (words.stop - words.start)[at]
@@ -212,13 +231,10 @@ def _slice(batch: pa.RecordBatch, groups: int) -> pa.RecordBatch:
         "n_words": words.count.astype(np.int32).tobytes(),
         "words": words.data[positions(lengths, words.start[at])].tobytes(),
         "lengths": lengths.astype(np.int32).tobytes(),
-        "hashes": found.tobytes(),
         "trained": _small(trained),
-        "users": _small(np.bincount(owner, minlength=len(found))),
-        "posting_doc": _small(used_by),
-        "posting_count": _small(times),
+        "sequence": _planes(inverse),
     }
-    name = hashlib.blake2b(row["ids"] + row["hashes"], digest_size=16)
+    name = hashlib.blake2b(row["ids"] + row["words"], digest_size=16)
     name.update(np.random.default_rng().bytes(16))
     return pa.RecordBatch.from_pylist([row | {"slice": name.digest()}], schema=_arrow(_SLICE))
 
@@ -238,6 +254,21 @@ def _array(batch, column: str, kind, row: int = 0) -> np.ndarray:
     return np.frombuffer(batch.column(column)[row].as_buffer(), kind)
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers below 2**32 as all their lowest bytes, then all the next; the high ones pack to little."""
+    return values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _unplaned(raw) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
+def _hashes(data: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Hashes of words that stand one after another, as of ``Words.hashes``."""
+    stop = np.cumsum(lengths, dtype=np.int64)
+    return range_hashes(_BYTE_VALUE[data], stop - lengths, stop, _BASE)
+
+
 def part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
     return (mixed(hashes) % np.uint64(parts)).astype(np.int64)
 
@@ -246,10 +277,10 @@ def _requests(parts: int, groups: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(batch.num_rows):
-                found = _array(batch, "hashes", np.uint64, r)
+                data, lengths = _array(batch, "words", np.uint8, r), _array(batch, "lengths", np.int32, r)
+                found = _hashes(data, lengths)
                 part = part_of(found, parts)
                 order = np.argsort(part, kind="stable")
-                data, lengths = _array(batch, "words", np.uint8, r), _array(batch, "lengths", np.int32, r)
                 starts = np.cumsum(lengths) - lengths
                 trained = _numbers(batch, "trained", len(found) * groups, r).reshape(groups, -1)
                 ends = np.cumsum(np.bincount(part, minlength=parts))
@@ -261,7 +292,7 @@ def _requests(parts: int, groups: int):
                             {
                                 "part": p,
                                 "slice": batch.column("slice")[r].as_py(),
-                                "hashes": found[own].tobytes(),
+                                "size": len(own),
                                 "trained": _small(trained[:, own]),
                                 "words": data[positions(lengths[own], starts[own])].tobytes(),
                                 "lengths": _small(lengths[own]),
@@ -281,8 +312,7 @@ def _totals(groups: int):
 
     def run(table: pa.Table) -> pa.Table:
         rows_in = range(table.num_rows)
-        hashes = [_array(table, "hashes", np.uint64, r) for r in rows_in]
-        sizes = [len(h) for h in hashes]
+        sizes = table.column("size").to_pylist()
         trained = [
             _numbers(table, "trained", n * groups, r).reshape(groups, -1)
             for r, n in enumerate(sizes)
@@ -291,7 +321,7 @@ def _totals(groups: int):
         lengths = np.concatenate([_numbers(table, "lengths", n, r) for r, n in enumerate(sizes)])
         data = np.concatenate([_array(table, "words", np.uint8, r) for r in rows_in])
         _, at, inverse = np.unique(
-            np.concatenate(hashes), return_index=True, return_inverse=True
+            _hashes(data, lengths), return_index=True, return_inverse=True
         )
         totals = np.stack(
             [np.bincount(inverse, trained[g], minlength=len(at)) for g in range(groups)]
@@ -299,16 +329,16 @@ def _totals(groups: int):
         answers, done = totals[:, inverse], 0
         part = table.column("part")[0].as_py()
         rows = []
-        for r, own in enumerate(hashes):
+        for r, size in enumerate(sizes):
             rows.append(
                 {
                     "part": part,
                     "slice": table.column("slice")[r].as_py(),
-                    "counts": _small(answers[:, done : done + len(own)]),
-                    "size": len(own),
+                    "counts": _small(answers[:, done : done + size]),
+                    "size": size,
                 }
             )
-            done += len(own)
+            done += size
         learned = totals.sum(0) > 0
         at, totals = at[learned], totals[:, learned].T
         starts = np.cumsum(lengths) - lengths
@@ -325,13 +355,16 @@ def _totals(groups: int):
     return run
 
 
-# Training: sums over groups of words
+# Training of the speller: sums over groups of words
+
+
+_BLOB = pa.schema([("kind", pa.string()), ("i", pa.int64()), ("values", pa.binary())])
 
 
 def _blobs(rows: list[tuple[str, int, np.ndarray]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pylist(
         [{"kind": k, "i": i, "values": v.astype(np.float64).tobytes()} for k, i, v in rows],
-        schema=pa.schema([("kind", pa.string()), ("i", pa.int64()), ("values", pa.binary())]),
+        schema=_BLOB,
     )
 
 
@@ -397,7 +430,8 @@ def _mix_weights(send):
                 for bit, value, slots in bits(byte, contexts):
                     inputs, known = model.without_own(slots, value)
                     gate = known.astype(np.int64) * 8 + bit
-                    odds = np.clip((weights[gate].T * inputs).sum(0), -STRETCH_LIMIT, STRETCH_LIMIT)
+                    odds = sum(weights[:, p].take(gate) * x for p, x in enumerate(inputs))
+                    odds = np.clip(odds, -STRETCH_LIMIT, STRETCH_LIMIT)
                     error = (value - 1 / (1 + np.exp(-odds))) * times
                     total = np.bincount(gate, times, minlength=GATES)
                     for p in range(PREDICTORS):
@@ -457,45 +491,385 @@ def train(words: DataFrame, ends: int) -> Speller:
     return model.speller()
 
 
+# The code of words: frequent ones, the end and "another word" as paths of bits
+
+
+OTHER, END = 0, 1
+_STARTS = np.uint64(1)  # stands for the word before the first
+
+
+def count_step(counts: np.ndarray) -> np.ndarray:
+    """Steps of a count, eight per doubling."""
+    return np.minimum((8 * np.log2(np.maximum(counts, 1))).astype(np.int64), COUNT_STEPS - 1)
+
+
+def least_coded(steps: np.ndarray) -> int:
+    """The step from which words are coded: at most ``MOST_CODED`` words, none seen only once."""
+    above = np.cumsum(steps[::-1])[::-1]
+    return max(8, int(np.argmax(above <= MOST_CODED)) if (above <= MOST_CODED).any() else COUNT_STEPS)
+
+
+def _coded(least: int):
+    """Hashes and counts by group of the words from a step on."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for data, start, stop, counts in _word_lists(batches):
+            own = count_step(counts.sum(1)) >= least
+            if own.any():
+                hashes = range_hashes(_BYTE_VALUE[data], start[own], stop[own], _BASE)
+                yield pa.RecordBatch.from_pylist(
+                    [{"hashes": hashes.tobytes(), "counts": counts[own].tobytes()}],
+                    schema=_arrow("hashes binary, counts binary"),
+                )
+
+    return run
+
+
+@dataclass
+class Code:
+    """Huffman code with the zeros and ones that the training rows have at its nodes.
+
+    Its symbols are OTHER, END and the coded words; ``symbols`` goes with ``hashes``,
+    which are sorted. The path of symbol s is nodes[first[s]:first[s + 1]].
+    """
+
+    hashes: np.ndarray
+    symbols: np.ndarray
+    first: np.ndarray
+    nodes: np.ndarray
+    turns: np.ndarray
+    counts: np.ndarray
+    odds: np.ndarray
+    shares: np.ndarray
+
+    @classmethod
+    def of(cls, hashes: np.ndarray, counts: np.ndarray, others, ends) -> "Code":
+        """Of coded words with their counts by group, and the counts of OTHER and END."""
+        order = np.argsort(hashes)
+        leaves = np.concatenate([[others, ends], counts[order].reshape(-1, counts.shape[1])])
+        size, groups = leaves.shape
+        weights = leaves.sum(1)
+        heap = [(int(w), s) for s, w in enumerate(weights)]
+        heapq.heapify(heap)
+        parent, side = np.zeros(2 * size, np.int64), np.zeros(2 * size, np.uint8)
+        for inner in range(size, 2 * size - 1):
+            (w, a), (v, b) = heapq.heappop(heap), heapq.heappop(heap)
+            parent[a] = parent[b] = inner
+            side[b] = 1
+            heapq.heappush(heap, (w + v, inner))
+        root, at, owner = 2 * size - 2, np.arange(size), np.arange(size)
+        levels = []
+        while len(at):
+            levels.append((owner, parent[at] - size, side[at]))
+            at = parent[at]
+            owner, at = owner[at != root], at[at != root]
+        owner = np.concatenate([x[0] for x in levels[::-1]])
+        nodes = np.concatenate([x[1] for x in levels[::-1]])
+        turns = np.concatenate([x[2] for x in levels[::-1]])
+        by_owner = np.argsort(owner, kind="stable")
+        owner, nodes, turns = owner[by_owner], nodes[by_owner], turns[by_owner]
+        first = np.searchsorted(owner, np.arange(size + 1))
+        seen = np.stack(
+            [
+                np.bincount(nodes * 2 + turns, leaves[owner, g], minlength=2 * (size - 1))
+                for g in range(groups)
+            ],
+            axis=1,
+        ).reshape(size - 1, 2, groups)
+        total = leaves.sum(0)
+        odds = np.log10((leaves + (weights[:, None] + 1) / (weights.sum() + size)) / (total + 1))
+        return cls(
+            hashes[order],
+            np.arange(2, size, dtype=np.int32),
+            first,
+            nodes.astype(np.int32),
+            turns,
+            np.ascontiguousarray(seen.transpose(2, 0, 1)).astype(np.float32),
+            odds.astype(np.float32),
+            np.log10((total + 1) / (total + 1).sum()),
+        )
+
+    def symbols_of(self, hashes: np.ndarray) -> np.ndarray:
+        """The symbol of each word, OTHER for those without one."""
+        if not len(self.hashes):
+            return np.full(len(hashes), OTHER, np.int32)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, self.symbols[at], np.int32(OTHER))
+
+
+@dataclass
+class Texts:
+    """Tokens of texts in order: words and one end each, with what stands before them.
+
+    ``word``: place among the distinct words, -1 for an end. ``contexts``: hashes of the
+    word before, and of the two before. ``groups``: log10 of how likely each group is,
+    by the tokens before in the same text.
+    """
+
+    doc: np.ndarray
+    place: np.ndarray
+    word: np.ndarray
+    symbol: np.ndarray
+    contexts: list[np.ndarray]
+    groups: np.ndarray
+
+    @classmethod
+    def of(cls, code: Code, hashes, symbols, sequence, n_words, chosen) -> "Texts":
+        """Of the chosen documents of a slice, numbered from 0."""
+        ends = np.cumsum(n_words, dtype=np.int64)
+        size = n_words[chosen].astype(np.int64) + 1
+        doc = np.repeat(np.arange(len(chosen)), size)
+        place = positions(size, np.zeros(len(size), np.int64))
+        last = place == size[doc] - 1
+        word = np.full(len(doc), -1, np.int64)
+        word[~last] = sequence[positions(size - 1, (ends - n_words)[chosen])]
+        symbol = np.full(len(doc), END, np.int32)
+        symbol[~last] = symbols[word[~last]]
+        token = np.full(len(doc), _STARTS, np.uint64)
+        token[~last] = hashes[word[~last]]
+        # What precedes a text is the end of the one before, alike for all of them.
+        one = np.concatenate([[_STARTS], token[:-1]])[: len(token)]
+        two = np.where(place > 1, np.concatenate([[_STARTS] * 2, token[:-2]])[: len(token)], _STARTS)
+        groups = np.empty((len(code.shares), len(doc)), np.float32)
+        starts = (np.cumsum(size) - size)[doc]
+        for g, share in enumerate(code.shares):
+            before = np.cumsum(np.concatenate([[0.0], code.odds[symbol, g]]))
+            groups[g] = before[:-1] - before[starts] + share
+        contexts = [mixed(one + _SALTS[0]), mixed(mixed(two + _SALTS[1]) + one)]
+        return cls(doc, place, word, symbol, contexts, groups)
+
+
+def texts_of(code: Code, hashes, sequence, n_words, chosen) -> Iterator[tuple[np.ndarray, Texts]]:
+    """The chosen documents of a slice, some ``TOKENS_AT_ONCE`` tokens or a single text at a time.
+
+    Texts of like length come together, so that few blocks are left to a text or two.
+    """
+    symbols = code.symbols_of(hashes)
+    chosen = chosen[np.argsort(-n_words[chosen], kind="stable")]
+    for lo, hi in pieces(n_words[chosen] + 1, TOKENS_AT_ONCE):
+        yield chosen[lo:hi], Texts.of(code, hashes, symbols, sequence, n_words, chosen[lo:hi])
+
+
+def salted_nodes(node: np.ndarray) -> np.ndarray:
+    return (node.astype(np.uint64) + np.uint64(1)) * _SALT
+
+
+def context_slots(context: np.ndarray, salted: np.ndarray) -> np.ndarray:
+    found = ((context ^ salted) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - CONTEXT_BITS)
+    return found.view(np.int64)
+
+
+def paths(code: Code, symbol: np.ndarray):
+    """(bits of each symbol's path, node and turn of every bit)."""
+    first = code.first.take(symbol)
+    size = code.first.take(symbol + 1) - first
+    at = np.repeat(first - (np.cumsum(size) - size), size)
+    at += np.arange(len(at))
+    return size, code.nodes.take(at), code.turns.take(at)
+
+
+def _slices_of(batches: Iterator[pa.RecordBatch]):
+    """(hashes, sequence, words by document, held out) of each slice."""
+    for batch in batches:
+        for r in range(batch.num_rows):
+            yield (
+                _hashes(_array(batch, "words", np.uint8, r), _array(batch, "lengths", np.int32, r)),
+                _unplaned(batch.column("sequence")[r].as_buffer()),
+                _array(batch, "n_words", np.int32, r),
+                _array(batch, "held_out", bool, r),
+            )
+
+
+def _count_contexts(send):
+    """Zeros and ones after each hashed context of the training rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code = Code(*send.value)
+        tables = [np.zeros(2 << CONTEXT_BITS, np.uint32) for _ in range(2)]
+        for hashes, sequence, n_words, held in _slices_of(batches):
+            for _, texts in texts_of(code, hashes, sequence, n_words, np.flatnonzero(~held)):
+                for lo in range(0, len(texts.doc), BATCH // 4):
+                    own = slice(lo, lo + BATCH // 4)
+                    size, node, turn = paths(code, texts.symbol[own])
+                    salted = salted_nodes(node)
+                    for table, context in zip(tables, texts.contexts):
+                        slot = context_slots(np.repeat(context[own], size), salted)
+                        np.add.at(table, slot * 2 + turn, np.uint32(1))
+        for p, table in enumerate(tables):
+            rows = [
+                {"kind": str(p), "i": i, "values": _planes(x)}
+                for i, x in enumerate(_chunks(table))
+                if x.any()
+            ]
+            if rows:
+                yield pa.RecordBatch.from_pylist(rows, schema=_BLOB)
+
+    return run
+
+
+def _add_contexts(table: pa.Table) -> pa.Table:
+    """Sums of a stretch of slots, both counts of a slot halved alike until 16 bits hold them."""
+    total = 0
+    for r in range(table.num_rows):
+        total = total + _unplaned(table.column("values")[r].as_buffer()).astype(np.int64)
+    total = total.reshape(-1, 2)
+    most = np.maximum(total.max(1, keepdims=True), 65535)
+    total = np.minimum(np.ceil(total * (65535 / most)), 65535).astype(np.uint16)
+    row = {"kind": table.column("kind")[0].as_py(), "i": table.column("i")[0].as_py()}
+    return pa.Table.from_pylist([row | {"values": total.tobytes()}], schema=_BLOB)
+
+
+def _log_odds(zero: np.ndarray, one: np.ndarray) -> np.ndarray:
+    prior = np.float32(PRIOR)
+    return np.clip(np.log((one + prior) / (zero + prior)), -STRETCH_LIMIT, STRETCH_LIMIT)
+
+
+@dataclass
+class Mixer:
+    """Reads texts bit by bit: mixes the predictors' log odds, refines, then learns.
+
+    Predictors: the node's counts in the group that the text so far is likeliest in,
+    those after the hash of the word before and of the two before, and the text's own
+    counts so far. The own counts stand in hashed slots too, ``OWN_SLOTS`` a token.
+    Every text begins with ``START_WEIGHTS`` and a refining table that leaves the mixed
+    probability as it is. Weights, table and own counts follow the text from one block
+    of words to the next, so that nothing of another row enters a score.
+    """
+
+    tables: list[np.ndarray]
+
+    def read(self, code: Code, texts: Texts) -> np.ndarray:
+        """log10 probability of each token's path."""
+        size = np.bincount(texts.doc) if len(texts.doc) else np.zeros(0, np.int64)
+        # Long texts first: those that still go on at a block are the first ones.
+        rank = np.empty(len(size), np.int64)
+        rank[np.argsort(-size, kind="stable")] = np.arange(len(size))
+        block, doc = texts.place // BLOCK, rank[texts.doc]
+        order = np.lexsort((texts.place, doc, block))
+        ends = np.cumsum(np.bincount(block)) if len(block) else []
+        room = 1 << np.ceil(np.log2(np.maximum(size * OWN_SLOTS, 1))).astype(np.int64)
+        begin, mask = (np.cumsum(room) - room)[texts.doc], (room - 1)[texts.doc]
+        counts = np.zeros(room.sum(), np.uint32)
+        # One array per column: taking single numbers is far faster than taking short rows.
+        weights = np.repeat(
+            np.array(START_WEIGHTS, np.float32)[:, None], len(size) * CONTEXT_GATES, 1
+        )
+        hits = [np.zeros(len(size) * REFINE_STEPS, np.float32) for _ in range(2)]
+        centers = np.linspace(-STRETCH_LIMIT, STRETCH_LIMIT, REFINE_STEPS)
+        start = (REFINE_PRIOR / (1 + np.exp(-centers))).astype(np.float32)
+        scores, likely = np.zeros(len(doc)), texts.groups.argmax(0) if len(doc) else None
+        inner = code.counts.shape[1]
+        grouped = _log_odds(code.counts[:, :, 0], code.counts[:, :, 1]).ravel()
+        lo = 0
+        for hi in ends:
+            own = order[lo:hi]
+            size_of, node, turn = paths(code, texts.symbol.take(own))
+            salted = salted_nodes(node)
+            inputs = [grouped.take(np.repeat(likely.take(own) * inner, size_of) + node)]
+            gate = np.repeat(doc.take(own) * CONTEXT_GATES, size_of)
+            for table, context, times in zip(self.tables, texts.contexts, (1, 4)):
+                known = table.take(context_slots(np.repeat(context.take(own), size_of), salted))
+                inputs.append((known >> 2) * np.float32(0.001))
+                gate += (known & 3) * np.int16(times)
+            slot = np.repeat(begin.take(own), size_of)
+            slot += node & np.repeat(mask.take(own), size_of)
+            inputs.append(_log_odds(*_halves(counts.take(slot))))
+            key, reader = gate, gate // CONTEXT_GATES
+            alive = int(reader.max()) + 1
+            odds = weights[0].take(key) * inputs[0]
+            for w, x in zip(weights[1:], inputs[1:]):
+                odds += w.take(key) * x
+            odds = np.clip(odds, -STRETCH_LIMIT, STRETCH_LIMIT)
+            mix = 1 / (1 + np.exp(-odds))
+            step = steps(odds)
+            spot = reader * REFINE_STEPS + step
+            zeros, ones = (h.take(spot) for h in hits)
+            p = (mix + (start.take(step) + ones) / (np.float32(REFINE_PRIOR) + zeros + ones)) / 2
+            found = np.log10(np.where(turn > 0, p, 1 - p), dtype=np.float64)
+            scores[own] = np.add.reduceat(found, np.cumsum(size_of) - size_of)
+            wrong = (turn - mix) * np.float32(ONLINE_RATE)
+            places = alive * CONTEXT_GATES
+            for w, x in zip(weights, inputs):
+                w[:places] += np.bincount(key, wrong * x, minlength=places)
+            np.add.at(counts, slot, np.left_shift(np.uint32(1), turn.astype(np.uint32) * np.uint32(16)))
+            # Both counts of a slot are halved before either runs over.
+            full = slot[(counts.take(slot) & np.uint32(0x80008000)) > 0]
+            counts[full] = (counts[full] >> np.uint32(1)) & np.uint32(0x7FFF7FFF)
+            pair = np.bincount(spot * 2 + turn, minlength=alive * REFINE_STEPS * 2)
+            for v in range(2):
+                hits[v][: alive * REFINE_STEPS] += pair[v::2]
+            lo = hi
+        return scores
+
+
+def _halves(packed: np.ndarray) -> list[np.ndarray]:
+    """Zeros and ones from the low and the high 16 bits."""
+    return [
+        (packed & np.uint32(0xFFFF)).astype(np.float32),
+        (packed >> np.uint32(16)).astype(np.float32),
+    ]
+
+
+def trained_mixer(gathered: DataFrame, code: Code, parts: int) -> Mixer:
+    """The mixer with its tables of contexts, counted over all training rows."""
+    spark = gathered.sparkSession
+    rows = gathered.select("words", "lengths", "sequence", "n_words", "held_out")
+    kinds = schema("kind string, i long, values binary")
+    send = spark.sparkContext.broadcast(tuple(vars(code).values()))
+    counted = (
+        # A task's sums take the same room for one slice as for many.
+        rows.coalesce(max(1, parts // COUNT_PARTS))
+        .mapInArrow(_count_contexts(send), kinds)
+        .groupBy("kind", "i")
+        .applyInArrow(_add_contexts, kinds)
+        .collect()
+    )
+    tables = [np.zeros(2 << CONTEXT_BITS, np.uint16) for _ in range(2)]
+    for r in counted:
+        values = np.frombuffer(bytes(r["values"]), np.uint16)
+        tables[int(r["kind"])][r["i"] * len(values) : (r["i"] + 1) * len(values)] = values
+    return Mixer([known_odds(*t.reshape(-1, 2).T) for t in tables])
+
+
+def known_odds(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """A slot's log odds in thousandths, above two bits that tell how well it is known."""
+    zeros, ones = zeros.astype(np.float32), ones.astype(np.float32)
+    level = np.minimum(np.log2(zeros + ones + 1), 3).astype(np.int16)
+    return np.rint(_log_odds(zeros, ones) * 1000).astype(np.int16) * np.int16(4) + level
+
+
 # Scoring
 
 
 @dataclass
 class Totals:
-    """Of the training rows: tokens and words seen once, over all and by group."""
+    """Of the training rows: tokens; by group, words seen once and words without a code."""
 
     tokens: int
     vocabulary: int
     ends: int
     once: int
-    group_tokens: list[int]
     group_once: list[int]
-    group_ends: list[int]
+    group_others: list[int]
 
     def word_odds(self, counts: np.ndarray, spelled_scores: np.ndarray) -> np.ndarray:
-        """log10 probability of words in each group, of counts by group and spelling."""
+        """Probability in each group of words without a code, of counts by group and spelling."""
         once = max(self.once, 1)
-        every = (counts.sum(1) + once * 10.0**spelled_scores) / (self.tokens + once)
+        every = (counts.sum(1) + once * 10.0**spelled_scores) / (sum(self.group_others) + once)
         once = np.maximum(self.group_once, 1)
-        return np.log10((counts + once * every[:, None]) / (self.group_tokens + once))
-
-    def group_odds(self) -> np.ndarray:
-        shares = np.array(self.group_tokens, float) + 1
-        return np.log10(shares / shares.sum())
+        return (counts + once * every[:, None]) / (np.array(self.group_others) + once)
 
 
 def _scored(send, totals: Totals, parts: int):
     numbers = vars(totals)
-    groups = len(totals.group_tokens)
+    groups = len(totals.group_once)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        model, known = Speller(*send.value), Totals(**numbers)
+        speller, code, mixer = send.value
+        speller, code, mixer = Speller(*speller), Code(*code), Mixer(*mixer)
+        known = Totals(**numbers)
         below = math.log10(known.tokens + BASE_PRIOR * (known.vocabulary + 1))
-        none = np.zeros(1, np.int64)
-        end = known.word_odds(
-            np.array([known.group_ends]), model.word_scores(np.zeros(0, np.uint8), none, none)
-        )[0]
-        found = _array(left, "hashes", np.uint64)
+        found = _hashes(_array(left, "words", np.uint8), _array(left, "lengths", np.int32))
         counts = np.zeros((len(found), groups), np.int64)
         place, done = np.argsort(part_of(found, parts), kind="stable"), 0
         # Answers come by part, in the order in which the slice has asked.
@@ -509,21 +883,28 @@ def _scored(send, totals: Totals, parts: int):
         for r in range(left.num_rows):
             lengths = _array(left, "lengths", np.int32, r)
             stop = np.cumsum(lengths, dtype=np.int64)
-            spelling = model.word_scores(_array(left, "words", np.uint8, r), stop - lengths, stop)
-            odds = known.word_odds(counts, spelling)
-            users = _numbers(left, "users", len(lengths), r)
-            doc = _numbers(left, "posting_doc", users.sum(), r)
-            times = _numbers(left, "posting_count", users.sum(), r)
-            word = np.repeat(np.arange(len(lengths)), users)
+            n_words = _array(left, "n_words", np.int32, r)
+            sequence = _unplaned(left.column("sequence")[r].as_buffer())
             ids = _array(left, "ids", np.int64, r)
+            # A word without a code: its counts and spelling, in the groups as they are likely there.
+            data = _array(left, "words", np.uint8, r)
+            rare = np.flatnonzero(code.symbols_of(found) == OTHER)
+            odds = np.zeros((len(found), groups), np.float64)
+            spelling = speller.word_scores(data, (stop - lengths)[rare], stop[rare])
+            odds[rare] = known.word_odds(counts[rare], spelling)
+            score = np.zeros(len(ids))
+            for docs, texts in texts_of(code, found, sequence, n_words, np.arange(len(ids))):
+                scores = mixer.read(code, texts)
+                at = np.flatnonzero(texts.symbol == OTHER)
+                likely = 10.0 ** (texts.groups[:, at] - texts.groups[:, at].max(0, initial=-np.inf))
+                likely = likely / likely.sum(0)
+                scores[at] += np.log10((likely * odds[texts.word[at]].T).sum(0))
+                score[docs] = np.bincount(texts.doc, scores, minlength=len(docs))
+            doc = np.repeat(np.arange(len(ids)), n_words)
 
             def per_document(values):
-                return np.bincount(doc, values[word] * times, minlength=len(ids))
+                return np.bincount(doc, values[sequence], minlength=len(ids))
 
-            by_group = np.stack([per_document(odds[:, g]) for g in range(groups)], axis=1)
-            by_group += end + known.group_odds()
-            most = by_group.max(1)
-            score = most + np.log10((10.0 ** (by_group - most[:, None])).sum(1))
             size = per_document(lengths + 1) + 1
             base = np.log10(total + BASE_PRIOR) - below
             base_end = math.log10(known.ends + BASE_PRIOR) - below
@@ -532,9 +913,7 @@ def _scored(send, totals: Totals, parts: int):
                     {
                         "doc_id": pa.array(ids, mask=_array(left, "id_null", bool, r)),
                         "held_out": pa.array(_array(left, "held_out", bool, r)),
-                        "n_tokens": pa.array(
-                            _array(left, "n_words", np.int32, r).astype(np.int64) + 1
-                        ),
+                        "n_tokens": pa.array(n_words.astype(np.int64) + 1),
                         "n_known": pa.array(
                             per_document(total > 0).astype(np.int64) + int(known.ends > 0)
                         ),
@@ -551,12 +930,14 @@ def _scored(send, totals: Totals, parts: int):
 
 def _tally(groups: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = np.zeros(2 + 2 * groups, np.int64)
+        plain = 2 + 2 * groups
+        found = np.zeros(plain + COUNT_STEPS, np.int64)
         for _, _, _, counts in _word_lists(batches):
             found[0] += len(counts)
             found[1] += (counts.sum(1) == 1).sum()
             found[2 : 2 + groups] += counts.sum(0)
-            found[2 + groups :] += (counts == 1).sum(0)
+            found[2 + groups : plain] += (counts == 1).sum(0)
+            found[plain:] += np.bincount(count_step(counts.sum(1)), minlength=COUNT_STEPS)
         yield pa.RecordBatch.from_pydict({"i": np.arange(len(found)), "n": found})
 
     return run
@@ -610,7 +991,7 @@ def language_scores(
     parts = max(1, -(-size // PART_BYTES))
     gathered = saved(narrow.mapInArrow(_gathered(number), schema(_SLICE)), "slices")
     counted = saved(
-        gathered.select("slice", "hashes", "trained", "words", "lengths")
+        gathered.select("slice", "trained", "words", "lengths")
         .mapInArrow(_requests(parts, number), schema(_REQUEST))
         .groupBy("part")
         .applyInArrow(_totals(number), schema(_GROUP)),
@@ -620,17 +1001,24 @@ def language_scores(
     rows = words.mapInArrow(_tally(number), schema("i long, n long")).groupBy("i").sum("n").collect()
     sums = {row[0]: row[1] for row in rows}
     every = sum(group_ends)
-    tokens = [sums.get(2 + g, 0) + group_ends[g] for g in range(number)]
-    totals = Totals(
-        sum(tokens),
-        sums.get(0, 0) + (every > 0),
-        every,
-        sums.get(1, 0),
-        tokens,
-        [sums.get(2 + number + g, 0) for g in range(number)],
-        group_ends,
+    seen = [sums.get(2 + g, 0) for g in range(number)]
+    once = [sums.get(2 + number + g, 0) for g in range(number)]
+    known = sums.get(0, 0) + (every > 0)
+    tokens = sum(seen) + every
+    speller = train(words, every)
+    steps_seen = np.array([sums.get(2 + 2 * number + i, 0) for i in range(COUNT_STEPS)])
+    frequent = words.mapInArrow(
+        _coded(least_coded(steps_seen)), schema("hashes binary, counts binary")
+    ).collect()
+    hashes = np.frombuffer(b"".join(r["hashes"] for r in frequent), np.uint64)
+    coded = np.frombuffer(b"".join(r["counts"] for r in frequent), np.int64).reshape(-1, number)
+    others = [seen[g] - int(coded[:, g].sum()) for g in range(number)]
+    totals = Totals(tokens, known, every, sums.get(1, 0), once, others)
+    code = Code.of(hashes, coded, others, group_ends)
+    mixer = trained_mixer(gathered, code, parts)
+    send = spark.sparkContext.broadcast(
+        tuple(tuple(vars(x).values()) for x in (speller, code, mixer))
     )
-    send = spark.sparkContext.broadcast(tuple(vars(train(words, every)).values()))
     answers = counted.filter("slice IS NOT NULL").select("slice", "part", "size", "counts")
     scored = (
         gathered.drop("trained")
