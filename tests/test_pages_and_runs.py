@@ -7,7 +7,7 @@ import sqlite3
 import pytest
 from pyspark.sql import functions as F
 
-from vinilo.operators.pageindex import PageIndex
+from vinilo.operators.pageindex import PageIndex, range_count
 from vinilo.plans import rollup_job, segmentation_job
 from vinilo.sources import jdbc, lake, manifest
 from vinilo.sources.catalog import register_lake
@@ -208,3 +208,20 @@ def test_command_lines_take_the_size_of_a_read():
     assert rollup_job.arguments(copy).jdbc_rows == jdbc.RANGE_ROWS
     args = segmentation_job.arguments(["--s3-bucket", "b", "--jdbc-rows", "7"])
     assert args.jdbc_rows == 7
+
+
+# Many ranges
+
+
+def test_ranges_grow_with_the_table_before_there_are_many(spark, tmp_path):
+    """A small range_rows does not make a folder of every few rows of a large table."""
+    assert [range_count(n, 64) for n in (0, 64, 65, 64 * 128)] == [1, 1, 2, 128]
+    assert range_count(7_200_000, 64) == range_count(54_000_000, 1000) == 128
+    assert range_count(10**9, 64) == range_count(10**9, 10**6) == 1000
+    table = spark.range(0, 20_000, 2).select("id", (F.col("id") % 7).alias("price"))
+    pages = PageIndex.build(table, ["id"], str(tmp_path / "many"), range_rows=10)
+    assert pages.counts.count() <= 128
+    assert [r["id"] for r in pages.page(100, 4950).collect()] == list(range(9900, 10_100, 2))
+    match = [i for i in range(0, 20_000, 2) if i % 7 == 3]
+    found = pages.page(20, 700, F.col("price") == 3)
+    assert [r["id"] for r in found.collect()] == match[700:720]

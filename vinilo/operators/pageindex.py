@@ -21,10 +21,23 @@ from vinilo.operators.shop import MAX_PAGE
 RANGE, PLACE = "_range", "_place"
 RANGE_ROWS = 1_000_000
 MAX_RANGES = 100_000
+# So many ranges are cut as small as asked for; a folder each, more of them cost more than they save.
+SMALL_RANGES = 128
 # Of monotonically_increasing_id: the lower bits count the rows of a partition.
 _PLACE_BITS = (1 << 33) - 1
 
 
+def range_count(rows: int, range_rows: int) -> int:
+    """Number of ranges for a table: of ``range_rows`` rows, or of more where they would be many.
+
+    Beyond ``SMALL_RANGES`` ranges grow up to ``RANGE_ROWS`` rows before there are more of them.
+    """
+    wanted = -(-rows // range_rows)
+    if wanted > SMALL_RANGES:
+        wanted = max(SMALL_RANGES, -(-rows // max(range_rows, RANGE_ROWS)))
+    return min(max(wanted, 1), MAX_RANGES)
+
+
 @dataclass(frozen=True)
 class PageIndex:
     """``rows``: the table with its ranges and places; ``counts``: (range, n, before) per range."""
@@ -38,7 +51,7 @@ class PageIndex:
         cls, table: DataFrame, keys: Sequence[str], path: str, range_rows: int = RANGE_ROWS
     ) -> PageIndex:
         """Write the index below ``path`` and open it. The keys together should tell rows apart."""
-        wanted = min(max(-(-table.count() // range_rows), 1), MAX_RANGES)
+        wanted = range_count(table.count(), range_rows)
         placed = (
             table.repartitionByRange(wanted, *keys)
             .sortWithinPartitions(*keys)
