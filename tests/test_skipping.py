@@ -128,3 +128,10 @@ def test_conditions_on_values(spark):
     assert few_values(numbers, "id", 200) == list(range(200))
     with pytest.raises(ValueError, match="too many"):
         KeyedTable(numbers, numbers, "id").with_keys(range(FEW_KEYS + 1))
+
+
+def test_ranges_grow_with_the_table_before_there_are_many(spark, tmp_path):
+    table = spark.range(0, 20_000, 2)
+    keyed = KeyedTable.write(table, "id", str(tmp_path), range_rows=10)
+    assert keyed.ranges.count() <= 128
+    assert sorted(r["id"] for r in keyed.with_keys([0, 9998, 9999]).collect()) == [0, 9998]

@@ -16,11 +16,10 @@ from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from vinilo.operators.pageindex import RANGE_ROWS, range_count
 from vinilo.operators.shop import point_lookup
 
 RANGE = "_range"
-RANGE_ROWS = 1_000_000
-MAX_RANGES = 100_000
 # Keys that travel in a condition; more of them are joined.
 FEW_KEYS = 1000
 # Spark hands lists of up to so many values to the Parquet reader as they are.
@@ -57,15 +56,14 @@ def bloom_writer(df: DataFrame, columns: Iterable[str], rows_per_file: int) -> D
     return writer
 
 
-def in_key_order(df: DataFrame, key: str, range_rows: int = RANGE_ROWS) -> DataFrame:
-    """The rows in ranges of the key with about ``range_rows`` each, sorted within.
+def in_key_order(df: DataFrame, key: str, ranges: int) -> DataFrame:
+    """The rows in so many ranges of the key, sorted within.
 
     Rows of one key are ordered by a hash of the row, so that a key with very many of
     them fills several ranges. Maps cannot be hashed and do not count.
     """
-    wanted = min(max(-(-df.count() // range_rows), 1), MAX_RANGES)
     hashed = [c for c, kind in df.dtypes if "map<" not in kind]
-    return df.repartitionByRange(wanted, F.col(key), F.xxhash64(*hashed)).sortWithinPartitions(key)
+    return df.repartitionByRange(ranges, F.col(key), F.xxhash64(*hashed)).sortWithinPartitions(key)
 
 
 @dataclass(frozen=True)
@@ -86,8 +84,11 @@ class KeyedTable:
         range_rows: int = RANGE_ROWS,
     ) -> KeyedTable:
         """Lay the table out below ``path``, with Bloom filters of the key and of ``filtered``."""
-        placed = in_key_order(table, key, range_rows).withColumn(RANGE, F.spark_partition_id())
-        bloom_writer(placed, [key, *filtered], range_rows).partitionBy(RANGE).parquet(f"{path}/rows")
+        count = table.count()
+        ranges = range_count(count, range_rows)
+        placed = in_key_order(table, key, ranges).withColumn(RANGE, F.spark_partition_id())
+        each = max(-(-count // ranges), 1)
+        bloom_writer(placed, [key, *filtered], each).partitionBy(RANGE).parquet(f"{path}/rows")
         rows = table.sparkSession.read.schema(placed.schema).parquet(f"{path}/rows")
         rows.groupBy(RANGE).agg(
             F.min(key).alias("low"), F.max(key).alias("high"), F.count(F.lit(1)).alias("n")
@@ -112,7 +113,7 @@ class KeyedTable:
             raise ValueError(f"{len(keys)} keys are too many for a condition, join them")
         if not keys:
             return self.table().limit(0)
-        # A key that stands in many rows can lie in many ranges; there are at most MAX_RANGES.
+        # A key that stands in many rows can lie in many ranges; ``range_count`` bounds them.
         inside = F.exists(
             F.array(*[F.lit(k) for k in keys]), lambda k: k.between(F.col("low"), F.col("high"))
         )
