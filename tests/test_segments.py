@@ -6,7 +6,7 @@ import pytest
 from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScalerModel
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from vinilo.operators import segments
@@ -321,3 +321,14 @@ def test_command_line():
     assert arguments(
         ["--data-source", "mysql", "--jdbc-url", "u", "--db-user", "a", "--db-password", "p"]
     ).jdbc_url
+
+
+def test_ratings_compare_without_nested_lambdas(spark):
+    """Only the norm of a point folds over it; distances to labels, many per point, do not."""
+    rows = [(1, i % 3, [float(i), float(i * i % 7)]) for i in range(30)]
+    points = spark.createDataFrame(rows, "g int, c int, x array<double>")
+    points = points.select("g", "c", array_to_vector("x").alias("features"))
+    rated = segments.silhouettes(points, "g", "c")
+    plan = rated._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("zip_with(") == 1
+    assert rated.count() == 3

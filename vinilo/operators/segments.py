@@ -123,11 +123,11 @@ def silhouettes(labelled: DataFrame, group: str, label: str) -> DataFrame:
     points = labelled.filter(F.col(group).isNotNull() & F.col(label).isNotNull()).select(
         group, label, "features", vector_to_array("features").alias("_x")
     )
-    norm = _dot(F.col("_x"), F.col("_x"))
+    points = points.withColumn("_norm", _dot(F.col("_x"), F.col("_x")))
     sums = points.groupBy(group, label).agg(
         F.count(F.lit(1)).alias("_n"),
         vector_to_array(Summarizer.sum(F.col("features"))).alias("_sums"),
-        F.sum(norm).alias("_norms"),
+        F.sum("_norm").alias("_norms"),
     )
     found = sums.limit(MAX_LABELS + 1).collect()
     if len(found) > MAX_LABELS:
@@ -142,17 +142,26 @@ def silhouettes(labelled: DataFrame, group: str, label: str) -> DataFrame:
         )
     )
 
+    # Written out term by term, since nested lambdas cost several times as much.
+    width = max((len(f["_sums"]) for f in found), default=0)
+
     def distance(other: Column) -> Column:
         """Mean squared distance to the points of a label."""
-        n = other["_n"]
-        mean = norm + other["_norms"] / n - 2 * _dot(F.col("_x"), other["_sums"]) / n
+        n, dot = other["_n"], F.lit(0.0)
+        for i in range(width):
+            dot = dot + F.get("_x", F.lit(i)) * F.get(other["_sums"], F.lit(i))
+        mean = F.col("_norm") + other["_norms"] / n - 2 * dot / n
         return F.greatest(mean, F.lit(0.0))
 
-    own = F.get(F.filter("_labels", lambda o: o["_label"] == F.col(label)), F.lit(0))
-    others = F.filter("_labels", lambda o: o["_label"] != F.col(label))
+    apart = F.transform(
+        "_labels",
+        lambda o: F.struct(o["_label"].alias("label"), o["_n"].alias("n"), distance(o).alias("d")),
+    )
+    own = F.get(F.filter("_apart", lambda o: o["label"] == F.col(label)), F.lit(0))
+    others = F.filter("_apart", lambda o: o["label"] != F.col(label))
     # The point itself is among its label's points, at distance 0.
-    inside = distance(own) * own["_n"] / F.nullif(own["_n"] - 1, F.lit(0))
-    outside = F.array_min(F.transform(others, distance))
+    inside = own["d"] * own["n"] / F.nullif(own["n"] - 1, F.lit(0))
+    outside = F.array_min(F.transform(others, lambda o: o["d"]))
     worse = F.greatest("_inside", "_outside")
     rating = (
         F.when(F.col("_outside").isNull(), None)
@@ -161,6 +170,7 @@ def silhouettes(labelled: DataFrame, group: str, label: str) -> DataFrame:
     )
     return (
         points.join(F.broadcast(labels), group)
+        .select(group, label, apart.alias("_apart"))
         .select(group, label, inside.alias("_inside"), outside.alias("_outside"))
         .groupBy(group, label)
         .agg(F.count(F.lit(1)).alias("n"), F.avg(rating).alias("silhouette"))
