@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -396,3 +397,33 @@ def test_code_paths_are_a_distribution():
         tokens.symbol[np.flatnonzero(last)[-1]] = symbol
         total += 10 ** mixer.read(code, tokens)[last][-1]
     assert total == pytest.approx(1, abs=1e-5)
+
+
+def test_log_odds_of_contexts_are_worked_out_before_the_driver():
+    """The driver gets two bytes a slot, not the counts, which took several times its room."""
+    pick = np.random.default_rng(12)
+    counts = pick.integers(0, 90_000, (3, 64, 2)) * pick.integers(0, 2, (3, 64, 1))
+    rows = [{"kind": "0", "i": 5, "values": langmodel._planes(c.ravel())} for c in counts]
+    found = langmodel._add_contexts(pa.Table.from_pylist(rows, schema=langmodel._BLOB)).to_pylist()
+    assert [(r["kind"], r["i"], len(r["values"])) for r in found] == [("0", 5, 64 * 2)]
+    got = np.frombuffer(found[0]["values"], np.int16)
+    total = counts.sum(0)
+    odds = np.log((total[:, 1] + langmodel.PRIOR) / (total[:, 0] + langmodel.PRIOR))
+    assert (got >> 2) / 1000 == pytest.approx(np.clip(odds, -8, 8), abs=2e-3)
+    assert ((got & 3) == np.minimum(np.log2(total.sum(1) + 1), 3).astype(int)).all()
+
+
+def test_slots_of_a_path_stand_together():
+    """A path's bits after one context are read from a few stretches of the table, not one each."""
+    counts = (np.arange(1, 3001)[:, None] ** 2) // 500 + 1
+    hashes = langmodel.mixed(np.arange(1, 3001, dtype=np.uint64))
+    code = langmodel.Code.of(hashes, counts, [3], [100])
+    assert sorted(set(code.nodes.tolist())) == list(range(3001))
+    symbol = np.arange(3002)
+    size, node, turn = langmodel.paths(code, symbol)
+    assert (node == code.nodes).all() and (turn == code.turns).all()
+    context = np.repeat(langmodel.mixed(symbol.astype(np.uint64)).astype(np.uint32), size)
+    slot = langmodel.context_slots(context, langmodel.salted_nodes(node))
+    owner = np.repeat(symbol, size)
+    assert len(set(zip(owner, node))) == len(set(zip(owner, slot)))
+    assert len(set(zip(owner, slot >> langmodel.LINE_BITS))) < 0.5 * len(node)

@@ -26,7 +26,8 @@ import hashlib
 import heapq
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -56,16 +57,25 @@ CONTEXT_GATES = 16
 BLOCK = 16
 ONLINE_RATE = 0.03
 TOKENS_AT_ONCE = 1 << 18
+TEXTS_AT_ONCE = 384
+LINE_BITS = 5
+COUNTED_AT_ONCE = 1 << 12
 COUNT_PARTS = 4
 REFINE_PRIOR = 64.0
 BASE_PRIOR = 0.1
 _SALT = np.uint64(0x9E3779B97F4A7C15)
+_SALT_32 = np.uint32(0x9E3779B1)
 _SALTS = mixed(np.arange(1, 4, dtype=np.uint64) * _SALT)
 
 
 # Spelling: one entry per byte of the words and per closing space
 
 
+def taken(values: np.ndarray, at: np.ndarray, axis: int | None = None) -> np.ndarray:
+    """``take`` of places that are known to be inside, which need no check."""
+    return values.take(at, axis, mode="clip")
+
+
 def spelled(data: np.ndarray, start: np.ndarray, stop: np.ndarray):
     """(word, byte, contexts) of every byte of the words, each closed by a space."""
     count = stop - start + 1
@@ -94,11 +104,9 @@ def bits(byte: np.ndarray, contexts: list[np.ndarray]) -> Iterator[tuple]:
     """(position of the bit, its value, table slots of the predictors) for the 8 bits."""
     node = np.ones(len(byte), np.uint64)
     for b in range(7, -1, -1):
-        value = (byte >> np.uint64(b)) & np.uint64(1)
+        value, salted = (byte >> np.uint64(b)) & np.uint64(1), node * _SALT
         slots = [
-            (((c ^ (node * _SALT)) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - t)).astype(
-                np.int64
-            )
+            (((c ^ salted) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - t)).view(np.int64)
             for c, t in zip(contexts, TABLE_BITS)
         ]
         yield 7 - b, value.astype(np.float32), slots
@@ -121,7 +129,7 @@ class Model:
         """Log odds of the predictors and the gate, without one of the own tokens."""
         inputs = []
         for p, at in enumerate(slots):
-            zero, one = self.zeros[p].take(at) - (1 - value), self.ones[p].take(at) - value
+            zero, one = taken(self.zeros[p], at) - (1 - value), taken(self.ones[p], at) - value
             inputs.append(np.log((one + PRIOR) / (zero + PRIOR)))
             known = zero + one
         return np.clip(inputs, -STRETCH_LIMIT, STRETCH_LIMIT), gates(known)
@@ -150,22 +158,24 @@ class Speller:
     def word_scores(self, data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
         """log10 of the probability of each word data[start:stop]."""
         scores = np.zeros(len(start))
-        weights = np.ascontiguousarray(self.weights.T.astype(np.float32))
+        weights = self.weights.astype(np.float32)
         refined = self.refined.astype(np.float32).ravel()
         for lo, hi in pieces(stop - start + 1):
             word, byte, contexts = spelled(data, start[lo:hi], stop[lo:hi])
             total = np.zeros(len(byte))
             for bit, value, slots in bits(byte, contexts):
-                gate = self.gate.take(slots[-1]).astype(np.int64) * 8 + bit
-                odds = weights[0].take(gate) * self.odds[0].take(slots[0])
+                gate = taken(self.gate, slots[-1]).astype(np.int64) * 8 + bit
+                used = taken(weights, gate, 0)
+                odds = used[:, 0] * taken(self.odds[0], slots[0])
                 for p in range(1, PREDICTORS):
-                    odds += weights[p].take(gate) * self.odds[p].take(slots[p])
+                    odds += used[:, p] * taken(self.odds[p], slots[p])
                 np.clip(odds, -STRETCH_LIMIT, STRETCH_LIMIT, out=odds)
                 # The mean of the mixed and the refined probability of a one.
-                p = (1 / (1 + np.exp(-odds)) + refined.take(gate * REFINE_STEPS + steps(odds))) / 2
-                total += np.log10(np.where(value > 0, p, 1 - p))
+                p = (1 / (1 + np.exp(-odds)) + taken(refined, gate * REFINE_STEPS + steps(odds))) / 2
+                # The distance from what did not come is the probability of what did.
+                total += np.log(np.abs(p - (1 - value)))
             scores[lo:hi] = np.bincount(word, total, minlength=hi - lo)
-        return scores
+        return scores / math.log(10)
 
 
 def steps(odds: np.ndarray) -> np.ndarray:
@@ -209,19 +219,16 @@ def _slice(batch: pa.RecordBatch, groups: int) -> pa.RecordBatch:
     held = batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
     group = batch.column("group").to_numpy().astype(np.int64)
     words = Words(batch.column("text"), lower=True)
-    found, at, inverse, times = np.unique(
-        words.hashes(), return_index=True, return_inverse=True, return_counts=True
-    )
+    at, inverse, times = distinct(words.hashes())
     # Frequent words get small numbers, which pack well.
     order = np.argsort(-times, kind="stable")
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
-    found, at, inverse = found[order], at[order], place[inverse]
-    trained = np.bincount(
-        group[words.document] * len(found) + inverse,
-        ~held[words.document],
-        minlength=len(found) * groups,
-    ).astype(np.int64)
+    at, inverse = at[order], place[inverse]
+    key = np.where(held, groups, group)[words.document] * len(at)
+    key += inverse
+    # What is held out counts in a group of its own, which is left out.
+    trained = np.bincount(key, minlength=len(at) * (groups + 1))[: len(at) * groups]
     ids = batch.column("doc_id")
     lengths = (words.stop - words.start)[at]
     row = {
@@ -239,6 +246,21 @@ def _slice(batch: pa.RecordBatch, groups: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_pylist([row | {"slice": name.digest()}], schema=_arrow(_SLICE))
 
 
+def distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """In order of the hashes, a place where each stands, the number of each hash, and the times.
+
+    ``np.unique`` asks for the first place and sorts several times slower for that.
+    """
+    order = np.argsort(hashes)
+    ordered = hashes[order]
+    new = np.ones(len(order), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    inverse = np.empty(len(order), np.int64)
+    inverse[order] = np.cumsum(new) - 1
+    first = np.flatnonzero(new)
+    return order[first], inverse, np.diff(first, append=len(order))
+
+
 def _small(values: np.ndarray) -> bytes:
     """Unsigned numbers in as few bytes each as the largest needs."""
     return values.astype(np.min_scalar_type(int(values.max(initial=0)))).tobytes()
@@ -320,9 +342,7 @@ def _totals(groups: int):
         trained = np.concatenate(trained, axis=1)
         lengths = np.concatenate([_numbers(table, "lengths", n, r) for r, n in enumerate(sizes)])
         data = np.concatenate([_array(table, "words", np.uint8, r) for r in rows_in])
-        _, at, inverse = np.unique(
-            _hashes(data, lengths), return_index=True, return_inverse=True
-        )
+        at, inverse, _ = distinct(_hashes(data, lengths))
         totals = np.stack(
             [np.bincount(inverse, trained[g], minlength=len(at)) for g in range(groups)]
         ).astype(np.int64)
@@ -361,9 +381,9 @@ def _totals(groups: int):
 _BLOB = pa.schema([("kind", pa.string()), ("i", pa.int64()), ("values", pa.binary())])
 
 
-def _blobs(rows: list[tuple[str, int, np.ndarray]]) -> pa.RecordBatch:
+def _blobs(rows: list[tuple[str, int, np.ndarray]], kind=np.float64) -> pa.RecordBatch:
     return pa.RecordBatch.from_pylist(
-        [{"kind": k, "i": i, "values": v.astype(np.float64).tobytes()} for k, i, v in rows],
+        [{"kind": k, "i": i, "values": v.astype(kind).tobytes()} for k, i, v in rows],
         schema=_BLOB,
     )
 
@@ -384,19 +404,19 @@ def _chunks(table: np.ndarray) -> list[np.ndarray]:
 
 def _count_bits():
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = [[np.zeros(1 << t) for t in TABLE_BITS] for _ in range(2)]
+        tables = [np.zeros(2 << t) for t in TABLE_BITS]
         for data, start, stop, counts in _word_lists(batches):
+            every = counts.sum(1)
             for lo, hi in pieces(stop - start + 1, 1 << 20):
                 word, byte, contexts = spelled(data, start[lo:hi], stop[lo:hi])
-                times = counts[lo:hi].sum(1)[word].astype(float)
+                times = every[lo:hi].take(word).astype(float)
                 for _, value, slots in bits(byte, contexts):
-                    for p, at in enumerate(slots):
-                        size = 1 << TABLE_BITS[p]
-                        tables[1][p] += np.bincount(at, times * value, minlength=size)
-                        tables[0][p] += np.bincount(at, times * (1 - value), minlength=size)
+                    turn = value.astype(np.int64)
+                    for table, at in zip(tables, slots):
+                        table += np.bincount(at * 2 + turn, times, minlength=len(table))
         for v in range(2):
             for p in range(PREDICTORS):
-                parts = _chunks(tables[v][p])
+                parts = _chunks(tables[p][v::2])
                 yield _blobs([(f"{v}{p}", i, x) for i, x in enumerate(parts) if x.any()])
 
     return run
@@ -404,15 +424,15 @@ def _count_bits():
 
 def _add(table: pa.Table) -> pa.Table:
     values = [_array(table, "values", np.float64, r) for r in range(table.num_rows)]
-    total = _blobs([(table.column("kind")[0].as_py(), table.column("i")[0].as_py(), np.sum(values, 0))])
-    return pa.Table.from_batches([total])
+    row = (table.column("kind")[0].as_py(), table.column("i")[0].as_py(), np.sum(values, 0))
+    return pa.Table.from_batches([_blobs([row], np.float32)])
 
 
 def _summed(df: DataFrame) -> dict[tuple[str, int], np.ndarray]:
     """Sums over tasks of blobs of fixed number and size, which the tables' sizes bound."""
     kinds = "kind string, i long, values binary"
     rows = df.groupBy("kind", "i").applyInArrow(_add, schema(kinds)).collect()
-    return {(r.kind, r.i): np.frombuffer(bytes(r["values"]), np.float64) for r in rows}
+    return {(r.kind, r.i): np.frombuffer(r["values"], np.float32) for r in rows}
 
 
 def _mix_weights(send):
@@ -424,25 +444,25 @@ def _mix_weights(send):
         seen = np.zeros((GATES, PREDICTORS))
         hits = np.zeros((2, GATES, REFINE_STEPS))
         for data, start, stop, counts in _word_lists(batches):
+            every = counts.sum(1)
             for lo, hi in pieces(stop - start + 1, BATCH):
                 word, byte, contexts = spelled(data, start[lo:hi], stop[lo:hi])
-                times = counts[lo:hi].sum(1)[word].astype(float)
+                times = every[lo:hi].take(word).astype(float)
                 for bit, value, slots in bits(byte, contexts):
                     inputs, known = model.without_own(slots, value)
                     gate = known.astype(np.int64) * 8 + bit
-                    odds = sum(weights[:, p].take(gate) * x for p, x in enumerate(inputs))
+                    used = taken(weights, gate, 0)
+                    odds = sum(used[:, p] * x for p, x in enumerate(inputs))
                     odds = np.clip(odds, -STRETCH_LIMIT, STRETCH_LIMIT)
                     error = (value - 1 / (1 + np.exp(-odds))) * times
-                    total = np.bincount(gate, times, minlength=GATES)
+                    at = (gate * REFINE_STEPS + steps(odds)) * 2 + value.astype(np.int64)
+                    pair = np.bincount(at, times, minlength=hits.size).reshape(GATES, -1, 2)
+                    hits += pair.transpose(2, 0, 1)
+                    total = pair.sum((1, 2))
                     for p in range(PREDICTORS):
                         step = np.bincount(gate, error * inputs[p], minlength=GATES)
                         weights[:, p] += RATE * step / np.maximum(total, 1)
                         seen[:, p] += total
-                    at = gate * REFINE_STEPS + steps(odds)
-                    for v in range(2):
-                        hits[v] += np.bincount(
-                            at, times * (value == v), minlength=GATES * REFINE_STEPS
-                        ).reshape(GATES, REFINE_STEPS)
         yield _blobs(
             [
                 ("weights", 0, (weights * seen).ravel()),
@@ -467,8 +487,8 @@ def train(words: DataFrame, ends: int) -> Speller:
     for v in range(2):
         row = []
         for p, t in enumerate(TABLE_BITS):
-            chunks = _chunks(np.zeros(1 << t))
-            row.append(np.concatenate([sums.get((f"{v}{p}", i), x) for i, x in enumerate(chunks)]))
+            chunks = _chunks(np.zeros(1 << t, np.float32))
+            row.append(np.concatenate([sums.pop((f"{v}{p}", i), x) for i, x in enumerate(chunks)]))
         tables.append(row)
     # The end is a word of a single closing space.
     none = np.zeros(1, np.int64)
@@ -476,7 +496,7 @@ def train(words: DataFrame, ends: int) -> Speller:
     for _, value, slots in bits(byte, contexts):
         for p, at in enumerate(slots):
             tables[int(value[0])][p][at] += ends
-    model = Model(*[[t.astype(np.float32) for t in row] for row in tables])
+    model = Model(*tables)
     send = spark.sparkContext.broadcast((model.zeros, model.ones))
     sums = _summed(words.mapInArrow(_mix_weights(send), kinds))
     shape = (GATES, PREDICTORS)
@@ -491,6 +511,10 @@ def train(words: DataFrame, ends: int) -> Speller:
     return model.speller()
 
 
+def _values(model) -> tuple:
+    return tuple(getattr(model, f.name) for f in fields(model))
+
+
 # The code of words: frequent ones, the end and "another word" as paths of bits
 
 
@@ -525,12 +549,26 @@ def _coded(least: int):
     return run
 
 
+def subtree_numbers(parent: np.ndarray) -> np.ndarray:
+    """New numbers of nodes that come after their children, the root last and its entry unused."""
+    depth, top = np.zeros(len(parent), np.int64), np.arange(len(parent))
+    for node in range(len(parent) - 2, -1, -1):
+        above = parent[node]
+        depth[node] = depth[above] + 1
+        if depth[node] % LINE_BITS:
+            top[node] = top[above]
+    number = np.empty(len(parent), np.int64)
+    number[np.lexsort((depth, -top, depth // LINE_BITS))] = np.arange(len(parent))
+    return number
+
+
 @dataclass
 class Code:
     """Huffman code with the zeros and ones that the training rows have at its nodes.
 
     Its symbols are OTHER, END and the coded words; ``symbols`` goes with ``hashes``,
-    which are sorted. The path of symbol s is nodes[first[s]:first[s + 1]].
+    which are sorted. The path of symbol s is nodes[first[s]:first[s + 1]]. Nodes are
+    numbered by subtrees ``LINE_BITS`` levels high, so that a path has few stretches.
     """
 
     hashes: np.ndarray
@@ -568,6 +606,7 @@ class Code:
         turns = np.concatenate([x[2] for x in levels[::-1]])
         by_owner = np.argsort(owner, kind="stable")
         owner, nodes, turns = owner[by_owner], nodes[by_owner], turns[by_owner]
+        nodes = subtree_numbers(parent[size : 2 * size - 1] - size)[nodes]
         first = np.searchsorted(owner, np.arange(size + 1))
         seen = np.stack(
             [
@@ -589,6 +628,11 @@ class Code:
             np.log10((total + 1) / (total + 1).sum()),
         )
 
+    @cached_property
+    def steps(self) -> np.ndarray:
+        """Node and turn in one number."""
+        return self.nodes * 2 + self.turns
+
     def symbols_of(self, hashes: np.ndarray) -> np.ndarray:
         """The symbol of each word, OTHER for those without one."""
         if not len(self.hashes):
@@ -602,16 +646,15 @@ class Texts:
     """Tokens of texts in order: words and one end each, with what stands before them.
 
     ``word``: place among the distinct words, -1 for an end. ``contexts``: hashes of the
-    word before, and of the two before. ``groups``: log10 of how likely each group is,
-    by the tokens before in the same text.
+    word before, and of the two before.
     """
 
+    code: Code
     doc: np.ndarray
     place: np.ndarray
     word: np.ndarray
     symbol: np.ndarray
     contexts: list[np.ndarray]
-    groups: np.ndarray
 
     @classmethod
     def of(cls, code: Code, hashes, symbols, sequence, n_words, chosen) -> "Texts":
@@ -630,42 +673,58 @@ class Texts:
         # What precedes a text is the end of the one before, alike for all of them.
         one = np.concatenate([[_STARTS], token[:-1]])[: len(token)]
         two = np.where(place > 1, np.concatenate([[_STARTS] * 2, token[:-2]])[: len(token)], _STARTS)
-        groups = np.empty((len(code.shares), len(doc)), np.float32)
-        starts = (np.cumsum(size) - size)[doc]
-        for g, share in enumerate(code.shares):
-            before = np.cumsum(np.concatenate([[0.0], code.odds[symbol, g]]))
-            groups[g] = before[:-1] - before[starts] + share
         contexts = [mixed(one + _SALTS[0]), mixed(mixed(two + _SALTS[1]) + one)]
-        return cls(doc, place, word, symbol, contexts, groups)
+        contexts = [(c >> np.uint64(32)).astype(np.uint32) for c in contexts]
+        return cls(code, doc, place, word, symbol, contexts)
+
+    @cached_property
+    def groups(self) -> np.ndarray:
+        """log10 of how likely each group is, by the tokens before in the same text."""
+        found = np.empty((len(self.code.shares), len(self.doc)), np.float32)
+        starts = np.arange(len(self.doc)) - self.place
+        odds = self.code.odds.take(self.symbol, axis=0)
+        for g, share in enumerate(self.code.shares):
+            before = np.cumsum(np.concatenate([[0.0], odds[:, g]]))
+            found[g] = before[:-1] - before.take(starts) + share
+        return found
 
 
 def texts_of(code: Code, hashes, sequence, n_words, chosen) -> Iterator[tuple[np.ndarray, Texts]]:
     """The chosen documents of a slice, some ``TOKENS_AT_ONCE`` tokens or a single text at a time.
 
     Texts of like length come together, so that few blocks are left to a text or two.
+    About ``TEXTS_AT_ONCE`` are the most, so that what a block works with stays in the cache.
     """
     symbols = code.symbols_of(hashes)
     chosen = chosen[np.argsort(-n_words[chosen], kind="stable")]
-    for lo, hi in pieces(n_words[chosen] + 1, TOKENS_AT_ONCE):
+    sizes = np.maximum(n_words[chosen] + 1, TOKENS_AT_ONCE // TEXTS_AT_ONCE)
+    for lo, hi in pieces(sizes, TOKENS_AT_ONCE):
         yield chosen[lo:hi], Texts.of(code, hashes, symbols, sequence, n_words, chosen[lo:hi])
 
 
-def salted_nodes(node: np.ndarray) -> np.ndarray:
-    return (node.astype(np.uint64) + np.uint64(1)) * _SALT
+def salted_nodes(node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What stands for a stretch of nodes, and the place of the node in it."""
+    node = node.astype(np.uint32)
+    return ((node >> LINE_BITS) + np.uint32(1)) * _SALT_32, node & np.uint32((1 << LINE_BITS) - 1)
 
 
-def context_slots(context: np.ndarray, salted: np.ndarray) -> np.ndarray:
-    found = ((context ^ salted) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - CONTEXT_BITS)
-    return found.view(np.int64)
+def context_slots(context: np.ndarray, salted: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """A context's slots of nodes in one stretch stand together, dealt by the hash among their places."""
+    found = context ^ salted[0]
+    found *= np.uint32(0x85EBCA6B)
+    found >>= np.uint32(32 - CONTEXT_BITS)
+    found ^= salted[1]
+    return found.astype(np.int64)
 
 
 def paths(code: Code, symbol: np.ndarray):
     """(bits of each symbol's path, node and turn of every bit)."""
     first = code.first.take(symbol)
     size = code.first.take(symbol + 1) - first
-    at = np.repeat(first - (np.cumsum(size) - size), size)
-    at += np.arange(len(at))
-    return size, code.nodes.take(at), code.turns.take(at)
+    at = np.repeat((first - (np.cumsum(size) - size)).astype(np.int32), size)
+    at += np.arange(len(at), dtype=np.int32)
+    step = taken(code.steps, at)
+    return size, step >> 1, (step & 1).astype(np.uint8)
 
 
 def _slices_of(batches: Iterator[pa.RecordBatch]):
@@ -688,13 +747,15 @@ def _count_contexts(send):
         tables = [np.zeros(2 << CONTEXT_BITS, np.uint32) for _ in range(2)]
         for hashes, sequence, n_words, held in _slices_of(batches):
             for _, texts in texts_of(code, hashes, sequence, n_words, np.flatnonzero(~held)):
-                for lo in range(0, len(texts.doc), BATCH // 4):
-                    own = slice(lo, lo + BATCH // 4)
+                for lo in range(0, len(texts.doc), COUNTED_AT_ONCE):
+                    own = slice(lo, lo + COUNTED_AT_ONCE)
                     size, node, turn = paths(code, texts.symbol[own])
                     salted = salted_nodes(node)
                     for table, context in zip(tables, texts.contexts):
                         slot = context_slots(np.repeat(context[own], size), salted)
-                        np.add.at(table, slot * 2 + turn, np.uint32(1))
+                        slot *= 2
+                        slot += turn
+                        np.add.at(table, slot, np.uint32(1))
         for p, table in enumerate(tables):
             rows = [
                 {"kind": str(p), "i": i, "values": _planes(x)}
@@ -708,15 +769,18 @@ def _count_contexts(send):
 
 
 def _add_contexts(table: pa.Table) -> pa.Table:
-    """Sums of a stretch of slots, both counts of a slot halved alike until 16 bits hold them."""
+    """Log odds of a stretch of slots, both counts of a slot lowered alike until 16 bits hold them.
+
+    They are worked out here, since the counts would take the driver several times their room.
+    """
     total = 0
     for r in range(table.num_rows):
         total = total + _unplaned(table.column("values")[r].as_buffer()).astype(np.int64)
     total = total.reshape(-1, 2)
     most = np.maximum(total.max(1, keepdims=True), 65535)
-    total = np.minimum(np.ceil(total * (65535 / most)), 65535).astype(np.uint16)
+    total = np.minimum(np.ceil(total * (65535 / most)), 65535)
     row = {"kind": table.column("kind")[0].as_py(), "i": table.column("i")[0].as_py()}
-    return pa.Table.from_pylist([row | {"values": total.tobytes()}], schema=_BLOB)
+    return pa.Table.from_pylist([row | {"values": known_odds(*total.T).tobytes()}], schema=_BLOB)
 
 
 def _log_odds(zero: np.ndarray, one: np.ndarray) -> np.ndarray:
@@ -742,64 +806,73 @@ class Mixer:
         """log10 probability of each token's path."""
         size = np.bincount(texts.doc) if len(texts.doc) else np.zeros(0, np.int64)
         # Long texts first: those that still go on at a block are the first ones.
-        rank = np.empty(len(size), np.int64)
-        rank[np.argsort(-size, kind="stable")] = np.arange(len(size))
-        block, doc = texts.place // BLOCK, rank[texts.doc]
-        order = np.lexsort((texts.place, doc, block))
-        ends = np.cumsum(np.bincount(block)) if len(block) else []
+        order = np.argsort(-size, kind="stable")
+        size, first = size[order], (np.cumsum(size) - size)[order]
         room = 1 << np.ceil(np.log2(np.maximum(size * OWN_SLOTS, 1))).astype(np.int64)
-        begin, mask = (np.cumsum(room) - room)[texts.doc], (room - 1)[texts.doc]
+        begin, mask = np.cumsum(room) - room, (room - 1).astype(np.int32)
         counts = np.zeros(room.sum(), np.uint32)
-        # One array per column: taking single numbers is far faster than taking short rows.
-        weights = np.repeat(
-            np.array(START_WEIGHTS, np.float32)[:, None], len(size) * CONTEXT_GATES, 1
-        )
-        hits = [np.zeros(len(size) * REFINE_STEPS, np.float32) for _ in range(2)]
+        weights = np.tile(np.array(START_WEIGHTS, np.float32), (len(size) * CONTEXT_GATES, 1))
+        hits = np.zeros((len(size), REFINE_STEPS, 2), np.float32)
         centers = np.linspace(-STRETCH_LIMIT, STRETCH_LIMIT, REFINE_STEPS)
-        start = (REFINE_PRIOR / (1 + np.exp(-centers))).astype(np.float32)
-        scores, likely = np.zeros(len(doc)), texts.groups.argmax(0) if len(doc) else None
+        start = (1 / (1 + np.exp(-centers))).astype(np.float32)
+        refined = np.tile(start, (len(size), 1))
+        start *= np.float32(REFINE_PRIOR)
+        scores = np.zeros(len(texts.doc))
         inner = code.counts.shape[1]
+        likely = texts.groups.argmax(0).astype(np.int32) * np.int32(inner)
         grouped = _log_odds(code.counts[:, :, 0], code.counts[:, :, 1]).ravel()
-        lo = 0
-        for hi in ends:
-            own = order[lo:hi]
+        longest = int(np.diff(code.first).max())
+        most = 0
+        for place in range(0, int(size.max(initial=0)), BLOCK):
+            alive = int(np.searchsorted(-size, -place))
+            reads = np.minimum(size[:alive] - place, BLOCK)
+            own = positions(reads, first[:alive] + place)
+            reader = np.repeat(np.arange(alive, dtype=np.int32), reads)
             size_of, node, turn = paths(code, texts.symbol.take(own))
             salted = salted_nodes(node)
-            inputs = [grouped.take(np.repeat(likely.take(own) * inner, size_of) + node)]
-            gate = np.repeat(doc.take(own) * CONTEXT_GATES, size_of)
-            for table, context, times in zip(self.tables, texts.contexts, (1, 4)):
-                known = table.take(context_slots(np.repeat(context.take(own), size_of), salted))
+            at = np.repeat(likely.take(own), size_of)
+            at += node
+            inputs = [taken(grouped, at)]
+            levels = np.int16(0)
+            for table, context, shift in zip(self.tables, texts.contexts, (0, 2)):
+                known = taken(table, context_slots(np.repeat(context.take(own), size_of), salted))
                 inputs.append((known >> 2) * np.float32(0.001))
-                gate += (known & 3) * np.int16(times)
-            slot = np.repeat(begin.take(own), size_of)
-            slot += node & np.repeat(mask.take(own), size_of)
-            inputs.append(_log_odds(*_halves(counts.take(slot))))
-            key, reader = gate, gate // CONTEXT_GATES
-            alive = int(reader.max()) + 1
-            odds = weights[0].take(key) * inputs[0]
-            for w, x in zip(weights[1:], inputs[1:]):
-                odds += w.take(key) * x
-            odds = np.clip(odds, -STRETCH_LIMIT, STRETCH_LIMIT)
+                levels = levels + ((known & 3) << shift)
+            slot = np.repeat(begin.take(reader), size_of)
+            slot += node & np.repeat(mask.take(reader), size_of)
+            inputs.append(_log_odds(*_halves(taken(counts, slot))))
+            spot = np.repeat(reader * np.int32(CONTEXT_GATES), size_of)
+            key = (spot + levels).astype(np.int64)
+            used = taken(weights, key, 0)
+            odds = used[:, 0] * inputs[0]
+            for k in range(1, len(inputs)):
+                odds += used[:, k] * inputs[k]
+            np.clip(odds, -STRETCH_LIMIT, STRETCH_LIMIT, out=odds)
             mix = 1 / (1 + np.exp(-odds))
-            step = steps(odds)
-            spot = reader * REFINE_STEPS + step
-            zeros, ones = (h.take(spot) for h in hits)
-            p = (mix + (start.take(step) + ones) / (np.float32(REFINE_PRIOR) + zeros + ones)) / 2
-            found = np.log10(np.where(turn > 0, p, 1 - p), dtype=np.float64)
-            scores[own] = np.add.reduceat(found, np.cumsum(size_of) - size_of)
+            spot *= np.int32(REFINE_STEPS // CONTEXT_GATES)
+            spot += steps(odds)
+            p = (mix + taken(refined.reshape(-1), spot)) * np.float32(0.5)
+            # The distance from what did not come is the probability of what did.
+            found = np.log(np.abs(p - (turn ^ 1)))
+            scores[own] = np.add.reduceat(found, np.cumsum(size_of) - size_of, dtype=np.float64)
             wrong = (turn - mix) * np.float32(ONLINE_RATE)
             places = alive * CONTEXT_GATES
-            for w, x in zip(weights, inputs):
-                w[:places] += np.bincount(key, wrong * x, minlength=places)
-            np.add.at(counts, slot, np.left_shift(np.uint32(1), turn.astype(np.uint32) * np.uint32(16)))
+            for k, x in enumerate(inputs):
+                weights[:places, k] += np.bincount(key, wrong * x, minlength=places)
+            np.add.at(counts, slot, turn * np.uint32(0xFFFF) + np.uint32(1))
             # Both counts of a slot are halved before either runs over.
-            full = slot[(counts.take(slot) & np.uint32(0x80008000)) > 0]
-            counts[full] = (counts[full] >> np.uint32(1)) & np.uint32(0x7FFF7FFF)
-            pair = np.bincount(spot * 2 + turn, minlength=alive * REFINE_STEPS * 2)
-            for v in range(2):
-                hits[v][: alive * REFINE_STEPS] += pair[v::2]
-            lo = hi
-        return scores
+            most += BLOCK * longest
+            if most >= 0x8000:
+                full = slot[(taken(counts, slot) & np.uint32(0x80008000)) > 0]
+                counts[full] = (counts[full] >> np.uint32(1)) & np.uint32(0x7FFF7FFF)
+            spot *= 2
+            spot += turn
+            seen = hits[:alive]
+            seen += np.bincount(spot, minlength=seen.size).reshape(seen.shape)
+            refined[:alive] = (start + seen[..., 1]) / (
+                np.float32(REFINE_PRIOR) + seen[..., 0] + seen[..., 1]
+            )
+        return scores / math.log(10)
 
 
 def _halves(packed: np.ndarray) -> list[np.ndarray]:
@@ -815,7 +888,7 @@ def trained_mixer(gathered: DataFrame, code: Code, parts: int) -> Mixer:
     spark = gathered.sparkSession
     rows = gathered.select("words", "lengths", "sequence", "n_words", "held_out")
     kinds = schema("kind string, i long, values binary")
-    send = spark.sparkContext.broadcast(tuple(vars(code).values()))
+    send = spark.sparkContext.broadcast(_values(code))
     counted = (
         # A task's sums take the same room for one slice as for many.
         rows.coalesce(max(1, parts // COUNT_PARTS))
@@ -824,11 +897,12 @@ def trained_mixer(gathered: DataFrame, code: Code, parts: int) -> Mixer:
         .applyInArrow(_add_contexts, kinds)
         .collect()
     )
-    tables = [np.zeros(2 << CONTEXT_BITS, np.uint16) for _ in range(2)]
+    # Where nothing was counted the log odds are zero and the level too.
+    tables = [np.zeros(1 << CONTEXT_BITS, np.int16) for _ in range(2)]
     for r in counted:
-        values = np.frombuffer(bytes(r["values"]), np.uint16)
+        values = np.frombuffer(r["values"], np.int16)
         tables[int(r["kind"])][r["i"] * len(values) : (r["i"] + 1) * len(values)] = values
-    return Mixer([known_odds(*t.reshape(-1, 2).T) for t in tables])
+    return Mixer(tables)
 
 
 def known_odds(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -1016,9 +1090,7 @@ def language_scores(
     totals = Totals(tokens, known, every, sums.get(1, 0), once, others)
     code = Code.of(hashes, coded, others, group_ends)
     mixer = trained_mixer(gathered, code, parts)
-    send = spark.sparkContext.broadcast(
-        tuple(tuple(vars(x).values()) for x in (speller, code, mixer))
-    )
+    send = spark.sparkContext.broadcast(tuple(_values(x) for x in (speller, code, mixer)))
     answers = counted.filter("slice IS NOT NULL").select("slice", "part", "size", "counts")
     scored = (
         gathered.drop("trained")
