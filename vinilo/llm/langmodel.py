@@ -822,56 +822,71 @@ class Mixer:
         likely = texts.groups.argmax(0).astype(np.int32) * np.int32(inner)
         grouped = _log_odds(code.counts[:, :, 0], code.counts[:, :, 1]).ravel()
         longest = int(np.diff(code.first).max())
-        most = 0
-        for place in range(0, int(size.max(initial=0)), BLOCK):
+        most = place = 0
+        while place < int(size.max(initial=0)):
+            # What does not depend on learning is looked up for some blocks at once.
             alive = int(np.searchsorted(-size, -place))
-            reads = np.minimum(size[:alive] - place, BLOCK)
-            own = positions(reads, first[:alive] + place)
-            reader = np.repeat(np.arange(alive, dtype=np.int32), reads)
+            places = place + BLOCK * np.arange(max(1, TEXTS_AT_ONCE // alive))
+            reads = np.clip(size[:alive] - places[:, None], 0, BLOCK)
+            own = positions(reads.ravel(), (first[:alive] + places[:, None]).ravel())
+            reader = np.tile(np.arange(alive, dtype=np.int32), len(places))
+            reader = np.repeat(reader, reads.ravel())
             size_of, node, turn = paths(code, texts.symbol.take(own))
             salted = salted_nodes(node)
             at = np.repeat(likely.take(own), size_of)
             at += node
-            inputs = [taken(grouped, at)]
+            fixed = [taken(grouped, at)]
             levels = np.int16(0)
             for table, context, shift in zip(self.tables, texts.contexts, (0, 2)):
                 known = taken(table, context_slots(np.repeat(context.take(own), size_of), salted))
-                inputs.append((known >> 2) * np.float32(0.001))
+                fixed.append((known >> 2) * np.float32(0.001))
                 levels = levels + ((known & 3) << shift)
-            slot = np.repeat(begin.take(reader), size_of)
-            slot += node & np.repeat(mask.take(reader), size_of)
-            inputs.append(_log_odds(*_halves(taken(counts, slot))))
-            spot = np.repeat(reader * np.int32(CONTEXT_GATES), size_of)
-            key = (spot + levels).astype(np.int64)
-            used = taken(weights, key, 0)
-            odds = used[:, 0] * inputs[0]
-            for k in range(1, len(inputs)):
-                odds += used[:, k] * inputs[k]
-            np.clip(odds, -STRETCH_LIMIT, STRETCH_LIMIT, out=odds)
-            mix = 1 / (1 + np.exp(-odds))
-            spot *= np.int32(REFINE_STEPS // CONTEXT_GATES)
-            spot += steps(odds)
-            p = (mix + taken(refined.reshape(-1), spot)) * np.float32(0.5)
-            # The distance from what did not come is the probability of what did.
-            found = np.log(np.abs(p - (turn ^ 1)))
-            scores[own] = np.add.reduceat(found, np.cumsum(size_of) - size_of, dtype=np.float64)
-            wrong = (turn - mix) * np.float32(ONLINE_RATE)
-            places = alive * CONTEXT_GATES
-            for k, x in enumerate(inputs):
-                weights[:places, k] += np.bincount(key, wrong * x, minlength=places)
-            np.add.at(counts, slot, turn * np.uint32(0xFFFF) + np.uint32(1))
-            # Both counts of a slot are halved before either runs over.
-            most += BLOCK * longest
-            if most >= 0x8000:
-                full = slot[(taken(counts, slot) & np.uint32(0x80008000)) > 0]
-                counts[full] = (counts[full] >> np.uint32(1)) & np.uint32(0x7FFF7FFF)
-            spot *= 2
-            spot += turn
-            seen = hits[:alive]
-            seen += np.bincount(spot, minlength=seen.size).reshape(seen.shape)
-            refined[:alive] = (start + seen[..., 1]) / (
-                np.float32(REFINE_PRIOR) + seen[..., 0] + seen[..., 1]
-            )
+            slots = np.repeat(begin.take(reader), size_of)
+            slots += node & np.repeat(mask.take(reader), size_of)
+            spots = np.repeat(reader * np.int32(CONTEXT_GATES), size_of)
+            keys = (spots + levels).astype(np.int64)
+            spots *= np.int32(REFINE_STEPS // CONTEXT_GATES)
+            ones = turn * np.uint32(0xFFFF) + np.uint32(1)
+            found = np.empty(len(turn), np.float32)
+            ends = np.cumsum(size_of)
+            lo = 0
+            for tokens, texts_left in zip(np.cumsum(reads.sum(1)), (reads > 0).sum(1)):
+                hi = int(ends[tokens - 1])
+                if hi == lo:
+                    break
+                slot, key, come = slots[lo:hi], keys[lo:hi], turn[lo:hi]
+                inputs = [x[lo:hi] for x in fixed]
+                inputs.append(_log_odds(*_halves(taken(counts, slot))))
+                used = taken(weights, key, 0)
+                odds = used[:, 0] * inputs[0]
+                for k in range(1, len(inputs)):
+                    odds += used[:, k] * inputs[k]
+                np.clip(odds, -STRETCH_LIMIT, STRETCH_LIMIT, out=odds)
+                mix = 1 / (1 + np.exp(-odds))
+                spot = spots[lo:hi] + steps(odds)
+                p = (mix + taken(refined.reshape(-1), spot)) * np.float32(0.5)
+                # The distance from what did not come is the probability of what did.
+                found[lo:hi] = np.abs(p - (come ^ 1))
+                wrong = (come - mix) * np.float32(ONLINE_RATE)
+                held = int(texts_left) * CONTEXT_GATES
+                for k, x in enumerate(inputs):
+                    weights[:held, k] += np.bincount(key, wrong * x, minlength=held)
+                np.add.at(counts, slot, ones[lo:hi])
+                # Both counts of a slot are halved before either runs over.
+                most += BLOCK * longest
+                if most >= 0x8000:
+                    full = slot[(taken(counts, slot) & np.uint32(0x80008000)) > 0]
+                    counts[full] = (counts[full] >> np.uint32(1)) & np.uint32(0x7FFF7FFF)
+                spot *= 2
+                spot += come
+                seen = hits[:texts_left]
+                seen += np.bincount(spot, minlength=seen.size).reshape(seen.shape)
+                refined[:texts_left] = (start + seen[..., 1]) / (
+                    np.float32(REFINE_PRIOR) + seen[..., 0] + seen[..., 1]
+                )
+                lo = hi
+            scores[own] = np.add.reduceat(np.log(found), ends - size_of, dtype=np.float64)
+            place += BLOCK * len(places)
         return scores / math.log(10)
 
 
